@@ -64,7 +64,7 @@ def read_json(
 def read_keyed_json(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """JSON files that hold one object of records by key."""
     record = T.MapType(T.StringType(), _text_schema(columns))
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(
         F.explode(F.map_values(F.from_json("value", record))).alias("r")
     ).select("r.*")
