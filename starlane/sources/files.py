@@ -43,6 +43,15 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -
     )
 
 
+def stream_json_numbers(spark: SparkSession) -> None:
+    """Take numbers as parsed when a JSON column is read as text.
+
+    The default copies their exact characters, for which Spark seeks from the
+    start of a multi-line file again for every single number.
+    """
+    spark.conf.set("spark.sql.json.enableExactStringParsing", "false")
+
+
 def read_json(
     spark: SparkSession,
     path: str,
@@ -55,6 +64,7 @@ def read_json(
     drop's size; ``lines`` files can be split.  Without ``columns`` the names
     are found by reading the files once more.
     """
+    stream_json_numbers(spark)
     reader = spark.read.option("multiLine", not lines)
     if columns is None:
         columns = reader.option("primitivesAsString", True).json(path).columns

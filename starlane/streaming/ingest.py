@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starlane.contracts import CONTRACTS
 from starlane.plans.load import Loader
+from starlane.sources.files import stream_json_numbers
 from starlane.sources.ledger import hash_files, ledger_rows, new_files
 
 PATH = "__path"
@@ -21,6 +22,7 @@ PATH = "__path"
 
 def read_stream(spark, table: str, path: str, fmt: str, max_files: int) -> DataFrame:
     """New files under ``path`` as text rows with the file they came from."""
+    stream_json_numbers(spark)
     reader = (
         spark.readStream.schema(CONTRACTS[table].text_schema)
         .option("recursiveFileLookup", True)
