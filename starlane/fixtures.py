@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starlane.operators.lookup import LIMITS, Limits, heavy_keys, large_join, lookup_join
+from starlane.session import materialize
 
 
 def _long(c: str) -> Column:
@@ -180,7 +181,8 @@ class Fixtures:
     @cached_property
     def lines(self) -> DataFrame:
         def cents(c: str) -> Column:
-            return F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+            """Exact sum of amounts that all have two decimals."""
+            return F.sum(F.rint(F.col(c) * 100).cast("bigint")) / F.lit(100.0)
 
         return (
             self.table("lineitem")
@@ -236,6 +238,11 @@ class Fixtures:
         times = F.when(F.col("order_id").cast("bigint") % 45 == 4, 2).otherwise(1)
         return base.withColumn("__n", F.explode(F.sequence(F.lit(1), times))).drop("__n")
 
+    @cached_property
+    def staged_orders(self) -> DataFrame:
+        """The order feed as a written table, for queries that read it many times."""
+        return materialize(self.orders, "orders")
+
     @cached_property
     def ev(self) -> DataFrame:
         """Events with what came before and after in their user's time line."""

@@ -16,7 +16,7 @@ _INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 _DATE = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
 _TIMESTAMP = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 _BOOLEAN = r"(?i)^(true|false|t|f|yes|no|y|n|1|0)$"
-_NOT_A_NUMBER = r"(?i)^\s*nan\s*$"
+_NOT_A_NUMBER = r'(?i)^\s*"?nan"?\s*$'
 
 
 def to_int(text: Column) -> Column:
@@ -25,8 +25,8 @@ def to_int(text: Column) -> Column:
     Going through a decimal keeps all digits of a 64-bit key, which a double
     would not.
     """
-    exact = text.try_cast("decimal(38,10)")
-    return F.when(text.rlike(_NUMBER), F.round(exact).try_cast("bigint"))
+    exact = F.round(text.try_cast("decimal(38,10)")).try_cast("bigint")
+    return F.coalesce(text.try_cast("bigint"), F.when(text.rlike(_NUMBER), exact))
 
 
 def to_float(text: Column) -> Column:

@@ -109,14 +109,19 @@ def split_orphans(
     contract: TableContract,
     dims: dict[str, DataFrame],
     limits: Limits = LIMITS,
+    staged: bool = False,
 ) -> OrphanSplit:
     """Clean rows, and orphan rows with the reference they are charged to.
 
     Once a reference removed a key, later references no longer see its copies.
+    ``staged`` writes the checked rows out first; it pays off where ``df`` is
+    costly to compute again for each side.
     """
     columns = df.columns
     pk = list(contract.primary_key)
     ranked = rank_references(df, contract, dims, limits)
+    if staged:
+        ranked = materialize(ranked, f"checked-{contract.name}")
     orphans = ranked.filter(F.col(FK_RANK).isNotNull())
     removed = materialize(
         orphans.groupBy(*pk).agg(F.min(FK_RANK).alias(KEY_RANK)), "orphan-keys"

@@ -13,7 +13,6 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +20,11 @@ from starlane.contracts import CONTRACTS, TableContract, fact_tables
 from starlane.functions.rows import conform
 from starlane.operators import gates, quality
 from starlane.operators.duplicates import first_per_key, split_stored
+from starlane.operators.enrich import ENRICHMENTS
 from starlane.operators.integrity import split_orphans
 from starlane.operators.lookup import LIMITS, Limits
 from starlane.plans.gold import Stages, to_gold
+from starlane.session import materialize
 from starlane.sinks.store import Store
 from starlane.streaming.reconcile import Reconciliation, replayed_rows, retry
 
@@ -39,36 +40,35 @@ class Loader:
         """Replace a dimension and replay the facts that waited for it."""
         started = time.time()
         contract = CONTRACTS[table]
-        flagged = gates.flag_rows(raw, contract).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self.store.write_errors(
-                gates.error_rows(gates.bad_rows(flagged), contract, batch_id), f"gate_{table}"
-            )
-            clean = gates.clean_rows(flagged, contract)
-            gold = to_gold(
-                clean, table, self.store.dimensions(), batch_id, self.stages, self.limits
-            )
-            self.store.write_dimension(gold, table, seq)
-            self._measure(flagged, contract, batch_id, {}, started)
-        finally:
-            flagged.unpersist()
+        flagged = self.stage(table, raw)
+        self.store.write_errors(
+            gates.error_rows(gates.bad_rows(flagged), contract, batch_id), f"gate_{table}"
+        )
+        clean = gates.clean_rows(flagged, contract)
+        dims = self.store.dimensions([e.dim for e in ENRICHMENTS.get(table, [])])
+        gold = to_gold(clean, table, dims, batch_id, self.stages, self.limits)
+        self.store.write_dimension(gold, table, seq)
+        self._measure(flagged, contract, batch_id, {}, started)
         for fact in fact_tables():
             if any(fk.table == table for fk in CONTRACTS[fact].checked_foreign_keys):
                 self.replay(fact, table, seq)
 
     def load_fact(self, table: str, raw: DataFrame, batch_id: str, seq: int) -> None:
+        self.load_staged(table, self.stage(table, raw), batch_id, seq)
+
+    def stage(self, table: str, raw: DataFrame) -> DataFrame:
+        """Parse and check ``raw`` once and write rows and verdicts out."""
+        return materialize(gates.flag_rows(raw, CONTRACTS[table]), f"flagged-{table}")
+
+    def load_staged(self, table: str, flagged: DataFrame, batch_id: str, seq: int) -> None:
         started = time.time()
         contract = CONTRACTS[table]
-        flagged = gates.flag_rows(raw, contract).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self.store.write_errors(
-                gates.error_rows(gates.bad_rows(flagged), contract, batch_id), f"gate_{table}"
-            )
-            clean = conform(gates.clean_rows(flagged, contract), contract)
-            counts = self._load_clean(clean, contract, batch_id, seq)
-            self._measure(flagged, contract, batch_id, counts, started)
-        finally:
-            flagged.unpersist()
+        self.store.write_errors(
+            gates.error_rows(gates.bad_rows(flagged), contract, batch_id), f"gate_{table}"
+        )
+        clean = conform(gates.clean_rows(flagged, contract), contract)
+        counts = self._load_clean(clean, contract, batch_id, seq)
+        self._measure(flagged, contract, batch_id, counts, started)
 
     def replay(self, fact: str, dim_name: str, seq: int) -> None:
         """Move the waiting events of ``fact`` one step; resolved rows load again.
@@ -80,23 +80,21 @@ class Loader:
         contract = CONTRACTS[fact]
         waiting = Reconciliation(self.store, contract)
         dim = self.store.dimensions([dim_name])[dim_name]
-        moved = retry(waiting.states(), dim_name, dim, seq, limits=self.limits)
-        moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
+        moved = materialize(
+            retry(waiting.states(), dim_name, dim, seq, limits=self.limits), "moved"
+        )
+        if moved.isEmpty():
+            return
         batch_id = f"replay-{dim_name}-{seq}"
-        try:
-            if moved.isEmpty():
-                return
-            rows = replayed_rows(waiting.parked(), moved, self.limits)
-            self._load_clean(rows, contract, batch_id, seq)
-            waiting.append_log(moved, f"{batch_id}-retry")
-        finally:
-            moved.unpersist()
+        rows = replayed_rows(waiting.parked(), moved, self.limits)
+        self._load_clean(rows, contract, batch_id, seq)
+        waiting.append_log(moved, f"{batch_id}-retry")
 
     def _load_clean(
         self, clean: DataFrame, contract: TableContract, batch_id: str, seq: int
     ) -> dict[str, int]:
         dims = self.store.dimensions()
-        sides = split_orphans(clean, contract, dims, self.limits)
+        sides = split_orphans(clean, contract, dims, self.limits, staged=True)
         keys = list(contract.primary_key)
         reference = {"error_column": F.col("fk_column"), "fk_table": F.col("dim_name")}
         self.store.write_errors(

@@ -407,7 +407,7 @@ def _quarantined_customers(fx: Fixtures) -> DataFrame:
 def quarantine_all(fx: Fixtures) -> DataFrame:
     """Quarantine of a customer file and of an order file, without clock and ids."""
     contract = CONTRACTS["orders"]
-    flagged = gates.flag_rows(fx.orders, contract)
+    flagged = gates.flag_rows(fx.staged_orders, contract)
     rejected = gates.error_rows(gates.bad_rows(flagged), contract, BATCH)
     sides = integrity.split_orphans(
         gates.clean_rows(flagged, contract), contract, _order_dims(fx, _customers(fx))
@@ -503,7 +503,7 @@ def orphan_first_fk(fx: Fixtures) -> DataFrame:
 @_query
 def orphans_removed(fx: Fixtures) -> DataFrame:
     return integrity.split_orphans(
-        fx.orders, CONTRACTS["orders"], _order_dims(fx, _customers(fx))
+        fx.staged_orders, CONTRACTS["orders"], _order_dims(fx, _customers(fx))
     ).clean
 
 
@@ -532,7 +532,7 @@ def duplicates_found(fx: Fixtures) -> DataFrame:
 
 @_query
 def duplicate_summary(fx: Fixtures) -> DataFrame:
-    sides = duplicates.split_stored(fx.orders, _stored_orders(fx), ["order_id"])
+    sides = duplicates.split_stored(fx.staged_orders, _stored_orders(fx), ["order_id"])
     marked = _union(
         [
             sides.new.select(F.lit(False).alias("found")),
@@ -725,7 +725,7 @@ def _register_orders(fx: Fixtures, store: Store) -> reconcile.Reconciliation:
     contract = CONTRACTS["orders"]
     waiting = reconcile.Reconciliation(store, contract)
     sides = integrity.split_orphans(
-        fx.orders, contract, _order_dims(fx, _first_customers(fx))
+        fx.staged_orders, contract, _order_dims(fx, _first_customers(fx))
     )
     waiting.register(sides.charged, "r-1", 1)
     return waiting
@@ -759,7 +759,7 @@ def replay_union(fx: Fixtures) -> DataFrame:
     """Rows clean in run 1 together with the rows that run 2 replays."""
     contract = CONTRACTS["orders"]
     clean = integrity.split_orphans(
-        fx.orders, contract, _order_dims(fx, _first_customers(fx))
+        fx.staged_orders, contract, _order_dims(fx, _first_customers(fx))
     ).clean
     waiting = _register_orders(fx, _store(fx, "recon"))
     moved = reconcile.retry(waiting.states(), "customers", _customers(fx), 2)
@@ -801,7 +801,7 @@ def late_dimension_replay(fx: Fixtures) -> DataFrame:
     """Orders load first, their customers arrive later, the orders follow."""
     loader = Loader(_store(fx, "late"))
     _load_order_dims(fx, loader, _first_customers(fx))
-    loader.load_fact("orders", fx.orders, "orders-1", 1)
+    loader.load_fact("orders", fx.staged_orders, "orders-1", 1)
     loader.load_dimension("customers", fx.customers_raw, "customers-2", 2)
     return loader.store.fact("orders").drop("ingested_at", "batch_id")
 
@@ -812,8 +812,8 @@ def late_dimension_replay(fx: Fixtures) -> DataFrame:
 def _land_orders(fx: Fixtures, root: str) -> None:
     """Two drops: orders already delivered, then all others."""
     delivered = F.col("order_status") == "Delivered"
-    file_sinks.write_json(fx.orders.filter(delivered), f"{root}/a/orders.json")
-    file_sinks.write_json(fx.orders.filter(~delivered), f"{root}/b/orders.json")
+    file_sinks.write_json(fx.staged_orders.filter(delivered), f"{root}/a/orders.json")
+    file_sinks.write_json(fx.staged_orders.filter(~delivered), f"{root}/b/orders.json")
 
 
 def _stream_orders(fx: Fixtures, loader: Loader, root: str) -> None:
@@ -843,7 +843,7 @@ def stream_equals_batch(fx: Fixtures) -> DataFrame:
     streamed, _ = _streamed(fx)
     batch = Loader(_store(fx, "batch"))
     _load_order_dims(fx, batch, _customers(fx))
-    batch.load_fact("orders", fx.orders, "orders-1", 1)
+    batch.load_fact("orders", fx.staged_orders, "orders-1", 1)
 
     def digests(loader: Loader, weight: int) -> DataFrame:
         rows = loader.store.fact("orders").drop("ingested_at", "batch_id")
@@ -866,7 +866,7 @@ def stream_restart_idempotent(fx: Fixtures) -> DataFrame:
     """A restarted stream, with one drop sent again under another name."""
     loader, drops = _streamed(fx)
     delivered = F.col("order_status") == "Delivered"
-    file_sinks.write_json(fx.orders.filter(delivered), f"{drops}/c/orders.json")
+    file_sinks.write_json(fx.staged_orders.filter(delivered), f"{drops}/c/orders.json")
     _stream_orders(fx, loader, drops)
     return loader.store.fact("orders").drop("ingested_at", "batch_id")
 
@@ -877,7 +877,7 @@ def stream_restart_idempotent(fx: Fixtures) -> DataFrame:
 def _order_counts(fx: Fixtures) -> DataFrame:
     """One row of counters for a load of all orders."""
     contract = CONTRACTS["orders"]
-    flagged = gates.flag_rows(fx.orders, contract)
+    flagged = gates.flag_rows(fx.staged_orders, contract)
     sides = integrity.split_orphans(
         gates.clean_rows(flagged, contract), contract, _order_dims(fx, _customers(fx))
     )

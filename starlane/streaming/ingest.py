@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starlane.contracts import CONTRACTS
 from starlane.plans.load import Loader
+from starlane.session import materialize
 from starlane.sources.files import stream_json_numbers
 from starlane.sources.ledger import hash_files, ledger_rows, new_files
 
@@ -56,18 +57,16 @@ def ingest(
 
     def load(rows: DataFrame, number: int) -> None:
         batch_id = f"{stream_id}-{number}"
-        paths = [r[PATH] for r in rows.select(PATH).distinct().collect()]
+        staged = loader.stage(table, rows)
+        paths = [r[PATH] for r in staged.select(PATH).distinct().collect()]
         if not paths:
             return
         others = store.processed_files().filter(F.col("batch_id") != batch_id)
-        fresh = new_files(hash_files(store.spark, paths), others).persist()
-        try:
-            kept = [r["path"] for r in fresh.select("path").collect()]
-            wanted = rows.filter(_plain_path(F.col(PATH)).isin([_plain(p) for p in kept]))
-            loader.load_fact(table, wanted.drop(PATH), batch_id, first_seq + number)
-            store.log_files(ledger_rows(fresh, batch_id))
-        finally:
-            fresh.unpersist()
+        fresh = materialize(new_files(hash_files(store.spark, paths), others), "files")
+        kept = [_plain(r["path"]) for r in fresh.select("path").collect()]
+        wanted = staged.filter(_plain_path(F.col(PATH)).isin(kept))
+        loader.load_staged(table, wanted, batch_id, first_seq + number)
+        store.log_files(ledger_rows(fresh, batch_id))
 
     stream = read_stream(store.spark, table, path, fmt, max_files)
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
