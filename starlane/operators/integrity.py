@@ -6,6 +6,7 @@ reference is missing.  Rows leave by key: every copy of a charged key goes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,9 @@ from starlane.contracts import ForeignKey, TableContract
 from starlane.operators.lookup import LIMITS, Limits, fits_broadcast, lookup_join
 from starlane.session import materialize
 
+# Writes an intermediate table under a label and reads it back.
+Stager = Callable[[DataFrame, str], DataFrame]
+
 FK_RANK = "__fk_rank"
 KEY_RANK = "__key_rank"
 
@@ -45,6 +49,7 @@ def rank_references(
     contract: TableContract,
     dims: dict[str, DataFrame],
     limits: Limits = LIMITS,
+    stage: Stager = materialize,
 ) -> DataFrame:
     """``df`` with the rank of its first missing reference, NULL if none is.
 
@@ -68,7 +73,7 @@ def rank_references(
             )
             absent = F.col(mark).isNull()
         else:
-            absent_keys = materialize(
+            absent_keys = stage(
                 df.select(fk.column).dropna().distinct().join(known, fk.column, "left_anti"),
                 f"missing-{fk.table}",
             )
@@ -110,6 +115,7 @@ def split_orphans(
     dims: dict[str, DataFrame],
     limits: Limits = LIMITS,
     staged: bool = False,
+    stage: Stager = materialize,
 ) -> OrphanSplit:
     """Clean rows, and orphan rows with the reference they are charged to.
 
@@ -119,11 +125,11 @@ def split_orphans(
     """
     columns = df.columns
     pk = list(contract.primary_key)
-    ranked = rank_references(df, contract, dims, limits)
+    ranked = rank_references(df, contract, dims, limits, stage)
     if staged:
-        ranked = materialize(ranked, f"checked-{contract.name}")
+        ranked = stage(ranked, f"checked-{contract.name}")
     orphans = ranked.filter(F.col(FK_RANK).isNotNull())
-    removed = materialize(
+    removed = stage(
         orphans.groupBy(*pk).agg(F.min(FK_RANK).alias(KEY_RANK)), "orphan-keys"
     )
     if removed.isEmpty():

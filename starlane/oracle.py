@@ -544,6 +544,17 @@ _BODIES: dict[str, str] = {
             ("nation", "dim", "nation"),
         ]
     ),
+    "load_drops": """
+        SELECT 'customers' AS table_name, 'loaded' AS outcome,
+            (SELECT count(*) FROM customers) AS loaded_rows
+        UNION ALL SELECT 'regions', 'loaded', (SELECT count(*) FROM fx_regions)
+        UNION ALL SELECT 'segments', 'column count 5, expected 4', NULL
+        UNION ALL SELECT 'drivers', 'column count 6, expected 15', NULL
+        UNION ALL SELECT 'teams', 'empty', NULL
+        UNION ALL SELECT 'nation', 'unknown table', NULL
+        UNION ALL SELECT 'restaurants', 'column count 5, expected 10', NULL
+        UNION ALL SELECT 'cities', 'unsupported format', NULL
+    """,
     "nan_to_null": "SELECT ticket_id, refund_amount FROM fx_tickets",
     "orphans_orders": """
         SELECT o.order_id, o.customer_id FROM fx_orders o

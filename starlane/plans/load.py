@@ -21,10 +21,10 @@ from starlane.functions.rows import conform
 from starlane.operators import gates, quality
 from starlane.operators.duplicates import first_per_key, split_stored
 from starlane.operators.enrich import ENRICHMENTS
-from starlane.operators.integrity import split_orphans
+from starlane.operators.integrity import Stager, skipped_references, split_orphans
 from starlane.operators.lookup import LIMITS, Limits
 from starlane.plans.gold import Stages, to_gold
-from starlane.session import materialize
+from starlane.session import write_and_read
 from starlane.sinks.store import Store
 from starlane.streaming.reconcile import Reconciliation, replayed_rows, retry
 
@@ -38,17 +38,23 @@ class Loader:
 
     def load_dimension(self, table: str, raw: DataFrame, batch_id: str, seq: int) -> None:
         """Replace a dimension and replay the facts that waited for it."""
+        self.load_staged_dimension(table, self.stage(table, raw), batch_id, seq)
+
+    def load_staged_dimension(
+        self, table: str, flagged: DataFrame, batch_id: str, seq: int
+    ) -> None:
         started = time.time()
         contract = CONTRACTS[table]
-        flagged = self.stage(table, raw)
-        self.store.write_errors(
-            gates.error_rows(gates.bad_rows(flagged), contract, batch_id), f"gate_{table}"
-        )
+        self.quarantine(flagged, contract, batch_id)
         clean = gates.clean_rows(flagged, contract)
         dims = self.store.dimensions([e.dim for e in ENRICHMENTS.get(table, [])])
         gold = to_gold(clean, table, dims, batch_id, self.stages, self.limits)
         self.store.write_dimension(gold, table, seq)
         self._measure(flagged, contract, batch_id, {}, started)
+        self.replay_all(table, seq)
+
+    def replay_all(self, table: str, seq: int) -> None:
+        """Retry the facts that refer to a dimension."""
         for fact in fact_tables():
             if any(fk.table == table for fk in CONTRACTS[fact].checked_foreign_keys):
                 self.replay(fact, table, seq)
@@ -58,16 +64,28 @@ class Loader:
 
     def stage(self, table: str, raw: DataFrame) -> DataFrame:
         """Parse and check ``raw`` once and write rows and verdicts out."""
-        return materialize(gates.flag_rows(raw, CONTRACTS[table]), f"flagged-{table}")
+        return self._stager(table)(gates.flag_rows(raw, CONTRACTS[table]), "flagged")
+
+    def quarantine(self, flagged: DataFrame, contract: TableContract, batch_id: str) -> None:
+        bad = gates.bad_rows(flagged)
+        self.store.write_errors(
+            gates.error_rows(bad, contract, batch_id), f"gate_{contract.name}"
+        )
+
+    def _stager(self, owner: str) -> Stager:
+        """Intermediate tables of one kind of load; the next such load replaces them."""
+
+        def stage(df: DataFrame, label: str) -> DataFrame:
+            return write_and_read(df, f"{self.store.root}/staging/{owner}/{label}")
+
+        return stage
 
     def load_staged(self, table: str, flagged: DataFrame, batch_id: str, seq: int) -> None:
         started = time.time()
         contract = CONTRACTS[table]
-        self.store.write_errors(
-            gates.error_rows(gates.bad_rows(flagged), contract, batch_id), f"gate_{table}"
-        )
+        self.quarantine(flagged, contract, batch_id)
         clean = conform(gates.clean_rows(flagged, contract), contract)
-        counts = self._load_clean(clean, contract, batch_id, seq)
+        counts = self._load_clean(clean, contract, batch_id, seq, self._stager(table))
         self._measure(flagged, contract, batch_id, counts, started)
 
     def replay(self, fact: str, dim_name: str, seq: int) -> None:
@@ -80,21 +98,27 @@ class Loader:
         contract = CONTRACTS[fact]
         waiting = Reconciliation(self.store, contract)
         dim = self.store.dimensions([dim_name])[dim_name]
-        moved = materialize(
+        stage = self._stager(f"{fact}-after-{dim_name}")
+        moved = stage(
             retry(waiting.states(), dim_name, dim, seq, limits=self.limits), "moved"
         )
         if moved.isEmpty():
             return
         batch_id = f"replay-{dim_name}-{seq}"
         rows = replayed_rows(waiting.parked(), moved, self.limits)
-        self._load_clean(rows, contract, batch_id, seq)
+        self._load_clean(rows, contract, batch_id, seq, stage)
         waiting.append_log(moved, f"{batch_id}-retry")
 
     def _load_clean(
-        self, clean: DataFrame, contract: TableContract, batch_id: str, seq: int
+        self,
+        clean: DataFrame,
+        contract: TableContract,
+        batch_id: str,
+        seq: int,
+        stage: Stager,
     ) -> dict[str, int]:
         dims = self.store.dimensions()
-        sides = split_orphans(clean, contract, dims, self.limits, staged=True)
+        sides = split_orphans(clean, contract, dims, self.limits, True, stage)
         keys = list(contract.primary_key)
         reference = {"error_column": F.col("fk_column"), "fk_table": F.col("dim_name")}
         self.store.write_errors(
@@ -116,7 +140,8 @@ class Loader:
             fresh = split_stored(fresh, earlier, keys, self.limits).new
         gold = to_gold(fresh, contract.name, dims, batch_id, self.stages, self.limits)
         self.store.write_fact(gold, contract.name)
-        return self._counts(contract, batch_id, sides.clean)
+        counts = self._counts(contract, batch_id, sides.clean)
+        return counts | {"skipped_references": len(skipped_references(contract, dims))}
 
     def _counts(
         self, contract: TableContract, batch_id: str, kept: DataFrame
@@ -133,6 +158,18 @@ class Loader:
             "duplicates": kept.count() - clean,
         }
 
+    def count_failed_file(self, table: str, batch_id: str, reason: str) -> None:
+        """Put a dropped file on record: one failed file and why."""
+        self.store.write_metrics(
+            self.store.spark.range(1).select(
+                F.lit(table).alias("table_name"),
+                F.lit("files_failed").alias("metric_name"),
+                F.lit(1.0).alias("metric_value"),
+                F.lit(reason).alias("metric_details"),
+                F.lit(f"{table}-{batch_id}").alias("batch_id"),
+            )
+        )
+
     def _measure(
         self,
         flagged: DataFrame,
@@ -156,12 +193,13 @@ class Loader:
             F.lit(1).alias("files_processed"),
             F.lit(0).alias("files_failed"),
         )
-        wide = quality.with_rates(wide).withColumn(
-            "processing_latency_seconds", F.lit(time.time() - started)
-        )
+        extra = {"processing_latency_seconds": F.lit(time.time() - started)}
+        if counts:
+            extra["skipped_references"] = F.lit(counts["skipped_references"])
+        wide = quality.with_rates(wide).withColumns(extra)
         scalars = quality.long_form(
             wide.withColumn("table_name", F.lit(contract.name)),
-            quality.COUNTERS + quality.RATES + ["processing_latency_seconds"],
+            quality.COUNTERS + quality.RATES + list(extra),
             ["table_name"],
         ).withColumn("metric_details", F.lit(None).cast("string"))
         details = quality.detail_rows(quality.null_profile(flagged, contract)).withColumn(

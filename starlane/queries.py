@@ -18,6 +18,7 @@ from starlane.functions import casts
 from starlane.functions.rows import conform
 from starlane.operators import derive, duplicates, enrich, gates, integrity, quality
 from starlane.plans import kpi, views
+from starlane.plans.drops import load_drop
 from starlane.plans.gold import Stages, to_gold
 from starlane.plans.load import Loader
 from starlane.session import materialize, new_folder
@@ -472,6 +473,26 @@ def catalog_targets(fx: Fixtures) -> DataFrame:
     )
 
 
+@_query
+def load_drops(fx: Fixtures) -> DataFrame:
+    """All dropped files through the whole load, and what became of each."""
+    loader = Loader(_store(fx, "drops"))
+    outcomes = []
+    for seq, path in enumerate(_land(fx, new_folder(fx.spark, "drops")), 1):
+        outcome = load_drop(loader, path, f"drop-{seq}", seq)
+        outcomes.append(f"('{files.table_name(path)}', '{outcome}')")
+    listed = fx.spark.sql(
+        f"SELECT * FROM VALUES {', '.join(outcomes)} AS t(table_name, outcome)"
+    )
+    sizes = _union(
+        [
+            df.agg(F.count(F.lit(1)).alias("loaded_rows")).withColumn("table_name", F.lit(t))
+            for t, df in loader.store.dimensions().items()
+        ]
+    )
+    return listed.join(sizes, "table_name", "left")
+
+
 @_query
 def nan_to_null(fx: Fixtures) -> DataFrame:
     """Missing refunds arrive as not-a-number and are stored as NULL."""

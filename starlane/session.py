@@ -58,16 +58,19 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/starlane/{label}-{uuid.uuid4().hex}"
 
 
+def write_and_read(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path``, replacing what is there, and read it back."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+    """Write ``df`` to a fresh path of the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives the
     optimizer the real size of the result.
     """
-    spark = df.sparkSession
-    path = new_folder(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_and_read(df, new_folder(df.sparkSession, label))
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starlane.contracts import CONTRACTS
 from starlane.plans.load import Loader
-from starlane.session import materialize
+from starlane.session import write_and_read
 from starlane.sources.files import stream_json_numbers
 from starlane.sources.ledger import hash_files, ledger_rows, new_files
 
@@ -62,7 +62,10 @@ def ingest(
         if not paths:
             return
         others = store.processed_files().filter(F.col("batch_id") != batch_id)
-        fresh = materialize(new_files(hash_files(store.spark, paths), others), "files")
+        fresh = write_and_read(
+            new_files(hash_files(store.spark, paths), others),
+            f"{store.root}/staging/{table}/files",
+        )
         kept = [_plain(r["path"]) for r in fresh.select("path").collect()]
         wanted = staged.filter(_plain_path(F.col(PATH)).isin(kept))
         loader.load_staged(table, wanted, batch_id, first_seq + number)

@@ -4,6 +4,7 @@ import pytest
 
 from starlane.contracts import CONTRACTS
 from starlane.functions.rows import conform
+from starlane.plans.drops import load_drop
 from starlane.plans.load import Loader
 from starlane.session import new_folder
 from starlane.sinks.store import Store
@@ -112,3 +113,26 @@ def test_repeated_batch_changes_nothing(loader, frame):
     assert [e[1] for e in once[1]] == ["FK_MISSING", "NULL_REQUIRED_COLUMN"]
     loader.load_fact("orders", orders, "b-2", 2)
     assert rows_of(loader.store.fact("orders"), "order_id") == [("ok",)]
+
+
+def test_one_drop_after_another(loader, tmp_path):
+    def drop(name, text):
+        path = tmp_path / name
+        path.write_text(text)
+        return str(path)
+
+    teams = drop("Teams.csv", "TEAM_NAME,team_id\nA,1\nB,x\n,2\n")
+    assert load_drop(loader, teams, "d-1", 1) == "loaded"
+    assert rows_of(loader.store.dimensions()["teams"], "team_id", "team_name") == [(1, "A")]
+    assert rows_of(loader.store.errors(), "event_id", "error_type", "batch_id") == [
+        ("2", "NULL_REQUIRED_COLUMN", "d-1"), ("x", "TYPE_MISMATCH", "d-1"),
+    ]
+    again = drop("teams.v2.csv", "TEAM_NAME,team_id\nA,1\nB,x\n,2\n")
+    assert load_drop(loader, again, "d-2", 2) == "already processed"
+    assert load_drop(loader, drop("channels.csv", "channel_id\n1\n"), "d-3", 3).startswith("column")
+    assert load_drop(loader, drop("reasons.xml", "<x/>"), "d-4", 4) == "unsupported format"
+    assert load_drop(loader, drop("cities.csv", "city_id,city_name,country,timezone\n"), "d-5", 5) == "empty"
+    assert load_drop(loader, drop("segments.csv", "segment_id,segment_name,discount_pct,priority_support\nx,a,1,true\n"), "d-6", 6) == "no clean rows"
+    assert loader.store.errors().filter("batch_id = 'd-6'").count() == 1
+    failed = loader.store.metrics().filter("metric_name = 'files_failed' AND metric_value > 0")
+    assert rows_of(failed, "table_name") == [("channels",), ("reasons",), ("segments",)]
