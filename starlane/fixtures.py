@@ -247,8 +247,12 @@ class Fixtures:
     def ev(self) -> DataFrame:
         """Events with what came before and after in their user's time line."""
         events = self.table("events")
-        heavy = heavy_keys(events, ["user_id"], self.limits)
-        return timeline(events) if heavy is None else timeline_in_minutes(events)
+        return timeline_in_minutes(events) if self._heavy_users else timeline(events)
+
+    @cached_property
+    def _heavy_users(self) -> bool:
+        found = heavy_keys(self.table("events"), ["user_id"], self.limits)
+        return found is not None
 
     @cached_property
     def tickets(self) -> DataFrame:
@@ -261,14 +265,20 @@ class Fixtures:
             .agg(F.max("o_orderkey").alias("l_orderkey"))
             .join(self.lines.select("l_orderkey", "restaurant_id", "driver_id"), "l_orderkey", "left")
         )
-        return large_join(
-            self.ev.filter(errors).withColumn("k", k),
-            last_order,
-            ["user_id"],
-            "left",
-            self.limits,
-            keys_from=events.filter(errors),
-        ).select(
+        tickets = self.ev.filter(errors).withColumn("k", k)
+        joined = (
+            large_join(
+                tickets,
+                last_order,
+                ["user_id"],
+                "left",
+                self.limits,
+                keys_from=events.filter(errors),
+            )
+            if self._heavy_users
+            else tickets.join(last_order, "user_id", "left")
+        )
+        return joined.select(
             F.concat(F.lit("T"), _text("event_id")).alias("ticket_id"),
             _text("l_orderkey").alias("order_id"),
             F.col("user_id").alias("customer_id"),

@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests")
+    session = local_session("tests", **{"spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()
 
