@@ -361,14 +361,15 @@ def timeline_in_minutes(events: DataFrame) -> DataFrame:
     after = line.rowsBetween(1, Window.unboundedFollowing)
     before = line.rowsBetween(Window.unboundedPreceding, -1)
     around = summary.select(
-        "user_id",
-        "minute",
+        F.col("user_id").alias("__user"),
+        F.col("minute").alias("__minute"),
         F.lead("first").over(line).alias("__next"),
         F.lag("last").over(line).alias("__prev"),
         F.min("purchase").over(after).alias("__purchase"),
         F.max("error").over(before).alias("__error"),
     )
-    joined = within.join(around, ["user_id", "minute"])
+    same_user = F.col("user_id").eqNullSafe(F.col("__user"))
+    joined = within.join(around, same_user & (F.col("minute") == F.col("__minute")))
     return joined.withColumns(
         {
             "next_type": F.when(F.col("next_ts").isNull(), F.col("__next.event_type")).otherwise(F.col("next_type")),

@@ -5,8 +5,9 @@ Three ways, all with the same result:
 * the lookup side is measured and small: broadcast, the fact is not shuffled;
 * it is too large, and no fact key is heavy: a plain join, Catalyst and AQE
   pick the algorithm;
-* it is too large and some fact keys are heavy: rows of the heavy keys take a
-  broadcast of just those keys' lookup rows, all others the plain join.  Rows
+* it is too large and some fact keys are heavy: rows of the heavy keys, and rows
+  without a key, take a broadcast of just those keys' lookup rows, all others
+  the plain join.  Rows
   are told apart by value, never by a random salt, so a re-run task after a
   lost executor sends every row the same way, and even identical copies of one
   row spread over all tasks.
@@ -75,12 +76,10 @@ def heavy_keys(df: DataFrame, keys: list[str], limits: Limits = LIMITS) -> DataF
     """The keys holding so many rows that one task should not get them all.
 
     Counting combines before the shuffle, and at most ``limits.heavy_keys``
-    keys come back.
+    keys come back.  NULL counts as a key: a shuffle sends all NULLs to one task.
     """
     counts = (
-        df.select(*keys)
-        .dropna("any")
-        .groupBy(*keys)
+        df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("rows"))
         .filter(F.col("rows") >= limits.heavy_rows)
         .orderBy(F.desc("rows"))
@@ -110,8 +109,10 @@ def large_join(
         return left.join(right, keys, how)
     hot = F.broadcast(hot.withColumn("__heavy", F.lit(True)))
     tagged = left.join(hot, keys, "left")
-    plain = tagged.filter(F.col("__heavy").isNull()).drop("__heavy")
-    heavy = tagged.filter(F.col("__heavy")).drop("__heavy")
+    without_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    apart = F.col("__heavy").isNotNull() | without_key
+    plain = tagged.filter(~apart).drop("__heavy")
+    heavy = tagged.filter(apart).drop("__heavy")
     few = F.broadcast(right.join(hot.drop("__heavy"), keys, "left_semi"))
     return plain.join(right, keys, how).unionByName(heavy.join(few, keys, how))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from starlane.contracts import CONTRACTS, TableContract
 from starlane.operators import gates
 from starlane.plans.load import Loader
+from starlane.session import run_number
 from starlane.sources import files
 from starlane.sources.ledger import hash_files, ledger_rows, new_files
 
@@ -25,8 +26,9 @@ def _by_contract_name(df: DataFrame, contract: TableContract) -> DataFrame:
     return df.select([F.col(actual[c.lower()]).alias(c) for c in contract.columns])
 
 
-def load_drop(loader: Loader, path: str, batch_id: str, seq: int) -> str:
+def load_drop(loader: Loader, path: str, batch_id: str, seq: int | None = None) -> str:
     """Load the drop at ``path``; returns ``loaded`` or why it was dropped."""
+    seq = run_number() if seq is None else seq
     store = loader.store
     fresh = new_files(hash_files(store.spark, path), store.processed_files())
     if fresh.isEmpty():

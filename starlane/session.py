@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -58,6 +59,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/starlane/{label}-{uuid.uuid4().hex}"
 
 
+def run_number() -> int:
+    """Rising number for a run: the clock in milliseconds.
+
+    All jobs that write to one store must number their runs the same way.
+    """
+    return int(time.time() * 1000)
+
+
 def write_and_read(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to ``path``, replacing what is there, and read it back."""
     df.write.mode("overwrite").parquet(path)

@@ -8,13 +8,15 @@ written after the load, so a file whose load failed is read again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from starlane.contracts import CONTRACTS
 from starlane.plans.load import Loader
-from starlane.session import write_and_read
+from starlane.session import run_number, write_and_read
 from starlane.sources.files import stream_json_numbers
 from starlane.sources.ledger import hash_files, ledger_rows, new_files
 
@@ -42,7 +44,7 @@ def ingest(
     path: str,
     checkpoint: str,
     fmt: str = "json",
-    first_seq: int = 1,
+    next_seq: Callable[[], int] = run_number,
     max_files: int = 1000,
     once: bool = True,
     interval: str = "1 minute",
@@ -68,7 +70,7 @@ def ingest(
         )
         kept = [_plain(r["path"]) for r in fresh.select("path").collect()]
         wanted = staged.filter(_plain_path(F.col(PATH)).isin(kept))
-        loader.load_staged(table, wanted, batch_id, first_seq + number)
+        loader.load_staged(table, wanted, batch_id, next_seq())
         store.log_files(ledger_rows(fresh, batch_id))
 
     stream = read_stream(store.spark, table, path, fmt, max_files)

@@ -43,7 +43,7 @@ def test_time_line_against_brute_force(spark):
         (
             i,
             start + dt.timedelta(seconds=rng.randint(0, 1500)),
-            rng.choice([1, 1, 1, 1, 2, 3]),
+            rng.choice([1, 1, 1, 1, 2, None]),
             rng.choice(["purchase", "error", "view", "click"]),
         )
         for i in rng.sample(range(1000), 300)

@@ -22,12 +22,19 @@ def sides(frame):
         "k long, v string",
         *[(1, "same")] * 20,
         *[(i, f"v{i}") for i in range(2, 9)],
-        (None, "n"), (None, "n"), (99, "absent"), *[(98, "hot and absent")] * 5,
+        *[(None, "n")] * 4, (99, "absent"), *[(98, "hot and absent")] * 5,
     )
     right = frame("k long, name string", *[(i, f"n{i}") for i in range(1, 8)])
     return left, right
 
 
+def test_only_null_keys_are_heavy(frame):
+    left = frame("k long, v long", *[(None, i) for i in range(9)], (1, 1), (2, 2))
+    right = frame("k long, name string", (1, "a"), (3, "c"))
+    found = lookup_join(left, right, ["k"], "left", LARGE_HEAVY)
+    assert rows_of(found) == rows_of(left.join(right, "k", "left"))
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 @pytest.mark.parametrize("limits", [LARGE_EVEN, LARGE_HEAVY])
 def test_all_ways_agree(sides, how, limits):
@@ -51,6 +58,7 @@ def test_heavy_keys(sides):
     left, _ = sides
     assert heavy_keys(left, ["k"], Limits(heavy_rows=100)) is None
     assert rows_of(heavy_keys(left, ["k"], Limits(heavy_rows=5))) == [(1,), (98,)]
+    assert rows_of(heavy_keys(left, ["k"], Limits(heavy_rows=4))) == [(1,), (98,), (None,)]
     assert rows_of(heavy_keys(left, ["k"], Limits(heavy_rows=5, heavy_keys=1))) == [(1,)]
 
 
