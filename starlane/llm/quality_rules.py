@@ -7,6 +7,7 @@ the share of words on content lines decides whether a document is kept.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ class LineField:
 
     A line's score for boilerplate against content is ``bias`` plus weight times
     feature: its share of symbols, of capitals among the letters, of exclamation
-    marks to words, of menu bars among the words, of words in repeated windows, and
-    whether an earlier line of the text equals it.  ``stay`` is gained when two neighbours share a label.
+    marks to words, of menu bars among the words, of words that repeat the one
+    before, of words in repeated windows, and whether an earlier line equals it.  ``stay`` is gained when two neighbours share a label.
     """
 
     bias: float = -2.0
@@ -35,6 +36,7 @@ class LineField:
     capitals: float = 4.0
     shouts: float = 3.0
     bars: float = 12.0
+    stutters: float = 6.0
     repeated: float = 2.5
     earlier: float = 1.5
     stay: float = 0.5
@@ -50,6 +52,7 @@ class LineField:
             + self.capitals * capitals / max(letters, 1)
             + self.shouts * min(line.count(b"!") / len(words), 1.0)
             + self.bars * words.count(b"|") / len(words)
+            + self.stutters * sum(map(eq, words, words[1:])) / len(words)
             + self.repeated * again
             + self.earlier * seen
         )
