@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from starlane.llm.quality_classifier import op6_quality_classifier
 from starlane.llm.quality_rules import op1_quality_rules
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {}

@@ -92,3 +92,24 @@ def covered(starts: np.ndarray, length: int, size: int) -> np.ndarray:
     np.add.at(change, starts, 1)
     np.add.at(change, np.minimum(starts + length, size), -1)
     return np.cumsum(change[:-1]) > 0
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, wanted: F.Column, rows: int, most_bytes: int
+) -> DataFrame:
+    """At most ``rows`` labelled texts, picked by a hash of their key: doc_id, body, label.
+
+    ``wanted`` is a condition on doc_id.  Texts of more than ``most_bytes`` are
+    left out of the sample, so that its size is bounded.  A key labelled twice
+    takes its larger label; null labels and keys are ignored.
+    """
+    picked = (
+        labels.select("doc_id", F.col(label).cast("int").alias("label"))
+        .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & wanted)
+        .groupBy("doc_id")
+        .agg(F.max("label").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(rows)
+    )
+    bodies = as_bytes(docs, "doc_id").where(F.octet_length("body") <= most_bytes)
+    return bodies.join(F.broadcast(picked), "doc_id").limit(2 * rows)
