@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from starlane.llm import oracle
+from starlane.llm.decontaminate import op3_benchmark_decontamination
 from starlane.llm.quality_classifier import op6_quality_classifier
 from starlane.llm.quality_rules import op1_quality_rules
+from starlane.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_toxicity": op7_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_benchmark_decontamination": oracle.DECONTAMINATION,
+}

@@ -22,14 +22,14 @@ from starlane.llm.texts import as_bytes, crc32_of_key, labelled_sample, map_step
 class Training:
     """Bounds of the sample, the n-grams and their table, and the fit."""
 
-    rows: int = 4000
+    rows: int = 8000
     most_bytes: int = 16384
-    orders: tuple[int, ...] = (4, 5, 6)
+    orders: tuple[int, ...] = (5, 6, 8)
     bits: int = 18
     smoothing: float = 1.0
     least: int = 8
     surprise: float = 4.0
-    rounds: int = 80
+    rounds: int = 150
     rate: float = 0.05
     decay: float = 1e-3
 
@@ -68,16 +68,13 @@ def train(sample: list[tuple[bytes, int]], sizes: Training = Training()) -> np.n
         return float(kinds.pop()) if kinds else 0.5
     sample = sorted(set(sample))  # a group of copies counts once
     size = len(sizes.orders) << sizes.bits
-    presence = Presence(size)
-    sets = [
-        np.concatenate([presence.distinct(x) for x in grams(body, sizes)] or [np.empty(0, int)])
-        for body, _ in sample
-    ]
     labels = np.array([label for _, label in sample], dtype=np.float64)
-    features = np.concatenate(sets).astype(np.int32)
-    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])
-    toxic = np.bincount(features, labels[owner], size)
-    other = np.bincount(features, 1 - labels[owner], size)
+    presence = Presence(size)
+    counts = np.zeros((2, size))
+    for body, label in sample:
+        for features in grams(body, sizes):
+            counts[label][presence.distinct(features)] += 1
+    other, toxic = counts
     ratio = np.log((toxic + sizes.smoothing) / (labels.sum() + 2 * sizes.smoothing))
     ratio -= np.log((other + sizes.smoothing) / ((1 - labels).sum() + 2 * sizes.smoothing))
     # Only runs that stand out from chance get a weight; thousands of others would drown them.
@@ -85,9 +82,14 @@ def train(sample: list[tuple[bytes, int]], sizes: Training = Training()) -> np.n
     surprise = (toxic - count * share) / np.sqrt(count * share * (1 - share) + 1e-9)
     ratio[(np.abs(surprise) < sizes.surprise) | (count < sizes.least)] = 0
     used = np.flatnonzero(ratio)
-    keep = ratio[features] != 0
-    owner, index = owner[keep], np.searchsorted(used, features[keep]).astype(np.int32)
-    value = ratio[used][index].astype(np.float32)
+    sets = []
+    for body, _ in sample:
+        found = [presence.distinct(x) for x in grams(body, sizes)]
+        found = np.concatenate([*found, np.empty(0, dtype=np.int64)])
+        sets.append(np.searchsorted(used, found[ratio[found] != 0]))
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    index = np.concatenate(sets)
+    value = ratio[used][index]
     weight, bias = np.zeros(len(used)), np.log(labels.mean() / (1 - labels.mean()))
     first, second = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for step in range(1, sizes.rounds + 1):
@@ -131,7 +133,7 @@ def toxicity(
         else:
             presence = Presence(len(weights) - 1)
             margin = np.array([
-                weights[-1] + sum(
+                float(weights[-1]) + sum(
                     weights[presence.distinct(x)].sum(dtype=np.float64) for x in grams(b, sizes)
                 )
                 for b in bodies
