@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from starlane.llm import oracle
 from starlane.llm.decontaminate import op3_benchmark_decontamination
+from starlane.llm.packing import op8_packing
 from starlane.llm.quality_classifier import op6_quality_classifier
 from starlane.llm.quality_rules import op1_quality_rules
 from starlane.llm.toxicity import op7_toxicity
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
+    "op8_packing": op8_packing,
 }
 
 ORACLES: dict[str, str] = {
