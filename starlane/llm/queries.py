@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from starlane.llm import oracle
 from starlane.llm.decontaminate import op3_benchmark_decontamination
+from starlane.llm.licenses import op5_license_scan
 from starlane.llm.packing import op8_packing
+from starlane.llm.personal_data import op9_personal_data
 from starlane.llm.quality_classifier import op6_quality_classifier
 from starlane.llm.quality_rules import op1_quality_rules
 from starlane.llm.toxicity import op7_toxicity
@@ -12,9 +14,11 @@ from starlane.llm.toxicity import op7_toxicity
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_license_scan": op5_license_scan,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
+    "op9_personal_data": op9_personal_data,
 }
 
 ORACLES: dict[str, str] = {
