@@ -9,6 +9,7 @@ from starlane.llm.packing import op8_packing
 from starlane.llm.personal_data import op9_personal_data
 from starlane.llm.quality_classifier import op6_quality_classifier
 from starlane.llm.quality_rules import op1_quality_rules
+from starlane.llm.secret_scan import op10_secret_scan
 from starlane.llm.toxicity import op7_toxicity
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
     "op9_personal_data": op9_personal_data,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES: dict[str, str] = {

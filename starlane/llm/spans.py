@@ -49,26 +49,29 @@ def matches(kind: str, text: Column, pattern: str, possible: Column) -> Column:
     return F.when(possible, found).otherwise(F.array()).cast(FOUND)
 
 
-def located(docs: DataFrame, found: list[Column], kept: list[str]) -> DataFrame:
+def located(
+    docs: DataFrame, found: list[Column], kept: list[str], tag: Column | None = None
+) -> DataFrame:
     """One row for each match, and one with a null kind for each row of ``docs``.
 
     Columns: ``line`` (a number for each row of ``docs``), kind, start and stop
     (code points, stop exclusive), before, surface, after; the row with the null
-    kind has ``row``, a struct of the columns ``kept``, which is null elsewhere.
+    kind has ``row``, a struct of the columns ``kept``, which is null elsewhere.  ``tag`` goes along with every row.
     """
     blank = F.array(F.lit(None)).cast(FOUND)
     rows = docs.select(
         F.monotonically_increasing_id().alias("line"), F.struct(*kept).alias("row"),
+        (F.lit(None).cast("string") if tag is None else tag).alias("tag"),
         F.concat(blank, *found).alias("found"),
     )
-    rows = rows.select("line", "row", F.posexplode("found").alias("at", "one"))
-    rows = rows.select("line", F.when(F.col("at") == 0, F.col("row")).alias("row"), "one.*")
+    rows = rows.select("line", "row", "tag", F.posexplode("found").alias("at", "one"))
+    rows = rows.select("line", "tag", F.when(F.col("at") == 0, F.col("row")).alias("row"), "one.*")
     own = Window.partitionBy("line", "kind").orderBy("number")
     start = F.sum("gap").over(own.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce(
         F.sum(F.length("surface")).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     return rows.select(
-        "line", "row", "kind", start.alias("start"),
+        "line", "tag", "row", "kind", start.alias("start"),
         (start + F.length("surface")).alias("stop"), "before", "surface", "after",
     )
 
