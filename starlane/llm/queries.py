@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from starlane.llm import oracle
 from starlane.llm.decontaminate import op3_benchmark_decontamination
+from starlane.llm.jaccard_join import op2_jaccard_join
 from starlane.llm.licenses import op5_license_scan
 from starlane.llm.packing import op8_packing
 from starlane.llm.personal_data import op9_personal_data
@@ -14,6 +15,7 @@ from starlane.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_license_scan": op5_license_scan,
     "op6_quality_classifier": op6_quality_classifier,
