@@ -12,7 +12,10 @@ import os
 import numpy as np
 
 # Distinct words that a task's process keeps ids for; the store starts anew beyond.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 800_000
+
+# Marks that form a part of their own between an ASCII letter and the end of a word.
+_MARKS = b".,!?;:$%&#*"
 
 
 def default_vocabulary() -> str:
@@ -34,15 +37,30 @@ class Subwords:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        """Make sure that the store has all of ``words``."""
+        """Make sure that the store has all of ``words``.
+
+        Words are lowered by the tokenizer, and marks after a letter are a part of
+        their own to it; so most words are put together from parts known already.
+        A special token's string must stay as it is.
+        """
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
-        new = list(words - self.known.keys())
+        made = {}
+        for word in words - self.known.keys():
+            low = word.lower()
+            if b"<|" in low:
+                low = word
+            stem = low.rstrip(_MARKS)
+            apart = len(stem) < len(low) and 97 <= (stem[-1] if stem else 0) <= 122
+            made[word] = (stem, low[len(stem) :]) if apart else (low,)
+        new = list({part for parts in made.values() for part in parts} - self.known.keys())
         texts = [w.decode("utf-8", "replace") for w in new]
         for word, found in zip(
             new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ):
             self.known[word] = np.array(found.ids, dtype=self.dtype).tobytes()
+        for word, parts in made.items():
+            self.known[word] = b"".join([self.known[part] for part in parts])
 
     def ids(self, words: list[bytes]) -> bytes:
         """The ids of words that the store has, one after the other."""
