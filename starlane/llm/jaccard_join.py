@@ -39,9 +39,10 @@ class Similarity:
 
     words: int = 4
     percent: int = 85
-    axes: int = 128
+    axes: int = 1024
     leaf: int = 16
     most: int = 4096
+    rounds: int = 2
 
     def differing(self, size: int) -> int:
         """Tokens in which a set of ``size`` and a linked larger one differ at most."""
@@ -168,7 +169,7 @@ def points(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame:
                 tokens.append(own.tobytes())
                 axis = (_mixed(own) >> np.uint64(40)) % np.uint64(how.axes)
                 count = np.bincount(axis.astype(np.int64), minlength=how.axes)
-                counts.append(count.astype("<u4").tobytes())
+                counts.append(count.astype("<u4").tobytes() if count.max() >> 16 else count.astype("<u2").tobytes())
         return {"digest": pa.array(digests, pa.int64()), "tokens": pa.array(tokens, pa.binary()),
                 "counts": pa.array(counts, pa.binary())}
 
@@ -187,7 +188,7 @@ class CountTree:
 
     def __init__(self, counts: np.ndarray, leaf: int):
         self.counts, self.leaf = counts, leaf
-        self.sizes = counts.sum(axis=1)
+        self.sizes = counts.sum(axis=1, dtype=np.int64)
         # Neighbours in size, then along the axes that vary most.
         axes = np.argsort(-counts.var(axis=0), kind="stable")[:3]
         self.order = np.lexsort([*[counts[:, k] for k in axes[::-1]], np.log2(self.sizes + 1).astype(int)])
@@ -206,9 +207,10 @@ class CountTree:
         for level in range(len(self.levels) - 1, -1, -1):
             tops, lows = self.levels[level]
             bound = np.empty(len(query), dtype=np.int64)
-            for a in range(0, len(query), 4096):
-                part = slice(a, a + 4096)
-                bound[part] = np.minimum(self.counts[query[part]], tops[box[part]]).sum(axis=1)
+            for a in range(0, len(query), 512):
+                part = slice(a, a + 512)
+                both = np.minimum(self.counts[query[part]], tops[box[part]])
+                bound[part] = both.sum(axis=1, dtype=np.int64)
             ok = _enough(bound, self.sizes[query] + lows[box], percent)
             query, box, bound = query[ok], box[ok], bound[ok]
             if level:
@@ -220,11 +222,12 @@ class CountTree:
 
 
 def _candidates(region: list[dict], best: bool, how: Similarity) -> set[tuple[int, int]]:
-    """Pairs of a region's sets in different components that may link; with ``best`` only the
-    closest of each set in each other component."""
+    """Pairs of a region's sets in different components that may link; with ``best`` only each
+    set with the closest to it."""
     names = [x["digest"] for x in region]
     comp = np.array([x["comp"] for x in region])
-    tree = CountTree(np.stack([np.frombuffer(x["counts"], "<u4") for x in region]).astype(np.int64), how.leaf)
+    counts = [np.frombuffer(x["counts"], f"<u{len(x['counts']) // how.axes}") for x in region]
+    tree = CountTree(np.stack(counts), how.leaf)
     pairs = set()
     for low in range(0, len(names), 256):
         query, other, bound = tree.search(np.arange(low, min(low + 256, len(names))), how.percent)
@@ -232,9 +235,9 @@ def _candidates(region: list[dict], best: bool, how: Similarity) -> set[tuple[in
         query, other, bound = query[ok], other[ok], bound[ok]
         if best and len(query):
             closeness = bound / (tree.sizes[query] + tree.sizes[other])
-            order = np.lexsort([other, -closeness, comp[other], query])
+            order = np.lexsort([other, -closeness, query])
             query, other = query[order], other[order]
-            new = np.append(True, (np.diff(query) != 0) | (np.diff(comp[other]) != 0))
+            new = np.append(True, np.diff(query) != 0)
             query, other = query[new], other[new]
         for a, b in zip(query.tolist(), other.tolist()):
             pairs.add((min(names[a], names[b]), max(names[a], names[b])))
@@ -297,7 +300,8 @@ def jaccard_join(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
     but is no candidate for the smallest id.  Every pair that links is found, or
     joined already by other links: first each set is verified against the leader
     that it shares most regions with, then in regions that still hold several
-    components the closest sets across these, and at last all that the bound allows.
+    components each set against the closest in another, and at last all that the
+    bound allows.
     """
     sets = signed(docs, how)
     shared = shared_regions(sets.where("digest is not null").select("regions", "digest"))
@@ -308,7 +312,7 @@ def jaccard_join(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
     stars = stars.groupBy("digest").agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("lead"))
     links = verified(stars.select(F.col("lead").alias("a"), F.col("digest").alias("b")), spots, how)
     comps = components(links)
-    for best in (True, False):
+    for best in [True] * how.rounds + [False]:
         found = verified(candidates(shared, comps, spots, best, how), spots, how)
         links = links.unionByName(found)
         comps = components(links)
