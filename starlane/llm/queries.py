@@ -6,6 +6,7 @@ from starlane.llm import oracle
 from starlane.llm.decontaminate import op3_benchmark_decontamination
 from starlane.llm.jaccard_join import op2_jaccard_join
 from starlane.llm.licenses import op5_license_scan
+from starlane.llm.lm_scoring import op4_lm_scoring
 from starlane.llm.packing import op8_packing
 from starlane.llm.personal_data import op9_personal_data
 from starlane.llm.quality_classifier import op6_quality_classifier
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_license_scan": op5_license_scan,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
