@@ -23,12 +23,16 @@ CELL, BLOCK, CHUNK, STRIDE = 4, 16, 8, 7  # bytes; cells; blocks; blocks
 
 @dataclass(frozen=True)
 class Training:
-    """Size of the sample and of the network; ``rows`` texts of ``most_bytes`` at most."""
+    """Size of the sample and of the network; ``rows`` texts of ``most_bytes`` at most.
+
+    The sample is read ``epochs`` times, or as often as ``steps`` batches need.
+    """
 
     rows: int = 4000
     most_bytes: int = 32768
     chunks_a_text: int = 6
     epochs: int = 10
+    steps: int = 400
     rate: float = 4e-3
     embedding: int = 6
     filters: int = 24
@@ -189,9 +193,10 @@ def train(sample: list[tuple[bytes, int]], sizes: Training = Training()) -> Netw
     first = {k: np.zeros_like(v) for k, v in net.weights.items()}
     second = {k: np.zeros_like(v) for k, v in net.weights.items()}
     step = 0
-    for epoch in range(sizes.epochs):
+    epochs = max(sizes.epochs, -(-sizes.steps * 128 // len(rows)))
+    for epoch in range(epochs):
         order = rng.permutation(len(rows))
-        rate = sizes.rate * (1 - epoch / sizes.epochs)
+        rate = sizes.rate * (1 - epoch / epochs)
         for low in range(0, len(order), 128):
             pick, step = order[low : low + 128], step + 1
             for k, g in net.gradients(data[pick], near[pick], labels[pick]).items():
