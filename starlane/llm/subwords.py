@@ -1,12 +1,13 @@
 """Subword ids of whole texts, through a public tokenizer and a bounded store of known words.
 
-The tokenizers read here drop white space and never merge across it, so a text's
-ids are those of its white-space-separated parts in order; each distinct part is
+The tokenizers read here never merge across white space, so a text's ids are
+those of its white-space-separated parts in order; each distinct part is
 tokenized once while the store lasts.
 """
 
 from __future__ import annotations
 
+import base64
 import os
 
 import numpy as np
@@ -18,21 +19,42 @@ KEPT_WORDS = 800_000
 _MARKS = b".,!?;:$%&#*"
 
 
-def default_vocabulary() -> str:
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def default_vocabulary() -> str:
+    return vocabulary()
 
 
 class Subwords:
-    """Turns words into ids, kept as little-endian bytes of ``dtype``."""
+    """Turns words into ids, kept as little-endian bytes of ``dtype``.
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    A ``.tiktoken`` file is a list of ranks, of which a word is read with a blank
+    before it; any other file is a tokenizer of its own.
+    """
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size()
+    def __init__(self, path: str):
+        if path.endswith(".tiktoken"):
+            import tiktoken
+            from public_tokenizers import PATTERN
+
+            with open(path, "rb") as lines:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            coder = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.size = max(ranks.values()) + 1
+            self._encode = lambda texts: [coder.encode_ordinary(f" {t}") for t in texts]
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            tokenizer = Tokenizer.from_file(path)
+            self.size = tokenizer.get_vocab_size()
+            self._encode = lambda texts: [
+                x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            ]
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
 
@@ -55,10 +77,8 @@ class Subwords:
             made[word] = (stem, low[len(stem) :]) if apart else (low,)
         new = list({part for parts in made.values() for part in parts} - self.known.keys())
         texts = [w.decode("utf-8", "replace") for w in new]
-        for word, found in zip(
-            new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ):
-            self.known[word] = np.array(found.ids, dtype=self.dtype).tobytes()
+        for word, found in zip(new, self._encode(texts)):
+            self.known[word] = np.array(found, dtype=self.dtype).tobytes()
         for word, parts in made.items():
             self.known[word] = b"".join([self.known[part] for part in parts])
 
