@@ -62,9 +62,13 @@ class ForeignKey:
 
 @dataclass(frozen=True)
 class TableContract:
-    """One table: ordered typed columns, key, required columns, references."""
+    """One table: ordered typed columns, key, required columns, references.
+
+    A ``dim`` is overwritten by each load, a ``fact`` is appended to.
+    """
 
     name: str
+    kind: str
     types: dict[str, str]
     primary_key: tuple[str, ...]
     required: tuple[str, ...]
@@ -75,11 +79,6 @@ class TableContract:
     def columns(self) -> list[str]:
         return list(self.types)
 
-    @property
-    def kind(self) -> str:
-        """``fact`` for tables keyed by text, ``dim`` for the numbered ones."""
-        return "fact" if self.types[self.primary_key[0]] == "string" else "dim"
-
     @property
     def target(self) -> str:
         return f"{self.kind}_{self.name}"
@@ -103,161 +102,296 @@ class TableContract:
         )
 
 
-def _contract(name, columns, key, required, references="", formats=None):
-    """Build a contract from the compact notation used below.
-
-    ``columns`` groups names by type, ``references`` lists ``column>table``
-    pairs whose key has the same name as the column.
-    """
-    types = dict(pair.split(":") for pair in columns.split())
-    keys = []
-    for pair in references.split():
-        column, table = pair.split(">")
-        keys.append(ForeignKey(column, table, column))
-    return TableContract(
-        name, types, (key,), tuple(required.split()), tuple(keys), formats or {}
-    )
-
-
 # The sixteen table contracts.
 CONTRACTS: dict[str, TableContract] = {
-    c.name: c
-    for c in [
-        _contract(
-            "customers",
-            "customer_id:int full_name:string email:string phone:string region_id:int "
-            "segment_id:int signup_date:date gender:string created_at:timestamp "
-            "updated_at:timestamp",
-            key="customer_id",
-            required="customer_id region_id segment_id",
-            references="region_id>regions segment_id>segments",
-            formats={"email": "email", "phone": "phone"},
-        ),
-        _contract(
-            "drivers",
-            "driver_id:int driver_name:string driver_phone:string national_id:string "
-            "region_id:int shift:string vehicle_type:string hire_date:date "
-            "rating_avg:float on_time_rate:float cancel_rate:float "
-            "completed_deliveries:int is_active:boolean created_at:timestamp "
-            "updated_at:timestamp",
-            key="driver_id",
-            required="driver_id driver_name national_id region_id",
-            references="region_id>regions",
-            formats={"driver_phone": "phone"},
-        ),
-        _contract(
-            "restaurants",
-            "restaurant_id:int restaurant_name:string region_id:int category_id:int "
-            "price_tier:string rating_avg:float prep_time_avg_min:int "
-            "is_active:boolean created_at:timestamp updated_at:timestamp",
-            key="restaurant_id",
-            required="restaurant_id region_id category_id",
-            references="region_id>regions category_id>categories",
-        ),
-        _contract(
-            "agents",
-            "agent_id:int agent_name:string agent_email:string agent_phone:string "
-            "team_id:int skill_level:string hire_date:date avg_handle_time_min:float "
-            "resolution_rate:float csat_score:float is_active:boolean "
-            "created_at:timestamp updated_at:timestamp",
-            key="agent_id",
-            required="agent_id agent_name team_id",
-            references="team_id>teams",
-            formats={"agent_email": "email", "agent_phone": "phone"},
-        ),
-        _contract(
-            "teams",
-            "team_id:int team_name:string",
-            key="team_id",
-            required="team_id team_name",
-        ),
-        _contract(
-            "channels",
-            "channel_id:int channel_name:string",
-            key="channel_id",
-            required="channel_id channel_name",
-        ),
-        _contract(
-            "priorities",
-            "priority_id:int priority_code:string priority_name:string "
-            "sla_first_response_min:int sla_resolution_min:int",
-            key="priority_id",
-            required="priority_id priority_code",
+    "customers": TableContract(
+        name="customers",
+        kind="dim",
+        types={
+            "customer_id": "int",
+            "full_name": "string",
+            "email": "string",
+            "phone": "string",
+            "region_id": "int",
+            "segment_id": "int",
+            "signup_date": "date",
+            "gender": "string",
+            "created_at": "timestamp",
+            "updated_at": "timestamp",
+        },
+        primary_key=("customer_id",),
+        required=("customer_id", "region_id", "segment_id"),
+        foreign_keys=(
+            ForeignKey("region_id", "regions", "region_id"),
+            ForeignKey("segment_id", "segments", "segment_id"),
         ),
-        _contract(
-            "reason_categories",
-            "reason_category_id:int category_name:string",
-            key="reason_category_id",
-            required="reason_category_id category_name",
+        formats={"email": "email", "phone": "phone"},
+    ),
+    "drivers": TableContract(
+        name="drivers",
+        kind="dim",
+        types={
+            "driver_id": "int",
+            "driver_name": "string",
+            "driver_phone": "string",
+            "national_id": "string",
+            "region_id": "int",
+            "shift": "string",
+            "vehicle_type": "string",
+            "hire_date": "date",
+            "rating_avg": "float",
+            "on_time_rate": "float",
+            "cancel_rate": "float",
+            "completed_deliveries": "int",
+            "is_active": "boolean",
+            "created_at": "timestamp",
+            "updated_at": "timestamp",
+        },
+        primary_key=("driver_id",),
+        required=("driver_id", "driver_name", "national_id", "region_id"),
+        foreign_keys=(
+            ForeignKey("region_id", "regions", "region_id"),
         ),
-        _contract(
-            "cities",
-            "city_id:int city_name:string country:string timezone:string",
-            key="city_id",
-            required="city_id city_name",
+        formats={"driver_phone": "phone"},
+    ),
+    "restaurants": TableContract(
+        name="restaurants",
+        kind="dim",
+        types={
+            "restaurant_id": "int",
+            "restaurant_name": "string",
+            "region_id": "int",
+            "category_id": "int",
+            "price_tier": "string",
+            "rating_avg": "float",
+            "prep_time_avg_min": "int",
+            "is_active": "boolean",
+            "created_at": "timestamp",
+            "updated_at": "timestamp",
+        },
+        primary_key=("restaurant_id",),
+        required=("restaurant_id", "region_id", "category_id"),
+        foreign_keys=(
+            ForeignKey("region_id", "regions", "region_id"),
+            ForeignKey("category_id", "categories", "category_id"),
         ),
-        _contract(
-            "categories",
-            "category_id:int category_name:string",
-            key="category_id",
-            required="category_id category_name",
+    ),
+    "agents": TableContract(
+        name="agents",
+        kind="dim",
+        types={
+            "agent_id": "int",
+            "agent_name": "string",
+            "agent_email": "string",
+            "agent_phone": "string",
+            "team_id": "int",
+            "skill_level": "string",
+            "hire_date": "date",
+            "avg_handle_time_min": "float",
+            "resolution_rate": "float",
+            "csat_score": "float",
+            "is_active": "boolean",
+            "created_at": "timestamp",
+            "updated_at": "timestamp",
+        },
+        primary_key=("agent_id",),
+        required=("agent_id", "agent_name", "team_id"),
+        foreign_keys=(
+            ForeignKey("team_id", "teams", "team_id"),
         ),
-        _contract(
-            "regions",
-            "region_id:int region_name:string city_id:int delivery_base_fee:float",
-            key="region_id",
-            required="region_id region_name city_id",
-            references="city_id>cities",
+        formats={"agent_email": "email", "agent_phone": "phone"},
+    ),
+    "teams": TableContract(
+        name="teams",
+        kind="dim",
+        types={
+            "team_id": "int",
+            "team_name": "string",
+        },
+        primary_key=("team_id",),
+        required=("team_id", "team_name"),
+    ),
+    "channels": TableContract(
+        name="channels",
+        kind="dim",
+        types={
+            "channel_id": "int",
+            "channel_name": "string",
+        },
+        primary_key=("channel_id",),
+        required=("channel_id", "channel_name"),
+    ),
+    "priorities": TableContract(
+        name="priorities",
+        kind="dim",
+        types={
+            "priority_id": "int",
+            "priority_code": "string",
+            "priority_name": "string",
+            "sla_first_response_min": "int",
+            "sla_resolution_min": "int",
+        },
+        primary_key=("priority_id",),
+        required=("priority_id", "priority_code"),
+    ),
+    "reason_categories": TableContract(
+        name="reason_categories",
+        kind="dim",
+        types={
+            "reason_category_id": "int",
+            "category_name": "string",
+        },
+        primary_key=("reason_category_id",),
+        required=("reason_category_id", "category_name"),
+    ),
+    "cities": TableContract(
+        name="cities",
+        kind="dim",
+        types={
+            "city_id": "int",
+            "city_name": "string",
+            "country": "string",
+            "timezone": "string",
+        },
+        primary_key=("city_id",),
+        required=("city_id", "city_name"),
+    ),
+    "categories": TableContract(
+        name="categories",
+        kind="dim",
+        types={
+            "category_id": "int",
+            "category_name": "string",
+        },
+        primary_key=("category_id",),
+        required=("category_id", "category_name"),
+    ),
+    "regions": TableContract(
+        name="regions",
+        kind="dim",
+        types={
+            "region_id": "int",
+            "region_name": "string",
+            "city_id": "int",
+            "delivery_base_fee": "float",
+        },
+        primary_key=("region_id",),
+        required=("region_id", "region_name", "city_id"),
+        foreign_keys=(
+            ForeignKey("city_id", "cities", "city_id"),
         ),
-        _contract(
-            "segments",
-            "segment_id:int segment_name:string discount_pct:float "
-            "priority_support:boolean",
-            key="segment_id",
-            required="segment_id segment_name",
+    ),
+    "segments": TableContract(
+        name="segments",
+        kind="dim",
+        types={
+            "segment_id": "int",
+            "segment_name": "string",
+            "discount_pct": "float",
+            "priority_support": "boolean",
+        },
+        primary_key=("segment_id",),
+        required=("segment_id", "segment_name"),
+    ),
+    "reasons": TableContract(
+        name="reasons",
+        kind="dim",
+        types={
+            "reason_id": "int",
+            "reason_name": "string",
+            "reason_category_id": "int",
+            "severity_level": "string",
+            "typical_refund_pct": "float",
+        },
+        primary_key=("reason_id",),
+        required=("reason_id", "reason_name", "reason_category_id"),
+        foreign_keys=(
+            ForeignKey("reason_category_id", "reason_categories", "reason_category_id"),
         ),
-        _contract(
-            "reasons",
-            "reason_id:int reason_name:string reason_category_id:int "
-            "severity_level:string typical_refund_pct:float",
-            key="reason_id",
-            required="reason_id reason_name reason_category_id",
-            references="reason_category_id>reason_categories",
+    ),
+    "orders": TableContract(
+        name="orders",
+        kind="fact",
+        types={
+            "order_id": "string",
+            "customer_id": "int",
+            "restaurant_id": "int",
+            "driver_id": "int",
+            "region_id": "int",
+            "order_amount": "float",
+            "delivery_fee": "float",
+            "discount_amount": "float",
+            "total_amount": "float",
+            "order_status": "string",
+            "payment_method": "string",
+            "order_created_at": "timestamp",
+            "delivered_at": "timestamp",
+        },
+        primary_key=("order_id",),
+        required=("order_id", "customer_id", "restaurant_id", "driver_id", "region_id"),
+        foreign_keys=(
+            ForeignKey("customer_id", "customers", "customer_id"),
+            ForeignKey("restaurant_id", "restaurants", "restaurant_id"),
+            ForeignKey("driver_id", "drivers", "driver_id"),
+            ForeignKey("region_id", "regions", "region_id"),
         ),
-        _contract(
-            "orders",
-            "order_id:string customer_id:int restaurant_id:int driver_id:int "
-            "region_id:int order_amount:float delivery_fee:float "
-            "discount_amount:float total_amount:float order_status:string "
-            "payment_method:string order_created_at:timestamp delivered_at:timestamp",
-            key="order_id",
-            required="order_id customer_id restaurant_id driver_id region_id",
-            references="customer_id>customers restaurant_id>restaurants "
-            "driver_id>drivers region_id>regions",
+    ),
+    "tickets": TableContract(
+        name="tickets",
+        kind="fact",
+        types={
+            "ticket_id": "string",
+            "order_id": "string",
+            "customer_id": "int",
+            "driver_id": "int",
+            "restaurant_id": "int",
+            "agent_id": "int",
+            "reason_id": "int",
+            "priority_id": "int",
+            "channel_id": "int",
+            "status": "string",
+            "refund_amount": "float",
+            "created_at": "timestamp",
+            "first_response_at": "timestamp",
+            "resolved_at": "timestamp",
+            "sla_first_due_at": "timestamp",
+            "sla_resolve_due_at": "timestamp",
+        },
+        primary_key=("ticket_id",),
+        required=(
+            "ticket_id", "order_id", "agent_id", "customer_id", "driver_id", "restaurant_id",
+            "reason_id", "priority_id", "channel_id",
         ),
-        _contract(
-            "tickets",
-            "ticket_id:string order_id:string customer_id:int driver_id:int "
-            "restaurant_id:int agent_id:int reason_id:int priority_id:int "
-            "channel_id:int status:string refund_amount:float created_at:timestamp "
-            "first_response_at:timestamp resolved_at:timestamp "
-            "sla_first_due_at:timestamp sla_resolve_due_at:timestamp",
-            key="ticket_id",
-            required="ticket_id order_id agent_id customer_id driver_id "
-            "restaurant_id reason_id priority_id channel_id",
-            references="order_id>orders agent_id>agents customer_id>customers "
-            "restaurant_id>restaurants driver_id>drivers reason_id>reasons "
-            "channel_id>channels priority_id>priorities",
+        foreign_keys=(
+            ForeignKey("order_id", "orders", "order_id"),
+            ForeignKey("agent_id", "agents", "agent_id"),
+            ForeignKey("customer_id", "customers", "customer_id"),
+            ForeignKey("restaurant_id", "restaurants", "restaurant_id"),
+            ForeignKey("driver_id", "drivers", "driver_id"),
+            ForeignKey("reason_id", "reasons", "reason_id"),
+            ForeignKey("channel_id", "channels", "channel_id"),
+            ForeignKey("priority_id", "priorities", "priority_id"),
         ),
-        _contract(
-            "ticket_events",
-            "event_id:string ticket_id:string agent_id:int event_ts:timestamp "
-            "old_status:string new_status:string notes:string",
-            key="event_id",
-            required="event_id ticket_id agent_id event_ts",
-            references="ticket_id>tickets agent_id>agents",
+    ),
+    "ticket_events": TableContract(
+        name="ticket_events",
+        kind="fact",
+        types={
+            "event_id": "string",
+            "ticket_id": "string",
+            "agent_id": "int",
+            "event_ts": "timestamp",
+            "old_status": "string",
+            "new_status": "string",
+            "notes": "string",
+        },
+        primary_key=("event_id",),
+        required=("event_id", "ticket_id", "agent_id", "event_ts"),
+        foreign_keys=(
+            ForeignKey("ticket_id", "tickets", "ticket_id"),
+            ForeignKey("agent_id", "agents", "agent_id"),
         ),
-    ]
+    ),
 }
 
 # Accepted text formats.

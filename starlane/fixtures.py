@@ -3,7 +3,7 @@
 ``oracle_sql`` holds the same derivations as SQL text for the other engine.
 Here they are written so that one user, order or segment with a third of all
 rows does not land in one task: lookups go through measured joins, and the
-per-user time line is cut into minutes when a user is heavy.
+per-user time line is cut into ranges of user and time.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starlane.operators.lookup import LIMITS, Limits, heavy_keys, large_join, lookup_join
+from starlane.operators.lookup import LIMITS, Limits, lookup_join
 from starlane.session import materialize
 
 
@@ -116,22 +116,21 @@ class Fixtures:
 
     @cached_property
     def reason_categories(self) -> DataFrame:
-        return self._literal(
-            "reason_category_id, category_name",
-            "(1L, 'Delivery')",
-            "(2L, 'Food')",
-            "(3L, 'Payment')",
-        )
+        key = _long("r_regionkey") % 3 + 1
+        return self.table("region").select(
+            key.alias("reason_category_id"),
+            F.concat(F.lit("Category "), key.cast("string")).alias("category_name"),
+        ).distinct()
 
     @cached_property
     def reasons(self) -> DataFrame:
-        return self._literal(
-            "reason_id, reason_name, reason_category_id, severity_level, typical_refund_pct",
-            "(1L, 'Late Delivery', 1L, '3', 0.15D)",
-            "(2L, 'Wrong Item', 2L, '3', 0.5D)",
-            "(3L, 'Missing Items', 2L, '2', 0.3D)",
-            "(4L, 'Payment Issue', 3L, '3', 1.0D)",
-            "(5L, 'Never Arrived', 1L, '5', 1.0D)",
+        key = _long("r_regionkey")
+        return self.table("region").select(
+            (key + 1).alias("reason_id"),
+            F.col("r_name").alias("reason_name"),
+            (key % 3 + 1).alias("reason_category_id"),
+            F.length("r_name").cast("string").alias("severity_level"),
+            (key.cast("double") * 0.25).alias("typical_refund_pct"),
         )
 
     @cached_property
@@ -246,13 +245,7 @@ class Fixtures:
     @cached_property
     def ev(self) -> DataFrame:
         """Events with what came before and after in their user's time line."""
-        events = self.table("events")
-        return timeline_in_minutes(events) if self._heavy_users else timeline(events)
-
-    @cached_property
-    def _heavy_users(self) -> bool:
-        found = heavy_keys(self.table("events"), ["user_id"], self.limits)
-        return found is not None
+        return timeline(self.table("events"))
 
     @cached_property
     def tickets(self) -> DataFrame:
@@ -266,18 +259,7 @@ class Fixtures:
             .join(self.lines.select("l_orderkey", "restaurant_id", "driver_id"), "l_orderkey", "left")
         )
         tickets = self.ev.filter(errors).withColumn("k", k)
-        joined = (
-            large_join(
-                tickets,
-                last_order,
-                ["user_id"],
-                "left",
-                self.limits,
-                keys_from=events.filter(errors),
-            )
-            if self._heavy_users
-            else tickets.join(last_order, "user_id", "left")
-        )
+        joined = tickets.join(last_order, "user_id", "left")
         return joined.select(
             F.concat(F.lit("T"), _text("event_id")).alias("ticket_id"),
             _text("l_orderkey").alias("order_id"),
@@ -321,12 +303,13 @@ def _error_id() -> Column:
 
 def _windowed(events: DataFrame, keys: list[str]) -> DataFrame:
     line = Window.partitionBy(*keys).orderBy("ts", "event_id")
-    after = line.rowsBetween(1, Window.unboundedFollowing)
+    # What follows is what comes before in reverse order: each row costs the same.
+    back = Window.partitionBy(*keys).orderBy(F.desc("ts"), F.desc("event_id"))
+    after = back.rowsBetween(Window.unboundedPreceding, -1)
     so_far = line.rowsBetween(Window.unboundedPreceding, 0)
     return events.withColumns(
         {
-            "next_ts": F.lead("ts").over(line),
-            "next_type": F.lead("event_type").over(line),
+            "__after": F.lead(F.struct("ts", "event_type")).over(line),
             "prev_type": F.lag("event_type").over(line),
             "next_purchase": F.min(_purchase_ts()).over(after),
             "last_error": F.max(_error_id()).over(so_far),
@@ -335,47 +318,47 @@ def _windowed(events: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def timeline(events: DataFrame) -> DataFrame:
-    """One window per user, for users known to hold few events."""
-    return _windowed(events, ["user_id"])
-
-
-def timeline_in_minutes(events: DataFrame) -> DataFrame:
-    """The same columns for users of any size.
+    """``events`` with the next and previous ones of the same user, for users of any size.
 
-    Windows run within one minute of one user.  One summary row per user and
-    minute then carries the neighbours' values across minutes; its window per
-    user holds at most as many rows as the data spans minutes.
+    Events are dealt into ranges of user and time, written out, and windows run
+    within one range of one user, so no task holds more than its range.  One
+    summary row per user and range then carries the neighbours across ranges.  A
+    NULL time comes first; a NULL user is a user.
     """
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    minute = (F.col("ts") - epoch).cast("interval minute").cast("bigint")
-    parts = events.withColumn("minute", minute)
-    within = _windowed(parts, ["user_id", "minute"])
+    dealt = events.repartitionByRange("user_id", "ts", "event_id")
+    parts = materialize(dealt.withColumn("__part", F.spark_partition_id()), "timeline")
+    within = _windowed(parts, ["user_id", "__part"])
     position = F.struct("ts", "event_id", "event_type")
-    summary = parts.groupBy("user_id", "minute").agg(
+    summary = parts.groupBy("user_id", "__part").agg(
         F.min(position).alias("first"),
         F.max(position).alias("last"),
         F.min(_purchase_ts()).alias("purchase"),
         F.max(_error_id()).alias("error"),
     )
-    line = Window.partitionBy("user_id").orderBy("minute")
-    after = line.rowsBetween(1, Window.unboundedFollowing)
-    before = line.rowsBetween(Window.unboundedPreceding, -1)
+    line = Window.partitionBy("user_id").orderBy("__part")
+    back = Window.partitionBy("user_id").orderBy(F.desc("__part"))
     around = summary.select(
         F.col("user_id").alias("__user"),
-        F.col("minute").alias("__minute"),
+        F.col("__part").alias("__range"),
         F.lead("first").over(line).alias("__next"),
         F.lag("last").over(line).alias("__prev"),
-        F.min("purchase").over(after).alias("__purchase"),
-        F.max("error").over(before).alias("__error"),
+        F.min("purchase").over(back.rowsBetween(Window.unboundedPreceding, -1)).alias("__purchase"),
+        F.max("error").over(line.rowsBetween(Window.unboundedPreceding, -1)).alias("__error"),
+    )
+    same = F.col("user_id").eqNullSafe(F.col("__user")) & (F.col("__part") == F.col("__range"))
+    here = F.col("__after").isNotNull()
+    return (
+        within.join(around, same, "left")
+        .withColumns(
+            {
+                "next_ts": F.when(here, F.col("__after.ts")).otherwise(F.col("__next.ts")),
+                "next_type": F.when(here, F.col("__after.event_type")).otherwise(
+                    F.col("__next.event_type")
+                ),
+                "prev_type": F.coalesce("prev_type", "__prev.event_type"),
+                "next_purchase": F.coalesce("next_purchase", "__purchase"),
+                "last_error": F.greatest("last_error", "__error"),
+            }
+        )
+        .select(*events.columns, "next_ts", "next_type", "prev_type", "next_purchase", "last_error")
     )
-    same_user = F.col("user_id").eqNullSafe(F.col("__user"))
-    joined = within.join(around, same_user & (F.col("minute") == F.col("__minute")))
-    return joined.withColumns(
-        {
-            "next_type": F.when(F.col("next_ts").isNull(), F.col("__next.event_type")).otherwise(F.col("next_type")),
-            "prev_type": F.coalesce("prev_type", "__prev.event_type"),
-            "next_purchase": F.coalesce("next_purchase", "__purchase"),
-            "last_error": F.greatest("last_error", "__error"),
-            "next_ts": F.coalesce("next_ts", "__next.ts"),
-        }
-    ).select(*events.columns, "next_ts", "next_type", "prev_type", "next_purchase", "last_error")

@@ -6,8 +6,9 @@ shape.  All of it is built-in expressions and stays in generated code.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starlane.contracts import spark_type
 
@@ -83,3 +84,9 @@ def known(text: Column, type_name: str) -> Column:
 
 def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """``df`` with NaN as NULL in its fractional columns, as tables keep it."""
+    fractional = [f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    return df.withColumns({c: nan_to_null(F.col(f"`{c}`")) for c in fractional})

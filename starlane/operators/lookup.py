@@ -22,19 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starlane.session import materialize
+
 
 @dataclass(frozen=True)
 class Limits:
-    """Bounds behind each broadcast.
-
-    ``heavy_keys`` caps only how many keys get the special way: a key outside
-    the top thousand holds less than a thousandth of the rows.
-    """
+    """Bounds behind each broadcast, and from how many rows on a key is heavy."""
 
     broadcast_rows: int = 500_000
     broadcast_bytes: int = 64 << 20
     heavy_rows: int = 1_000_000
-    heavy_keys: int = 1_000
 
 
 LIMITS = Limits()
@@ -54,13 +51,12 @@ def _row_bytes(schema: T.StructType):
 def fits_broadcast(sides: dict[str, DataFrame], limits: Limits = LIMITS) -> set[str]:
     """Names of the frames within the broadcast bounds, measured in one job.
 
-    Each frame is read up to one row past the bound at most.
+    Rows and bytes are summed where they lie; one row of sums moves per task.
     """
     if not sides:
         return set()
     measured = [
-        df.limit(limits.broadcast_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema)).alias("size"))
+        df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema)).alias("size"))
         .select(F.lit(name).alias("name"), "n", "size")
         for name, df in sides.items()
     ]
@@ -75,21 +71,12 @@ def fits_broadcast(sides: dict[str, DataFrame], limits: Limits = LIMITS) -> set[
 def heavy_keys(df: DataFrame, keys: list[str], limits: Limits = LIMITS) -> DataFrame | None:
     """The keys holding so many rows that one task should not get them all.
 
-    Counting combines before the shuffle, and at most ``limits.heavy_keys``
-    keys come back.  NULL counts as a key: a shuffle sends all NULLs to one task.
+    Counting combines before the shuffle, and every key past the bound is among
+    them.  NULL counts as a key: a shuffle sends all NULLs to one task.
     """
-    counts = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") >= limits.heavy_rows)
-        .orderBy(F.desc("rows"))
-        .limit(limits.heavy_keys)
-        .select(*keys)
-    )
-    found = counts.collect()
-    if not found:
-        return None
-    return df.sparkSession.createDataFrame(found, counts.schema)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    found = materialize(counts.filter(F.col("rows") >= limits.heavy_rows).select(*keys), "heavy")
+    return None if found.isEmpty() else found
 
 
 def large_join(
@@ -98,23 +85,24 @@ def large_join(
     keys: list[str],
     how: str,
     limits: Limits = LIMITS,
-    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join where the lookup side may be any size.
 
-    ``keys_from`` may name a cheaper frame that holds the left side's keys.
+    Should the heavy keys' lookup rows be too many to broadcast, the join is the
+    plain one, whose skewed partitions adaptive execution splits.
     """
-    hot = heavy_keys(left if keys_from is None else keys_from, keys, limits)
-    if hot is None:
+    hot = heavy_keys(left, keys, limits)
+    if hot is None or not fits_broadcast({"hot": hot}, limits):
+        return left.join(right, keys, how)
+    few = materialize(right.join(F.broadcast(hot), keys, "left_semi"), "heavy-lookup")
+    if not fits_broadcast({"few": few}, limits):
         return left.join(right, keys, how)
-    hot = F.broadcast(hot.withColumn("__heavy", F.lit(True)))
-    tagged = left.join(hot, keys, "left")
+    tagged = left.join(F.broadcast(hot.withColumn("__heavy", F.lit(True))), keys, "left")
     without_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     apart = F.col("__heavy").isNotNull() | without_key
     plain = tagged.filter(~apart).drop("__heavy")
     heavy = tagged.filter(apart).drop("__heavy")
-    few = F.broadcast(right.join(hot.drop("__heavy"), keys, "left_semi"))
-    return plain.join(right, keys, how).unionByName(heavy.join(few, keys, how))
+    return plain.join(right, keys, how).unionByName(heavy.join(F.broadcast(few), keys, how))
 
 
 def lookup_join(

@@ -166,3 +166,13 @@ def breaches(measured: DataFrame) -> DataFrame:
     return measured.withColumn("threshold", threshold).filter(
         F.col("value") > F.col("threshold")
     )
+
+
+def mean_latency(batches: DataFrame) -> DataFrame:
+    """Mean seconds from ``started_at`` to ``ended_at`` of each table's batches.
+
+    Whole microseconds are summed, so the mean does not depend on their order.
+    """
+    micros = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("ended_at"))
+    seconds = F.sum(micros).cast("double") / F.lit(1e6) / F.count(micros)
+    return batches.groupBy("table_name").agg(seconds.alias("avg_processing_latency_seconds"))

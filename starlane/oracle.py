@@ -46,15 +46,16 @@ FIXTURES: dict[str, str] = {
         480, 2880)) AS t(v, c, n, f, r)
     """,
     "fx_reason_categories": """
-        SELECT CAST(v AS BIGINT) AS reason_category_id, n AS category_name
-        FROM (VALUES (1, 'Delivery'), (2, 'Food'), (3, 'Payment')) AS t(v, n)
+        SELECT DISTINCT CAST(r_regionkey % 3 + 1 AS BIGINT) AS reason_category_id,
+            concat('Category ', CAST(r_regionkey % 3 + 1 AS STRING)) AS category_name
+        FROM region
     """,
     "fx_reasons": """
-        SELECT CAST(v AS BIGINT) AS reason_id, n AS reason_name, CAST(c AS BIGINT) AS
-        reason_category_id, s AS severity_level, CAST(p AS DOUBLE) AS typical_refund_pct
-        FROM (VALUES (1, 'Late Delivery', 1, '3', 0.15), (2, 'Wrong Item', 2, '3', 0.5), (3,
-        'Missing Items', 2, '2', 0.3), (4, 'Payment Issue', 3, '3', 1.0), (5, 'Never Arrived', 1, '5',
-        1.0)) AS t(v, n, c, s, p)
+        SELECT CAST(r_regionkey + 1 AS BIGINT) AS reason_id, r_name AS reason_name,
+            CAST(r_regionkey % 3 + 1 AS BIGINT) AS reason_category_id,
+            CAST(length(r_name) AS STRING) AS severity_level,
+            CAST(r_regionkey AS DOUBLE) * 0.25 AS typical_refund_pct
+        FROM region
     """,
     "fx_customers_raw": """
         SELECT CAST(c_custkey AS STRING) AS customer_id, concat('Cust', substr('ABCDEFGHIJ',
@@ -637,9 +638,9 @@ _BODIES: dict[str, str] = {
             / COUNT(*), 2) AS DOUBLE) AS reopen_rate_pct FROM gold_tickets
     """,
     "kpi_refund_revenue": """
-        SELECT CAST(SUM(CAST(refund_amount AS DECIMAL(18,2))) AS DOUBLE)
+        SELECT CAST(SUM(CAST(refund_amount AS DECIMAL(28,8))) AS DOUBLE)
                 AS total_refund_amount,
-            CAST(SUM(CAST(revenue_impact AS DECIMAL(18,2))) AS DOUBLE)
+            CAST(SUM(CAST(revenue_impact AS DECIMAL(28,8))) AS DOUBLE)
                 AS total_revenue_impact
         FROM gold_tickets
     """,
@@ -666,7 +667,7 @@ _BODIES: dict[str, str] = {
     """,
     "kpi_loss_by_reason_category": """
         SELECT r.reason_category_name,
-            CAST(SUM(CAST(t.revenue_impact AS DECIMAL(18,2))) AS DOUBLE) AS total_loss
+            CAST(SUM(CAST(t.revenue_impact AS DECIMAL(28,8))) AS DOUBLE) AS total_loss
         FROM gold_tickets t LEFT JOIN gold_reasons r ON t.reason_id = r.reason_id
         GROUP BY 1 ORDER BY 2 DESC, 1
     """,

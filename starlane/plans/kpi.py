@@ -20,8 +20,8 @@ def _percent(condition: Column) -> Column:
 
 
 def money(value: Column) -> Column:
-    """Sum in cents, exact and independent of the order of rows."""
-    return F.sum(value.cast("decimal(18,2)")).cast("double")
+    """Exact sum, independent of the order of rows; amounts keep eight decimals."""
+    return F.sum(value.cast("decimal(28,8)")).cast("double")
 
 
 def total_tickets(tickets: DataFrame) -> DataFrame:
@@ -112,7 +112,7 @@ def complaint_rate(tickets: DataFrame, orders: DataFrame) -> DataFrame:
 
 def loss_by_reason_category(tickets: DataFrame, reasons: DataFrame) -> DataFrame:
     per_reason = tickets.groupBy("reason_id").agg(
-        F.sum(F.col("revenue_impact").cast("decimal(18,2)")).alias("loss")
+        F.sum(F.col("revenue_impact").cast("decimal(28,8)")).alias("loss")
     )
     names = unique_rows(
         reasons.select("reason_id", "reason_category_name"), ["reason_id"]

@@ -443,9 +443,9 @@ def load_fact_append(fx: Fixtures) -> DataFrame:
     delivered = F.col("order_status") == "Delivered"
     first = fx.orders_base.filter(delivered).withColumn("batch_id", F.lit("b-1"))
     second = fx.orders_base.filter(~delivered).withColumn("batch_id", F.lit("b-2"))
-    store.write_fact(first, "orders")
-    store.write_fact(second, "orders")
-    store.write_fact(second, "orders")
+    store.write_fact(first, "orders", "b-1")
+    store.write_fact(second, "orders", "b-2")
+    store.write_fact(second, "orders", "b-2")
     return store.fact("orders")
 
 
@@ -1013,9 +1013,7 @@ def quality_report(fx: Fixtures) -> DataFrame:
 
 @_query
 def quality_latency(fx: Fixtures) -> DataFrame:
-    metrics = _loaded_customers(fx).metrics()
-    return (
-        metrics.filter(F.col("metric_name") == "processing_latency_seconds")
-        .groupBy("table_name")
-        .agg(F.avg("metric_value").alias("avg_processing_latency_seconds"))
-    )
+    """Mean time from a user's first to last event of a type, as batches of one table."""
+    spans = fx.table("events").groupBy("user_id", F.col("event_type").alias("table_name"))
+    spans = spans.agg(F.min("ts").alias("started_at"), F.max("ts").alias("ended_at"))
+    return quality.mean_latency(spans)

@@ -39,14 +39,16 @@ def local_session(app: str, cores: str = "8", **options: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local master, where one machine is the whole cluster, may fall back
-    to a temporary folder; elsewhere an unset option is an error.
+    Only a local master, where one process is the whole cluster, may fall back
+    to a temporary folder; elsewhere, ``local-cluster`` included, an unset option
+    is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         folder = tempfile.mkdtemp(prefix="starlane-")
         spark.sparkContext.setCheckpointDir(folder)
@@ -96,3 +98,9 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Data
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty_frame(spark, schema)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this engine wrote, wherever it is stored."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,13 +2,14 @@
 
 Everything is parquet under one root.  A dimension load writes a new version
 and then names it in the version list, so readers never see half of it.  Facts
-and logs are partitioned by batch and a batch overwrites only its own
-partition, so running it again changes nothing.
+and logs are partitioned by batch and a batch overwrites its own partition, also
+with nothing, so a repeated batch leaves what its last run found.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starlane.contracts import target_name
+from starlane.functions.casts import without_nan
 from starlane.sources import ledger
 from starlane.session import empty_frame, read_if_exists
 
@@ -63,19 +65,15 @@ class Store:
     def _path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    def replace_batch(self, df: DataFrame, name: str, by: list[str] | None = None) -> None:
-        """Write the partitions present in ``df``, replacing what they held."""
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*(by or ["batch_id"]))
-            .parquet(self._path(name))
-        )
+    def replace_batch(self, df: DataFrame, name: str, **owned: str) -> None:
+        """Make ``df`` all that the partition with the values ``owned`` holds, even if it is empty."""
+        folder = [f"{column}={quote(value, safe=' -_.')}" for column, value in owned.items()]
+        df.drop(*owned).write.mode("overwrite").parquet(self._path(name, *folder))
 
     def write_dimension(self, df: DataFrame, table: str, seq: int) -> None:
         """Full replacement: version ``seq`` becomes what readers get."""
         path = self._path(target_name(table), f"v{seq}")
-        df.write.mode("overwrite").parquet(path)
+        without_nan(df).write.mode("overwrite").parquet(path)
         self.spark.range(1).select(
             F.lit(table).alias("table_name"),
             F.lit(seq).cast("bigint").alias("seq"),
@@ -95,8 +93,8 @@ class Store:
             if tables is None or r["table_name"] in tables
         }
 
-    def write_fact(self, gold: DataFrame, table: str) -> None:
-        self.replace_batch(gold, target_name(table))
+    def write_fact(self, gold: DataFrame, table: str, batch_id: str) -> None:
+        self.replace_batch(without_nan(gold), target_name(table), batch_id=batch_id)
 
     def fact(self, table: str) -> DataFrame | None:
         """All loaded rows of a fact, None before its first load."""
@@ -106,9 +104,13 @@ class Store:
             if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
-        return found.withColumn("batch_id", F.col("batch_id").cast("string"))
+        # Batch names that look like numbers are names all the same.
+        schema = T.StructType(
+            [T.StructField(f.name, T.StringType()) if f.name == "batch_id" else f for f in found.schema]
+        )
+        return self.spark.read.schema(schema).parquet(self._path(target_name(table)))
 
-    def write_errors(self, rows: DataFrame, stage: str) -> None:
+    def write_errors(self, rows: DataFrame, stage: str, batch_id: str) -> None:
         """Quarantine ``rows``; ``stage`` keeps one batch's writers apart."""
         stamped = rows.withColumns(
             {
@@ -120,17 +122,19 @@ class Store:
         self.replace_batch(
             stamped.select(ERRORS.fieldNames()),
             "streaming_pipeline_errors",
-            ["stage", "batch_id"],
+            stage=stage,
+            batch_id=batch_id,
         )
 
     def errors(self) -> DataFrame:
         return read_if_exists(self.spark, self._path("streaming_pipeline_errors"), ERRORS)
 
-    def write_metrics(self, rows: DataFrame) -> None:
+    def write_metrics(self, rows: DataFrame, batch_id: str) -> None:
         stamped = rows.withColumn(
             "created_at", F.current_timestamp().cast("timestamp_ntz")
         )
-        self.replace_batch(stamped.select(METRICS.fieldNames()), "quality_metrics")
+        columns = [c for c in METRICS.fieldNames() if c != "batch_id"]
+        self.replace_batch(stamped.select(columns), "quality_metrics", batch_id=batch_id)
 
     def metrics(self) -> DataFrame:
         return read_if_exists(self.spark, self._path("quality_metrics"), METRICS)
@@ -138,8 +142,8 @@ class Store:
     def processed_files(self) -> DataFrame:
         return read_if_exists(self.spark, self._path("processed_files"), ledger.SCHEMA)
 
-    def log_files(self, rows: DataFrame) -> None:
-        self.replace_batch(rows, "processed_files")
+    def log_files(self, rows: DataFrame, batch_id: str) -> None:
+        self.replace_batch(rows, "processed_files", batch_id=batch_id)
 
     def clear_files(self) -> int:
         """Forget all processed files; returns how many there were."""

@@ -7,6 +7,7 @@ malformed value fail its own row only.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +28,31 @@ def _csv(spark: SparkSession):
     return spark.read.option("header", True).option("escape", '"')
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def literal(path: str) -> str:
+    """A path whose special characters readers take for themselves, not for patterns."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def header_names(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame:
+    """path and names: the columns that each file itself has, empty where it holds nothing.
+
+    One job reads all files, each as one value.
+    """
+    whole = spark.read.text([literal(p) for p in paths], wholetext=True)
+    if fmt == "csv":
+        line = F.regexp_extract("value", r"^\x{FEFF}?([^\r\n]*)", 1)
+        cells = F.transform(F.split(line, ","), lambda c: F.regexp_replace(F.trim(c), r'^"|"$', ""))
+        names = F.when(line != "", cells).otherwise(F.array().cast("array<string>"))
+    else:
+        records = F.from_json("value", "array<map<string,string>>")
+        names = F.array_distinct(F.flatten(F.transform(records, F.map_keys)))
+    return whole.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.coalesce(names, F.array().cast("array<string>")).alias("names"),
+    )
+
+
+def read_csv(spark: SparkSession, path: str | list[str], columns: list[str] | None = None) -> DataFrame:
     """CSV with a header; all files must have the header of the first.
 
     With ``columns`` the header must match them, without it the header's own
@@ -54,7 +79,7 @@ def stream_json_numbers(spark: SparkSession) -> None:
 
 def read_json(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     columns: list[str] | None = None,
     lines: bool = False,
 ) -> DataFrame:

@@ -181,10 +181,12 @@ class Reconciliation:
                 "batch_id": F.lit(batch_id),
             }
         )
-        self.store.replace_batch(stamped.select(LOG.fieldNames()), self._log_name)
+        self.store.replace_batch(
+            stamped.select(LOG.fieldNames()), self._log_name, batch_id=batch_id
+        )
 
     def register(self, charged: DataFrame, batch_id: str, seq: int) -> None:
         self.store.replace_batch(
-            parked_rows(charged, self.contract, batch_id), self._parked_name
+            parked_rows(charged, self.contract, batch_id), self._parked_name, batch_id=batch_id
         )
         self.append_log(registrations(charged, self.contract, seq), batch_id)

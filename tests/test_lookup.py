@@ -12,6 +12,7 @@ from starlane.operators.lookup import (
 from tests.conftest import rows_of
 
 SMALL = Limits()
+FEW_HEAVY = Limits(broadcast_rows=1, heavy_rows=6)
 LARGE_EVEN = Limits(broadcast_rows=1, heavy_rows=1000)
 LARGE_HEAVY = Limits(broadcast_rows=1, heavy_rows=3)
 
@@ -36,7 +37,7 @@ def test_only_null_keys_are_heavy(frame):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("limits", [LARGE_EVEN, LARGE_HEAVY])
+@pytest.mark.parametrize("limits", [LARGE_EVEN, LARGE_HEAVY, FEW_HEAVY])
 def test_all_ways_agree(sides, how, limits):
     left, right = sides
     expected = rows_of(left.join(right, "k", how))
@@ -59,12 +60,18 @@ def test_heavy_keys(sides):
     assert heavy_keys(left, ["k"], Limits(heavy_rows=100)) is None
     assert rows_of(heavy_keys(left, ["k"], Limits(heavy_rows=5))) == [(1,), (98,)]
     assert rows_of(heavy_keys(left, ["k"], Limits(heavy_rows=4))) == [(1,), (98,), (None,)]
-    assert rows_of(heavy_keys(left, ["k"], Limits(heavy_rows=5, heavy_keys=1))) == [(1,)]
+    assert heavy_keys(left, ["k"], Limits(heavy_rows=1)).count() == 11  # no key past the bound is left out
+
+
+def test_measuring_moves_one_row_a_task(sides, capsys):
+    left, right = sides
+    lookup_join(left, right, ["k"], "left", LARGE_HEAVY).explain()
+    assert "Limit" not in capsys.readouterr().out
 
 
 def test_heavy_rows_are_not_shuffled(sides):
     left, right = sides
-    plan = lookup_join(left, right, ["k"], "left", LARGE_HEAVY)
+    plan = lookup_join(left, right, ["k"], "left", FEW_HEAVY)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text
 

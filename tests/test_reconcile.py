@@ -115,6 +115,36 @@ def test_repeated_batch_changes_nothing(loader, frame):
     assert rows_of(loader.store.fact("orders"), "order_id") == [("ok",)]
 
 
+def test_repeat_after_a_dimension_arrived(loader, frame):
+    _dims(loader, frame, [1], [1])
+    orders = conform(frame(SCHEMA, ("O1", 1, 1, 1, 1), ("O2", 2, 1, 1, 1)), ORDERS)
+    loader.load_fact("orders", orders, "x-1", 1)
+    assert rows_of(loader.store.errors(), "event_id") == [("O2",)]
+    loader.store.write_dimension(frame("customer_id long", (1,), (2,)), "customers", 2)
+    loader.load_fact("orders", orders, "x-1", 1)
+    assert rows_of(loader.store.fact("orders"), "order_id") == [("O1",), ("O2",)]
+    assert loader.store.errors().isEmpty()
+    waiting = Reconciliation(loader.store, ORDERS)
+    assert waiting.states().isEmpty() and waiting.parked().isEmpty()
+    found = loader.store.metrics().filter("metric_name in ('orphans', 'clean_records')")
+    assert rows_of(found, "metric_name", "metric_value") == [("clean_records", 2.0), ("orphans", 0.0)]
+
+
+def test_batch_names_that_look_like_numbers(loader, frame):
+    _dims(loader, frame, [1], [1])
+    orders = conform(frame(SCHEMA, ("O1", 1, 1, 1, 1), ("O2", 1, 1, 1, 1)), ORDERS)
+    for name in ("007", "007", "a/b=c 1"):
+        loader.load_fact("orders", orders, name, 1)
+        assert rows_of(loader.store.fact("orders"), "order_id", "batch_id") == [("O1", "007"), ("O2", "007")]
+
+
+def test_a_dimension_without_clean_rows_stays(loader, frame):
+    loader.load_dimension("teams", frame("team_id string, team_name string", ("1", "A")), "t-1", 1)
+    outcome = loader.load_dimension("teams", frame("team_id string, team_name string", ("x", "B")), "t-2", 2)
+    assert outcome == "no clean rows"
+    assert rows_of(loader.store.dimensions()["teams"], "team_id") == [(1,)]
+
+
 def test_one_drop_after_another(loader, tmp_path):
     def drop(name, text):
         path = tmp_path / name

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 
 import pytest
@@ -42,14 +43,14 @@ def test_ledger(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     hashed = ledger.hash_files(spark, a)
     assert rows_of(hashed, "file_hash") == [(hashlib.sha256(b"[1]").hexdigest(),)]
-    store.log_files(ledger.ledger_rows(hashed, "b-1"))
+    store.log_files(ledger.ledger_rows(hashed, "b-1"), "b-1")
     fresh = ledger.new_files(
         ledger.hash_files(spark, str(tmp_path / "in")), store.processed_files()
     )
     assert [os.path.basename(r["path"]) for r in fresh.collect()] == ["new.json"]
     assert store.clear_files() == 1
     assert store.processed_files().isEmpty()
-    store.log_files(ledger.ledger_rows(hashed, "b-2"))
+    store.log_files(ledger.ledger_rows(hashed, "b-2"), "b-2")
     assert store.processed_files().count() == 1
 
 
@@ -103,7 +104,7 @@ def test_routing(spark):
 def test_stream_of_hourly_files(spark, frame, tmp_path):
     loader = Loader(Store(spark, str(tmp_path / "store")))
     loader.store.write_dimension(frame("agent_id long", (1,)), "agents", 1)
-    head = '"ticket_id": "t", "event_ts": "2024-01-01 10:00:00"'
+    head = '"ticket_id": "t", "event_ts": "2024-01-01 10:00:00", "old_status": null, "new_status": "x", "notes": null'
     _write(tmp_path / "in/2024-01-01/10/ticket_events.json", f'[{{"event_id": "a", "agent_id": 1.0, {head}}},\n {{"event_id": "b", "agent_id": 2, {head}}}]')
     _write(tmp_path / "in/2024-01-01/11/ticket_events.json", f'[{{"event_id": "c", "agent_id": "x", {head}}}]')
 
@@ -135,6 +136,49 @@ def test_stream_of_csv_with_an_empty_file(spark, frame, tmp_path):
     assert "channel_name" in fact.columns
 
 
+def _orders_json(*ids, without=(), extra=""):
+    values = {c: None for c in CONTRACTS["orders"].columns if c not in without}
+    keys = {"customer_id": 1, "restaurant_id": 1, "driver_id": 1, "region_id": 1}
+    records = [json.dumps({**values, **{k: v for k, v in keys.items() if k in values}, "order_id": i}) for i in ids]
+    return "[" + ",\n".join(r[:-1] + extra + "}" for r in records) + "]"
+
+
+def test_stream_gates_files(spark, frame, tmp_path):
+    loader = Loader(Store(spark, str(tmp_path / "store")))
+    _write(tmp_path / "in/a b/orders.json", _orders_json("good"))
+    _write(tmp_path / "in/x[1]{2}/Orders.v2.json", _orders_json("upper").replace("order_amount", "ORDER_Amount"))
+    _write(tmp_path / "in/1/orders.json", _orders_json("lacks", without=("notes", "driver_id", "order_status")))
+    _write(tmp_path / "in/2/orders.json", _orders_json("extra", extra=', "more": 1'))
+    _write(tmp_path / "in/3/tickets.json", _orders_json("foreign"))
+    _write(tmp_path / "in/4/unknown.json", _orders_json("unknown"))
+    _write(tmp_path / "in/5/orders.csv", "order_id\nx\n")
+    _write(tmp_path / "in/6/orders.json", "[]")
+    ingest(loader, "orders", str(tmp_path / "in"), str(tmp_path / "cp")).awaitTermination()
+    assert rows_of(loader.store.fact("orders"), "order_id") == [("good",), ("upper",)]
+    failed = loader.store.metrics().filter("metric_name = 'files_failed' and metric_details is not null")
+    reasons = sorted(r.metric_details.split("/in/")[1] for r in failed.collect())
+    assert [r.split(":")[0] for r in reasons] == [
+        "1/orders.json", "2/orders.json", "3/tickets.json", "4/unknown.json", "5/orders.csv",
+    ]
+    counts = loader.store.metrics().filter("metric_details is null")
+    assert rows_of(counts.filter("metric_name like 'files%'"), "metric_name", "metric_value") == [
+        ("files_failed", 5.0), ("files_processed", 2.0),
+    ]
+
+
+def test_stream_reads_csv_columns_by_name(spark, tmp_path):
+    loader = Loader(Store(spark, str(tmp_path / "store")))
+    columns = CONTRACTS["ticket_events"].columns
+    values = dict(zip(columns, ["e1", "t1", "3", "2024-01-01 10:00:00", "a", "b", "note"]))
+    for n, order in enumerate([columns, columns[::-1]]):
+        row = ",".join(values[c] if c != "event_id" else f"e{n}" for c in order)
+        _write(tmp_path / f"in/{n}/ticket_events.csv", f"{','.join(order)}\n{row}\n")
+    ingest(loader, "ticket_events", str(tmp_path / "in"), str(tmp_path / "cp"), fmt="csv").awaitTermination()
+    assert rows_of(loader.store.fact("ticket_events"), "event_id", "agent_id", "notes") == [
+        ("e0", 3, "note"), ("e1", 3, "note"),
+    ]
+
+
 def test_masks(frame):
     df = frame(
         "customer_id long, full_name string, email string, phone string",
