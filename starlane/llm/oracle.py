@@ -30,3 +30,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
+
+_PLAIN_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+)
+
+JACCARD = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_PLAIN_WORDS} AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+both_in AS (
+  SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM both_in JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT r, r FROM d UNION SELECT reach.x, edges.y FROM reach JOIN edges ON reach.y = edges.x),
+least_id AS (SELECT x AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = y GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (r) JOIN least_id USING (r)
+"""

@@ -28,5 +28,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_jaccard_join": oracle.JACCARD,
     "op3_benchmark_decontamination": oracle.DECONTAMINATION,
 }
