@@ -721,6 +721,9 @@ _BODIES: dict[str, str] = {
         FROM loaded_orders
     """,
     "stream_restart_idempotent": "SELECT * FROM loaded_orders",
+    "stream_gate_files": "SELECT * FROM loaded_orders",
+    "repeat_after_dimension": "SELECT * FROM loaded_orders",
+    "repeat_numeric_batch": "SELECT *, '007' AS batch_id FROM loaded_orders",
     "quality_summary": "SELECT * FROM order_counts",
     "quality_metrics_long": """
         SELECT 'b-1' AS batch_id, metric_name, metric_value FROM (
@@ -772,6 +775,13 @@ _BODIES: dict[str, str] = {
                 FROM order_counts)
         WHERE value > threshold
     """,
+    "quality_latency": """
+        SELECT table_name, CAST(sum(date_diff('microsecond', started_at, ended_at)) AS DOUBLE)
+            / 1e6::DOUBLE / count(started_at) AS avg_processing_latency_seconds
+        FROM (SELECT user_id, event_type AS table_name, min(ts) AS started_at, max(ts) AS ended_at
+              FROM events GROUP BY 1, 2)
+        GROUP BY table_name
+    """,
     "quality_report": f"""
         SELECT 'customers' AS table_name, metric_name, metric_value,
             CAST(NULL AS VARCHAR) AS metric_details FROM (

@@ -892,6 +892,43 @@ def stream_restart_idempotent(fx: Fixtures) -> DataFrame:
     return loader.store.fact("orders").drop("ingested_at", "batch_id")
 
 
+@_query
+def stream_gate_files(fx: Fixtures) -> DataFrame:
+    """A stream among files that its gates must drop: short, wide, foreign and unnamed ones."""
+    loader = Loader(_store(fx, "stream"))
+    _load_order_dims(fx, loader, _customers(fx))
+    drops = new_folder(fx.spark, "drops")
+    _land_orders(fx, f"{drops}/good ones")
+    some = fx.staged_orders.filter(F.col("order_status") == "Delivered")
+    file_sinks.write_json(some.drop("driver_id"), f"{drops}/short/orders.json")
+    file_sinks.write_json(some.withColumn("more", F.lit("x")), f"{drops}/wide/orders.json")
+    file_sinks.write_json(some, f"{drops}/foreign/tickets.json")
+    file_sinks.write_json(some, f"{drops}/unnamed/parcels.json")
+    _stream_orders(fx, loader, drops)
+    return loader.store.fact("orders").drop("ingested_at", "batch_id")
+
+
+@_query
+def repeat_after_dimension(fx: Fixtures) -> DataFrame:
+    """A batch repeated after the customers it lacked have come: what it held is replaced."""
+    loader = Loader(_store(fx, "repeat"))
+    _load_order_dims(fx, loader, _first_customers(fx))
+    loader.load_fact("orders", fx.staged_orders, "x-1", 1)
+    loader.store.write_dimension(_customers(fx), "customers", 2)
+    loader.load_fact("orders", fx.staged_orders, "x-1", 1)
+    return loader.store.fact("orders").drop("ingested_at", "batch_id")
+
+
+@_query
+def repeat_numeric_batch(fx: Fixtures) -> DataFrame:
+    """A batch whose name looks like a number, loaded twice."""
+    loader = Loader(_store(fx, "repeat"))
+    _load_order_dims(fx, loader, _customers(fx))
+    for _ in range(2):
+        loader.load_fact("orders", fx.staged_orders, "007", 1)
+    return loader.store.fact("orders").drop("ingested_at")
+
+
 # --------------------------------------------------------------------- quality
 
 
