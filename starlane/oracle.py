@@ -677,15 +677,30 @@ _BODIES: dict[str, str] = {
             CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS TIMESTAMP) AS created_at,
             CAST(NULL AS TIMESTAMP) AS updated_at FROM customers
     """,
+    "pii_from_store": f"""
+        SELECT customer_id, {_mask('full_name', *_MASK_PAIR)}, {_mask('email', *_MASK_EMAIL)},
+            {_mask('phone', *_MASK_PHONE)}, region_id, segment_id, signup_date,
+            CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS TIMESTAMP) AS created_at,
+            CAST(NULL AS TIMESTAMP) AS updated_at FROM customers
+    """,
     "pii_driver": f"""
         SELECT driver_id, {_mask('driver_name', *_MASK_WORD)},
             {_mask('driver_phone', *_MASK_PHONE)}, md5(national_id) AS national_id,
-            region_id, is_active FROM fx_drivers
+            region_id, CAST(NULL AS VARCHAR) AS shift, CAST(NULL AS VARCHAR) AS vehicle_type,
+            CAST(NULL AS DATE) AS hire_date, CAST(NULL AS DOUBLE) AS rating_avg,
+            CAST(NULL AS DOUBLE) AS on_time_rate, CAST(NULL AS DOUBLE) AS cancel_rate,
+            CAST(NULL AS BIGINT) AS completed_deliveries, is_active,
+            CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at
+        FROM fx_drivers
     """,
     "pii_agent": f"""
         SELECT agent_id, {_mask('agent_name', *_MASK_WORD)},
             {_mask('agent_email', *_MASK_EMAIL)}, {_mask('agent_phone', *_MASK_PHONE)},
-            team_id, skill_level FROM fx_agents
+            team_id, skill_level, CAST(NULL AS DATE) AS hire_date,
+            CAST(NULL AS DOUBLE) AS avg_handle_time_min, CAST(NULL AS DOUBLE) AS resolution_rate,
+            CAST(NULL AS DOUBLE) AS csat_score, CAST(NULL AS BOOLEAN) AS is_active,
+            CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at
+        FROM fx_agents
     """,
     "reconciliation_register": """
         SELECT *, CAST(0 AS INTEGER) AS retry_count, 'PENDING' AS status FROM registered

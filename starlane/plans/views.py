@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starlane.contracts import CONTRACTS
 from starlane.functions import masks
+from starlane.functions.rows import conform
 
 _MASKED_COLUMNS: dict[str, dict[str, tuple[str, str] | None]] = {
     "customers": {
@@ -34,7 +36,12 @@ VIEW_NAMES = {
 
 
 def masked_view(dim: DataFrame, table: str, salt: str | None = None) -> DataFrame:
-    """``dim`` with its personal columns masked; with a ``salt``, fully hidden."""
+    """The table's own columns, personal ones masked; with a ``salt``, fully hidden.
+
+    Columns that enrichment or a load added are not part of the view; absent
+    ones are typed NULL.
+    """
+    dim = conform(dim, CONTRACTS[table])
     plan = _MASKED_COLUMNS[table]
 
     def column(name: str) -> Column:

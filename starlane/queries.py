@@ -724,8 +724,7 @@ def kpi_loss_by_reason_category(fx: Fixtures) -> DataFrame:
 
 @_query
 def pii_customer(fx: Fixtures) -> DataFrame:
-    dim = conform(_customers(fx), CONTRACTS["customers"])
-    return views.masked_view(dim, "customers")
+    return views.masked_view(_customers(fx), "customers")
 
 
 @_query
@@ -738,6 +737,13 @@ def pii_agent(fx: Fixtures) -> DataFrame:
     return views.masked_view(fx.agents, "agents")
 
 
+@_query
+def pii_from_store(fx: Fixtures) -> DataFrame:
+    """The masked view of customers as loaded, enriched and stored."""
+    customers = _loaded_customers(fx).dimensions(["customers"])["customers"]
+    return views.masked_view(customers, "customers")
+
+
 # --------------------------------------------------------------- reconciliation
 
 
