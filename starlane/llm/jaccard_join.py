@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -158,7 +159,7 @@ def shared_regions(sets: DataFrame) -> DataFrame:
 
 
 def points(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame:
-    """digest, tokens (the set) and counts (the point) of the sets ``wanted`` (doc_id, digest)."""
+    """digest, tokens (the set) and counts (the point, compressed) of the sets ``wanted`` (doc_id, digest)."""
 
     def work(step: pa.RecordBatch) -> dict[str, object]:
         digests, tokens, counts = [], [], []
@@ -169,7 +170,8 @@ def points(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame:
                 tokens.append(own.tobytes())
                 axis = (_mixed(own) >> np.uint64(40)) % np.uint64(how.axes)
                 count = np.bincount(axis.astype(np.int64), minlength=how.axes)
-                counts.append(count.astype("<u4").tobytes() if count.max() >> 16 else count.astype("<u2").tobytes())
+                kind = "<u1" if count.max() < 1 << 8 else "<u4"
+                counts.append(zstandard.compress(count.astype(kind).tobytes(), 1))
         return {"digest": pa.array(digests, pa.int64()), "tokens": pa.array(tokens, pa.binary()),
                 "counts": pa.array(counts, pa.binary())}
 
@@ -226,7 +228,8 @@ def _candidates(region: list[dict], best: bool, how: Similarity) -> set[tuple[in
     set with the closest to it."""
     names = [x["digest"] for x in region]
     comp = np.array([x["comp"] for x in region])
-    counts = [np.frombuffer(x["counts"], f"<u{len(x['counts']) // how.axes}") for x in region]
+    counts = [zstandard.decompress(x["counts"]) for x in region]
+    counts = [np.frombuffer(x, f"<u{len(x) // how.axes}") for x in counts]
     tree = CountTree(np.stack(counts), how.leaf)
     pairs = set()
     for low in range(0, len(names), 256):
