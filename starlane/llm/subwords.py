@@ -13,7 +13,8 @@ import os
 import numpy as np
 
 # Distinct words that a task's process keeps ids for; the store starts anew beyond.
-KEPT_WORDS = 800_000
+# Ranks are quick to apply and keep fewer.
+KEPT_WORDS, KEPT_WORDS_OF_RANKS = 800_000, 250_000
 
 # Marks that form a part of their own between an ASCII letter and the end of a word.
 _MARKS = b".,!?;:$%&#*"
@@ -45,6 +46,7 @@ class Subwords:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             coder = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
             self.size = max(ranks.values()) + 1
+            self.kept = KEPT_WORDS_OF_RANKS
             self._encode = lambda texts: [coder.encode_ordinary(f" {t}") for t in texts]
         else:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,6 +54,7 @@ class Subwords:
 
             tokenizer = Tokenizer.from_file(path)
             self.size = tokenizer.get_vocab_size()
+            self.kept = KEPT_WORDS
             self._encode = lambda texts: [
                 x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             ]
@@ -65,7 +68,7 @@ class Subwords:
         their own to it; so most words are put together from parts known already.
         A special token's string must stay as it is.
         """
-        if len(self.known) > KEPT_WORDS:
+        if len(self.known) > self.kept:
             self.known.clear()
         made = {}
         for word in words - self.known.keys():
