@@ -222,6 +222,31 @@ def _first_missing(customers: str) -> str:
     """
 
 
+# References of tickets in the order in which they are checked: column, dimension, its table here.
+_TICKET_REFERENCES = (
+    ("agent_id", "agents", "fx_agents"),
+    ("customer_id", "customers", "customers"),
+    ("restaurant_id", "restaurants", "fx_restaurants"),
+    ("driver_id", "drivers", "fx_drivers"),
+    ("reason_id", "reasons", "fx_reasons"),
+    ("channel_id", "channels", "fx_channels"),
+    ("priority_id", "priorities", "fx_priorities"),
+)
+
+
+def _ticket_misses(pick) -> str:
+    cases = " ".join(
+        f"WHEN {c} IS NULL OR {c} NOT IN (SELECT {c} FROM {table}) THEN {pick(c, dim)}"
+        for c, dim, table in _TICKET_REFERENCES
+    )
+    return f"CASE {cases} END"
+
+
+_LOADED_TICKETS = f"""
+    SELECT ticket_id FROM fx_tickets
+    WHERE order_id IS NOT NULL AND {_ticket_misses(lambda c, dim: f"'{dim}'")} IS NULL
+"""
+
 _MISSING_NAMES = """
     CASE miss WHEN 1 THEN 'customer_id' WHEN 2 THEN 'restaurant_id'
         WHEN 3 THEN 'driver_id' WHEN 4 THEN 'region_id' END AS fk_column,
@@ -737,6 +762,29 @@ _BODIES: dict[str, str] = {
     """,
     "stream_restart_idempotent": "SELECT * FROM loaded_orders",
     "stream_gate_files": "SELECT * FROM loaded_orders",
+    "load_tickets": f"""
+        SELECT ticket_id, order_id, customer_id, agent_id, priority_id, channel_name
+        FROM gold_tickets WHERE ticket_id IN ({_LOADED_TICKETS})
+    """,
+    "load_ticket_events": """
+        SELECT event_id, ticket_id, agent_id, event_ts, new_status FROM fx_ticket_events
+        WHERE event_id IS NOT NULL AND ticket_id IS NOT NULL AND event_ts IS NOT NULL
+            AND agent_id IN (SELECT agent_id FROM fx_agents)
+    """,
+    "orphan_first_fk_tickets": f"""
+        SELECT ticket_id, fk_column, fk_value, dim_name FROM (
+            SELECT ticket_id, {_ticket_misses(lambda c, dim: f"'{c}'")} AS fk_column,
+                {_ticket_misses(lambda c, dim: f"CAST({c} AS VARCHAR)")} AS fk_value,
+                {_ticket_misses(lambda c, dim: f"'{dim}'")} AS dim_name FROM fx_tickets)
+        WHERE fk_column IS NOT NULL
+    """,
+    "kpi_from_store": f"""
+        SELECT CAST(ROUND(SUM(CASE WHEN is_sla_first_breached THEN 1 ELSE 0 END) * 100.0
+                / COUNT(*), 2) AS DOUBLE) AS first_response_breach_rate,
+            CAST(ROUND(SUM(CASE WHEN is_sla_resolution_breached THEN 1 ELSE 0 END) * 100.0
+                / COUNT(*), 2) AS DOUBLE) AS resolution_breach_rate
+        FROM gold_tickets WHERE ticket_id IN ({_LOADED_TICKETS})
+    """,
     "repeat_after_dimension": "SELECT * FROM loaded_orders",
     "repeat_numeric_batch": "SELECT *, '007' AS batch_id FROM loaded_orders",
     "quality_summary": "SELECT * FROM order_counts",

@@ -823,6 +823,58 @@ def _load_order_dims(fx: Fixtures, loader: Loader, customers: DataFrame) -> None
         loader.store.write_dimension(df, table, 1)
 
 
+def _ticket_references(fx: Fixtures) -> dict[str, DataFrame]:
+    return {
+        "agents": fx.agents,
+        "customers": _customers(fx),
+        "restaurants": fx.restaurants,
+        "drivers": fx.drivers,
+        "reasons": fx.reasons,
+        "channels": fx.channels,
+        "priorities": fx.priorities,
+    }
+
+
+def _loaded_tickets(fx: Fixtures) -> Store:
+    loader = Loader(_store(fx, "tickets"))
+    for table, df in _ticket_references(fx).items():
+        loader.store.write_dimension(df, table, 1)
+    loader.load_fact("tickets", fx.tickets, "t-1", 1)
+    return loader.store
+
+
+@_query
+def load_tickets(fx: Fixtures) -> DataFrame:
+    """Tickets through the whole load; their order, a fact, is not checked."""
+    return _loaded_tickets(fx).fact("tickets").select(
+        "ticket_id", "order_id", "customer_id", "agent_id", "priority_id", "channel_name"
+    )
+
+
+@_query
+def load_ticket_events(fx: Fixtures) -> DataFrame:
+    """Ticket events while only the agents are loaded; their ticket is not checked."""
+    loader = Loader(_store(fx, "events"))
+    loader.store.write_dimension(fx.agents, "agents", 1)
+    loader.load_fact("ticket_events", fx.ticket_events, "e-1", 1)
+    return loader.store.fact("ticket_events").select(
+        "event_id", "ticket_id", "agent_id", "event_ts", "new_status"
+    )
+
+
+@_query
+def orphan_first_fk_tickets(fx: Fixtures) -> DataFrame:
+    return integrity.first_missing(
+        fx.tickets, CONTRACTS["tickets"], _ticket_references(fx)
+    ).select("ticket_id", "fk_column", "fk_value", "dim_name")
+
+
+@_query
+def kpi_from_store(fx: Fixtures) -> DataFrame:
+    """Breach rates of the tickets that a load let into the store."""
+    return kpi.sla_breach_rate(_loaded_tickets(fx).fact("tickets"))
+
+
 @_query
 def late_dimension_replay(fx: Fixtures) -> DataFrame:
     """Orders load first, their customers arrive later, the orders follow."""
