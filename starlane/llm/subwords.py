@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import base64
 import os
+from array import array
 
 import numpy as np
 
 # Distinct words that a task's process keeps ids for; the store starts anew beyond.
 # Ranks are quick to apply and keep fewer.
-KEPT_WORDS, KEPT_WORDS_OF_RANKS = 800_000, 250_000
+KEPT_WORDS, KEPT_WORDS_OF_RANKS = 800_000, 200_000
 
 # Marks that form a part of their own between an ASCII letter and the end of a word.
 _MARKS = b".,!?;:$%&#*"
@@ -58,7 +59,9 @@ class Subwords:
             self._encode = lambda texts: [
                 x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             ]
-        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.dtype, self._code = np.dtype("<u2" if self.size <= 1 << 16 else "<u4"), "H"
+        if self.dtype.itemsize == 4:
+            self._code = "I"
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
@@ -81,7 +84,7 @@ class Subwords:
         new = list({part for parts in made.values() for part in parts} - self.known.keys())
         texts = [w.decode("utf-8", "replace") for w in new]
         for word, found in zip(new, self._encode(texts)):
-            self.known[word] = np.array(found, dtype=self.dtype).tobytes()
+            self.known[word] = array(self._code, found).tobytes()
         for word, parts in made.items():
             self.known[word] = b"".join([self.known[part] for part in parts])
 
@@ -90,6 +93,12 @@ class Subwords:
         return b"".join(map(self.known.__getitem__, words))
 
 
+def forget() -> None:
+    """Give back the memory of the stores, for tasks that need no more ids."""
+    for coder in _open.values():
+        coder.known.clear()
+
+
 _open: dict[str, Subwords] = {}
 
 
