@@ -32,8 +32,8 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good; a null or empty text is judged like any other."""
-    scored = quality_classifier(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, scored.where("predicted = 0"))
+    scored = quality_classifier(docs, table(spark, sf_dir, "labels"), carry=True)
+    return scored.where("predicted = 1").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

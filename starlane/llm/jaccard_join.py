@@ -175,9 +175,10 @@ def points(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame:
         return {"digest": pa.array(digests, pa.int64()), "tokens": pa.array(tokens, pa.binary()),
                 "counts": pa.array(counts, pa.binary())}
 
+    # Repeated rows go here, where the join has brought them together, and not as sets.
     bodies = as_bytes(docs, "doc_id").join(wanted, "doc_id")
-    found = map_steps(bodies, work, "digest long, tokens binary, counts binary")
-    return materialize(found.dropDuplicates(["digest"]), "points")
+    bodies = bodies.withColumn("same", F.xxhash64("body")).dropDuplicates(["doc_id", "digest", "same"])
+    return materialize(map_steps(bodies, work, "digest long, tokens binary, counts binary"), "points")
 
 
 def _enough(overlap: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:

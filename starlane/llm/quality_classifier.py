@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starlane.llm.texts import as_bytes, crc32_of_key, labelled_sample, map_steps, table
 
@@ -208,14 +209,16 @@ def train(sample: list[tuple[bytes, int]], sizes: Training = Training()) -> Netw
 
 
 def quality_classifier(
-    docs: DataFrame, labels: DataFrame, sizes: Training = Training(), learn: F.Column | None = None
+    docs: DataFrame, labels: DataFrame, sizes: Training = Training(), learn: F.Column | None = None,
+    carry: bool = False,
 ) -> DataFrame:
     """doc_id, score and predicted for each row of ``docs`` (doc_id, text).
 
     The network learns ``labels.quality`` of the rows where ``learn``, a
     condition on doc_id, holds (all by default).  A null or empty text is one
     blank chunk and gets a score like any other.  Without labels the score is
-    0.5, with labels of one kind that label.
+    0.5, with labels of one kind that label.  With ``carry`` a struct ``row`` has
+    the whole row, so that filtering needs no join.
     """
     wanted = F.lit(True) if learn is None else learn
     sample = labelled_sample(docs, labels, "quality", wanted, sizes.rows, sizes.most_bytes)
@@ -225,13 +228,16 @@ def quality_classifier(
     def work(step: pa.RecordBatch) -> dict[str, object]:
         bodies = step.column("body").to_pylist()
         score = np.full(len(bodies), net) if isinstance(net, float) else net.score(bodies)
-        return {
-            "doc_id": step.column("doc_id"), "score": score,
-            "predicted": pa.array(score >= 0.5).cast(pa.int32()),
-        }
-
-    key = docs.schema["doc_id"].dataType.simpleString()
-    return map_steps(as_bytes(docs, "doc_id"), work, f"doc_id {key}, score double, predicted int")
+        kept = {name: step.column(name) for name in step.schema.names if name != "body"}
+        return kept | {"score": score, "predicted": pa.array(score >= 0.5).cast(pa.int32())}
+
+    schema = T.StructType([docs.schema["doc_id"]])
+    if carry:
+        schema = schema.add("row", docs.schema)
+        docs = docs.select("doc_id", F.struct(*docs.columns).alias("row"), "text")
+    schema = schema.add("score", T.DoubleType()).add("predicted", T.IntegerType())
+    keys = ["doc_id", "row"] if carry else ["doc_id"]
+    return map_steps(as_bytes(docs, *keys), work, schema)
 
 
 def held_out() -> F.Column:

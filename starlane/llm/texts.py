@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Bytes of text that one step of a task holds; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
@@ -57,7 +58,7 @@ def steps(batches: Iterable[pa.RecordBatch], limit: int = STEP_BYTES) -> Iterato
 
 
 def map_steps(
-    docs: DataFrame, work: Callable[[pa.RecordBatch], dict[str, object]], schema: str
+    docs: DataFrame, work: Callable[[pa.RecordBatch], dict[str, object]], schema: str | T.StructType
 ) -> DataFrame:
     """Apply ``work`` to bounded batches of ``docs``; it returns the columns of ``schema``."""
 
