@@ -47,6 +47,27 @@ def test_notices_survive_small_changes(spark):
     assert not any(got[i].passages for i in range(len(truth), len(texts)))
 
 
+def test_best_verified_notice_wins(spark):
+    own = {"CC BY-NC 4.0": "cc-by-nc", "CC BY-SA 4.0": "cc-by-sa", "CC BY 4.0": "cc-by"}
+    texts = [f"Some words. Licensed under {name}. More words follow" for name in own] * 2
+    texts.append(" ".join(f"Licensed under {name}." for name in own))
+    got = {r.doc_id: r for r in scan(documents(spark, texts)).collect()}
+    for i, label in enumerate([*own.values()] * 2):
+        (passage,) = got[i].passages
+        size = 6 + (label != "cc-by")
+        assert tuple(passage) == (label, 2, 1 + size, 1.0) and got[i].score == 1
+    assert {p.label: p.first for p in got[6].passages} == {"cc-by-nc": 0, "cc-by-sa": 7, "cc-by": 14}
+
+
+def test_votes_without_the_words_in_order_are_no_passage(spark):
+    # All pairs of the notice, on diagonals two apart, but four words of twelve are too many.
+    notice = "a b c d e f g h".split()
+    swapped = "a b c x c d e f y f g h".split()
+    texts = [" ".join(notice), " ".join(swapped)]
+    got = {r.doc_id: r for r in scan(documents(spark, texts), {}, {" ".join(notice): "n"}).collect()}
+    assert [p.share for p in got[0].passages] == [1.0] and not got[1].passages
+
+
 def test_empty_table(spark):
     assert scan(documents(spark, [])).count() == 0
 
