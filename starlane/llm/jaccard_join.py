@@ -108,8 +108,13 @@ def regions(tokens: np.ndarray, classes: list[tuple[int, int, int]], how: Simila
     return np.concatenate([*out, np.empty(0, dtype=np.uint64)]).view(np.int64)
 
 
+def same_text() -> F.Column:
+    """A hash of the row's text, which with its doc_id names the row or an exact copy of it."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def signed(docs: DataFrame, how: Similarity) -> DataFrame:
-    """doc_id, n_shingles, digest and regions of each row; a task gives a set's regions once."""
+    """doc_id, same, n_shingles, digest and regions of each row; a task gives a set's regions once."""
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,15 +133,15 @@ def signed(docs: DataFrame, how: Similarity) -> DataFrame:
                 given.add(name)
             cuts = np.cumsum([0, *map(len, found)])
             yield pa.RecordBatch.from_pydict({
-                "doc_id": step.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()),
+                "doc_id": step.column("doc_id"), "same": step.column("same"), "n_shingles": pa.array(sizes, pa.int64()),
                 "digest": pa.array(digests, pa.int64()),
                 "regions": pa.ListArray.from_arrays(
                     pa.array(cuts, pa.int32()), pa.array(np.concatenate(found), pa.int64())
                 ),
             })
 
-    schema = f"doc_id {key}, n_shingles long, digest long, regions array<long>"
-    return materialize(as_bytes(docs, "doc_id").mapInArrow(run, schema), "shingle-sets")
+    schema = f"doc_id {key}, same long, n_shingles long, digest long, regions array<long>"
+    return materialize(as_bytes(docs.withColumn("same", same_text()), "doc_id", "same").mapInArrow(run, schema), "shingle-sets")
 
 
 def shared_regions(sets: DataFrame) -> DataFrame:
@@ -159,7 +164,7 @@ def shared_regions(sets: DataFrame) -> DataFrame:
 
 
 def points(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame:
-    """digest, tokens (the set) and counts (the point, compressed) of the sets ``wanted`` (doc_id, digest)."""
+    """digest, tokens (the set) and counts (the point, compressed) of the sets ``wanted`` (doc_id, same, digest)."""
 
     def work(step: pa.RecordBatch) -> dict[str, object]:
         digests, tokens, counts = [], [], []
@@ -176,8 +181,10 @@ def points(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame:
                 "counts": pa.array(counts, pa.binary())}
 
     # Repeated rows go here, where the join has brought them together, and not as sets.
-    bodies = as_bytes(docs, "doc_id").join(wanted, "doc_id")
-    bodies = bodies.withColumn("same", F.xxhash64("body")).dropDuplicates(["doc_id", "digest", "same"])
+    bodies = as_bytes(docs.withColumn("same", same_text()), "doc_id", "same").alias("a").join(
+        wanted.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.same") == F.col("b.same"))
+    )
+    bodies = bodies.select("a.body", "b.digest").dropDuplicates(["digest"])
     return materialize(map_steps(bodies, work, "digest long, tokens binary, counts binary"), "points")
 
 
@@ -295,8 +302,8 @@ def verified(pairs: DataFrame, spots: DataFrame, how: Similarity) -> DataFrame:
     return materialize(sides.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "verified")
 
 
-def jaccard_join(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) for each
+def linked(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
+    """doc_id, same (see ``same_text``), n_shingles, comp (equal for linked rows, null without shingles) and component_id (the smallest doc_id reachable by links) for each
     row of ``docs`` (doc_id, text).
 
     Equal sets are one node.  A null or empty text has no shingles and is linked
@@ -309,8 +316,10 @@ def jaccard_join(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
     """
     sets = signed(docs, how)
     shared = shared_regions(sets.where("digest is not null").select("regions", "digest"))
-    wanted = sets.select("doc_id", "digest").join(shared.select("digest").distinct(), "digest")
-    wanted = wanted.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).where("doc_id is not null")
+    wanted = sets.select("doc_id", "same", "digest").join(shared.select("digest").distinct(), "digest")
+    # One row of each set, with an id if any has one.
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same")
+    wanted = wanted.groupBy("digest").agg(F.min(row).alias("row")).select("digest", "row.doc_id", "row.same")
     spots = points(docs, wanted, how)
     stars = shared.where("digest <> lead").groupBy("lead", "digest").agg(F.count("*").alias("n"))
     stars = stars.groupBy("digest").agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("lead"))
@@ -325,7 +334,12 @@ def jaccard_join(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "comp", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return named.select("doc_id", "n_shingles", component.alias("component_id"))
+    return named.select("doc_id", "same", "n_shingles", "comp", component.alias("component_id"))
+
+
+def jaccard_join(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
+    """doc_id, n_shingles and component_id of each row of ``docs``; see ``linked``."""
+    return linked(docs, how).select("doc_id", "n_shingles", "component_id")
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

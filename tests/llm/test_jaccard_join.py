@@ -105,3 +105,19 @@ def test_empty_table_and_null_ids(spark):
     docs = spark.createDataFrame([(None, "a b c d e"), (4, "a b c d e"), (3, "A b c d e"), (None, None)], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.component_id) for r in jaccard_join(docs).collect() if r.n_shingles)
     assert got == [(0, 3), (3, 3), (4, 3)]
+
+
+def test_near_copies_with_null_ids_link_as_in_sql(spark):
+    import duckdb
+
+    from starlane.llm.oracle import JACCARD
+
+    w = [f"w{k}" for k in range(200)]
+    rows = [(4, " ".join(w[100:])), (None, " ".join(w[100:199])), (10, " ".join(w[:90])), (None, " ".join(w[:100])), (11, " ".join(w[10:100]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    with duckdb.connect() as database:
+        database.register("documents", docs.toArrow())
+        want = database.execute(JACCARD).fetchall()
+    got = [tuple(r) for r in jaccard_join(docs).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert sorted(r[2] for r in got) == [4, 4, 10, 10, 10]
