@@ -11,10 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from starlane.llm.decontaminate import matches
-from starlane.llm.jaccard_join import Similarity, jaccard_join
+from starlane.llm.jaccard_join import Similarity, linked, same_text
 from starlane.llm.packing import pack
 from starlane.llm.personal_data import redacted
 from starlane.llm.quality_classifier import quality_classifier
@@ -25,11 +24,6 @@ from starlane.session import materialize
 NEAR = Similarity(words=5, percent=80)
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not among ``dropped``; a null id stays."""
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good; a null or empty text is judged like any other."""
     scored = quality_classifier(docs, table(spark, sf_dir, "labels"), carry=True)
@@ -37,23 +31,36 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; of rows with one id, one.
+    """One row of each group of linked texts: the one with the smallest id, or without any if none has one.
 
-    Rows without an id cannot be told apart and all stay.
+    Rows are told apart by id and text; rows that only share an id are not folded,
+    nor are texts without words, which are linked with nothing.
     """
-    found = materialize(jaccard_join(docs, NEAR), "near-duplicates")
-    kept = _without(docs, found.where("doc_id <> component_id"))
-    again = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    # Ids that several rows share are rare; only their rows are ordered.
-    one = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    first = kept.join(again, "doc_id", "left_semi").withColumn("__nth", F.row_number().over(one))
-    return _without(kept, again).unionByName(first.where("__nth = 1").select(*docs.columns))
+    found = materialize(linked(docs, NEAR), "near-duplicates").where("n_shingles > 0")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same")
+    first = found.groupBy("comp").agg(F.min(row).alias("row")).select("row.doc_id", "row.same")
+    dropped = materialize(found.select("doc_id", "same").subtract(first), "near-copies")
+    again = found.groupBy("doc_id", "same").count().where("count > 1").select("doc_id", "same")
+    again = materialize(again, "repeated-rows")
+
+    def within(rows: DataFrame, named: DataFrame, how: str) -> DataFrame:
+        rows, named = rows.alias("a"), named.alias("b")
+        return rows.join(
+            named, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.same") == F.col("b.same")), how
+        )
+
+    kept = within(docs.withColumn("same", same_text()), dropped, "left_anti")
+    # Repeated rows are exact copies but for their other columns; the smallest stays.
+    whole = F.struct(*docs.columns)
+    one = within(kept, again, "left_semi").groupBy("doc_id", "same").agg(F.min(whole).alias("row")).select("row.*")
+    return within(kept, again, "left_anti").select(*docs.columns).unionByName(one)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
-    found = matches(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where(F.size("hits") > 0))
+    """Rows whose text holds no window of a benchmark item, whatever their id."""
+    found = matches(docs.withColumn("doc_id", same_text()), table(spark, sf_dir, "benchmark"))
+    found = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("same")).distinct()
+    return docs.withColumn("same", same_text()).join(found, "same", "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,6 +72,25 @@ def test_stages_do_what_they_decide(spark, folder_of):
     assert sum(r.length for r in rows[5]) == tokens and len(number) == len({r.doc_id for r in pieces})
 
 
+def test_stages_decide_by_row(spark, tmp_path):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(PROSE, k=60)) for _ in range(6)]
+    item = " ".join(rng.choices(PROSE, k=14))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    # Row 5 is a near copy of row 1; other rows with id 5 hold texts of their own.
+    rows = [(1, texts[0]), (5, texts[0] + " end"), (5, texts[1]), (5, texts[2]), (5, texts[2]), (None, texts[3]),
+            (None, texts[3] + " end"), (None, texts[1]), (None, None), (None, ""), (6, texts[4] + " " + item),
+            (6, texts[5]), (None, texts[4] + " " + item + " x y z " + texts[5])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], COLUMNS)
+    docs = materialize(docs, "test-rows")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()]
+    nulls = [t for i, t in kept if i is None]
+    assert sorted(x for x in kept if x[0] is not None) == sorted([rows[0], rows[2], rows[3], rows[10], rows[11]])
+    assert len(nulls) == 4 and None in nulls and "" in nulls and rows[12][1] in nulls
+    clean = [(r.doc_id, r.text) for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()]
+    assert sorted(clean, key=repr) == sorted((x for x in rows if item not in (x[1] or "")), key=repr)
+
+
 def test_run_joins_the_stages(spark, folder_of):
     out = corpus_pipeline.run(spark, folder_of).collect()
     ends = {}
