@@ -51,3 +51,40 @@ reach(x, y) AS (SELECT r, r FROM d UNION SELECT reach.x, edges.y FROM reach JOIN
 least_id AS (SELECT x AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = y GROUP BY x)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (r) JOIN least_id USING (r)
 """
+
+MIXING = """
+WITH d AS (
+  SELECT doc_id, source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+    -ln((CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' ||
+      md5(coalesce(text, ''))), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0) AS drawn
+  FROM documents),
+w AS (
+  SELECT doc_id, max(CASE WHEN quality > 0 THEN 2.0 ELSE 0.5 END) AS weight
+  FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+k AS (SELECT d.doc_id, source, size, drawn / CAST(coalesce(weight, 1.0) AS DOUBLE) AS key FROM d LEFT JOIN w USING (doc_id)),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+n AS (
+  SELECT *, 2 * source_size AS most,
+    [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM s),
+l AS (
+  SELECT *, sum(source_size) OVER () * 1.5 - coalesce(sum(most) OVER before, 0) AS unspent,
+    sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS free FROM n
+  WINDOW before AS (ORDER BY CAST(most AS DOUBLE) / weight, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, unspent * weight >= most * free AS is_full FROM l),
+level AS (SELECT max_by(unspent, free) AS unspent, max(free) AS free FROM f WHERE NOT is_full),
+t AS (
+  SELECT source, source_size, CASE WHEN is_full THEN CAST(most AS DOUBLE)
+    ELSE least(CAST(f.weight AS DOUBLE) * CAST(level.unspent AS DOUBLE) / CAST(level.free AS DOUBLE), CAST(most AS DOUBLE)) END AS target
+  FROM f, level),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
+o AS (
+  SELECT k.doc_id, size, p.source_size, target, passes,
+    CAST(round(target - passes * p.source_size) AS BIGINT) AS rest,
+    CAST(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS BIGINT) AS ahead
+  FROM k JOIN p ON k.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target,
+  CAST(passes * size + least(size, greatest(rest - ahead, 0)) AS BIGINT) AS taken FROM o
+"""
