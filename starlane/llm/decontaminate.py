@@ -197,10 +197,14 @@ def _searched(index: DataFrame, phrases: Phrases | None) -> DataFrame:
                 hit = np.zeros(size, dtype=bool)
                 if shared.value is not None:
                     shard = Shard(one["terms"], one["first"], one["positions"])
+                    begins: dict[int, list[np.ndarray]] = defaultdict(list)
                     for names, begin, end in shared.value.search(shard):
-                        hit |= covered(begin, int(end[0] - begin[0]), size)
+                        begins[int(end[0] - begin[0])].append(begin)
                         for text in np.unique(np.searchsorted(starts, begin, "right") - 1).tolist():
                             items[text].update(names)
+                    # All phrases of one length mark their words at once.
+                    for length, found in begins.items():
+                        hit |= covered(np.concatenate(found), length, size)
                 places = np.flatnonzero(hit)
                 cuts = np.searchsorted(places, starts)
                 hits = [
