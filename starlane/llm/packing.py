@@ -134,32 +134,41 @@ def cut(docs: DataFrame, shape: Shape, vocabulary: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         coder = subwords(vocabulary)
-        seen: Counter[int] = Counter()
+        seen = np.zeros(shape.window + 1, dtype=np.int64)
         for step in steps(batches):
             texts = [x.split() for x in step.column("body").to_pylist()]
-            coder.learn(set().union(*texts))
-            rows = []
-            for number, words in enumerate(texts):
-                ids = np.frombuffer(coder.ids(words), coder.dtype).astype("<u4")
-                ids = np.append(ids, np.uint32(shape.end_id)).astype("<u4")
-                rest = len(ids) % shape.window
-                ends = [*range(shape.window, len(ids) + 1, shape.window)]
-                ends += [len(ids) - rest % shape.unit, len(ids)]
-                start = 0
-                for end in ends:
-                    if end > start:
-                        length = end - start
-                        rows.append((
-                            number, start, length, zlib.crc32(ids[start:end].tobytes()), len(ids),
-                            part, seen[length],
-                        ))
-                        seen[length] += 1
-                        start = end
-            columns = [list(x) for x in zip(*rows)]
-            names = ("start", "length", "ids_crc32", "doc_tokens", "part", "rank")
+            words = np.array([len(x) for x in texts], dtype=np.int64)
+            found, counts = coder.ids_of(coder.numbers([w for x in texts for w in x]))
+            # Each text's ids, with the end id after them.
+            sizes = np.bincount(np.repeat(np.arange(len(texts)), words), counts, len(texts)).astype(np.int64)
+            stops = np.cumsum(sizes)
+            ids = np.insert(found.astype("<u4"), stops, shape.end_id)
+            sizes += 1
+            begins = np.cumsum(sizes) - sizes
+            # Full sequences, then whole units, then what is left.
+            full, rest = sizes // shape.window, sizes % shape.window
+            units, tail = rest - rest % shape.unit, rest % shape.unit
+            number = full + (units > 0) + (tail > 0)
+            text = np.repeat(np.arange(len(texts)), number)
+            turn = np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number)
+            start = np.minimum(turn, full[text]) * shape.window
+            start = np.where(turn > full[text], full[text] * shape.window + units[text], start)
+            length = np.where(turn < full[text], shape.window, np.where(units[text] > 0, units[text], tail[text]))
+            length = np.where(turn > full[text], tail[text], length)
+            raw, low = ids.tobytes(), (4 * (begins[text] + start)).tolist()
+            sums = [zlib.crc32(raw[a : a + n]) for a, n in zip(low, (4 * length).tolist())]
+            # Ranks among the task's pieces of the same length, those of earlier steps first.
+            order = np.argsort(length, kind="stable")
+            sorted_ = length[order]
+            rank = np.empty(len(length), dtype=np.int64)
+            rank[order] = np.arange(len(length)) - np.searchsorted(sorted_, sorted_)
+            rank += seen[length]
+            seen += np.bincount(length, minlength=len(seen))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": step.column("doc_id").take(pa.array(columns[0])),
-                **{n: pa.array(c, pa.int64()) for n, c in zip(names, columns[1:])},
+                "doc_id": step.column("doc_id").take(pa.array(text)),
+                "start": pa.array(start), "length": pa.array(length),
+                "ids_crc32": pa.array(sums, pa.int64()), "doc_tokens": pa.array(sizes[text]),
+                "part": pa.array(np.full(len(text), part, dtype=np.int64)), "rank": pa.array(rank),
             })
 
     schema = f"doc_id {key}, start long, length long, ids_crc32 long, doc_tokens long, part long, rank long"

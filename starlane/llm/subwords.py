@@ -62,41 +62,77 @@ class Subwords:
         self.dtype, self._code = np.dtype("<u2" if self.size <= 1 << 16 else "<u4"), "H"
         if self.dtype.itemsize == 4:
             self._code = "I"
-        self.known: dict[bytes, bytes] = {}
+        self.clear()
 
-    def learn(self, words: set[bytes]) -> None:
-        """Make sure that the store has all of ``words``.
+    def clear(self) -> None:
+        """Forget all words."""
+        # Each word's number; by number, where its ids begin among all ids, and how many they are.
+        self.known: dict[bytes, int] = {}
+        self._first, self._count, self._ids = array("q"), array("q"), array(self._code)
+
+    def _keep(self, word: bytes, ids: array) -> None:
+        self.known[word] = len(self._first)
+        self._first.append(len(self._ids))
+        self._count.append(len(ids))
+        self._ids.extend(ids)
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Give the store ``words``, which it does not have.
 
         Words are lowered by the tokenizer, and marks after a letter are a part of
         their own to it; so most words are put together from parts known already.
         A special token's string must stay as it is.
         """
-        if len(self.known) > self.kept:
-            self.known.clear()
-        made = {}
-        for word in words - self.known.keys():
+        made, parts = [], set()
+        for word in words:
             low = word.lower()
             if b"<|" in low:
                 low = word
             stem = low.rstrip(_MARKS)
-            apart = len(stem) < len(low) and 97 <= (stem[-1] if stem else 0) <= 122
-            made[word] = (stem, low[len(stem) :]) if apart else (low,)
-        new = list({part for parts in made.values() for part in parts} - self.known.keys())
-        texts = [w.decode("utf-8", "replace") for w in new]
-        for word, found in zip(new, self._encode(texts)):
-            self.known[word] = array(self._code, found).tobytes()
-        for word, parts in made.items():
-            self.known[word] = b"".join([self.known[part] for part in parts])
-
-    def ids(self, words: list[bytes]) -> bytes:
-        """The ids of words that the store has, one after the other."""
-        return b"".join(map(self.known.__getitem__, words))
+            if len(stem) < len(low) and stem and 97 <= stem[-1] <= 122:
+                made.append((word, stem, low[len(stem) :]))
+                parts.add(stem)
+                parts.add(low[len(stem) :])
+            else:
+                parts.add(low)
+                if low != word:
+                    made.append((word, low, None))
+        new = list(parts.difference(self.known))
+        for word, found in zip(new, self._encode([w.decode("utf-8", "replace") for w in new])):
+            self._keep(word, array(self._code, found))
+        for word, stem, marks in made:
+            ids = self._of(stem)
+            self._keep(word, ids + self._of(marks) if marks else ids)
+
+    def _of(self, word: bytes) -> array:
+        k = self.known[word]
+        return self._ids[self._first[k] : self._first[k] + self._count[k]]
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The store's number of each word, new ones included; good until the next call."""
+        if len(self.known) > self.kept:
+            self.clear()
+        found = list(map(self.known.get, words))
+        missing = {w for w, k in zip(words, found) if k is None}
+        if missing:
+            self._learn(missing)
+            found = list(map(self.known.__getitem__, words))
+        return np.array(found, dtype=np.int64)
+
+    def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words by their numbers, one after the other, and how many each has."""
+        # Copies, as views would keep the arrays from growing.
+        first = np.array(self._first, dtype=np.int64)[numbers]
+        count = np.array(self._count, dtype=np.int64)[numbers]
+        ends = np.cumsum(count)
+        place = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - count), count)
+        return np.frombuffer(self._ids, self.dtype)[place], count
 
 
 def forget() -> None:
     """Give back the memory of the stores, for tasks that need no more ids."""
     for coder in _open.values():
-        coder.known.clear()
+        coder.clear()
 
 
 _open: dict[str, Subwords] = {}
