@@ -24,6 +24,14 @@ from starlane.session import materialize
 NEAR = Similarity(words=5, percent=80)
 
 
+def unused(name: str, docs: DataFrame) -> str:
+    """``name``, or with marks behind it, so that no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good; a null or empty text is judged like any other."""
     scored = quality_classifier(docs, table(spark, sf_dir, "labels"), carry=True)
@@ -42,34 +50,42 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     dropped = materialize(found.select("doc_id", "same").subtract(first), "near-copies")
     again = found.groupBy("doc_id", "same").count().where("count > 1").select("doc_id", "same")
     again = materialize(again, "repeated-rows")
+    same = unused("same", docs)
 
     def within(rows: DataFrame, named: DataFrame, how: str) -> DataFrame:
         rows, named = rows.alias("a"), named.alias("b")
         return rows.join(
-            named, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.same") == F.col("b.same")), how
+            named, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col(f"a.{same}") == F.col("b.same")), how
         )
 
-    kept = within(docs.withColumn("same", same_text()), dropped, "left_anti")
+    kept = within(docs.withColumn(same, same_text()), dropped, "left_anti")
     # Repeated rows are exact copies but for their other columns; the smallest stays.
     whole = F.struct(*docs.columns)
-    one = within(kept, again, "left_semi").groupBy("doc_id", "same").agg(F.min(whole).alias("row")).select("row.*")
+    one = within(kept, again, "left_semi").groupBy("doc_id", same).agg(F.min(whole).alias("row")).select("row.*")
     return within(kept, again, "left_anti").select(*docs.columns).unionByName(one)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text holds no window of a benchmark item, whatever their id."""
     found = matches(docs.withColumn("doc_id", same_text()), table(spark, sf_dir, "benchmark"))
-    found = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("same")).distinct()
-    return docs.withColumn("same", same_text()).join(found, "same", "left_anti").select(*docs.columns)
+    same = unused("same", docs)
+    found = found.where(F.size("hits") > 0).select(F.col("doc_id").alias(same)).distinct()
+    return docs.withColumn(same, same_text()).join(found, same, "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind in brackets, and their lengths."""
-    return redacted(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """All documents, personal data replaced by its kind in brackets, and their lengths where they have them.
+
+    A null text stays null, with a null length; repeated rows are redacted each on its own.
+    """
+    cleaned = redacted(docs)
+    if "n_chars" not in docs.columns:
+        return cleaned
+    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packed pieces of all documents."""
+    """The packed pieces of all documents; a null or empty text is its end id alone, repeated rows are packed each."""
     return pack(docs)
 
 

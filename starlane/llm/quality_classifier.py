@@ -228,16 +228,26 @@ def quality_classifier(
     def work(step: pa.RecordBatch) -> dict[str, object]:
         bodies = step.column("body").to_pylist()
         score = np.full(len(bodies), net) if isinstance(net, float) else net.score(bodies)
-        kept = {name: step.column(name) for name in step.schema.names if name != "body"}
+        kept = {name: step.column(name) for name in step.schema.names if carry or name != "body"}
         return kept | {"score": score, "predicted": pa.array(score >= 0.5).cast(pa.int32())}
 
     schema = T.StructType([docs.schema["doc_id"]])
+    rows = as_bytes(docs, "doc_id")
     if carry:
-        schema = schema.add("row", docs.schema)
-        docs = docs.select("doc_id", F.struct(*docs.columns).alias("row"), "text")
+        # The text goes along once, as the bytes that are scored.
+        others = [f for f in docs.schema if f.name != "text"]
+        schema = schema.add("row", T.StructType(others)).add("blank", T.BooleanType())
+        schema = schema.add("body", T.BinaryType())
+        row = F.struct(*[F.col(f.name) for f in others])
+        rows = docs.select("doc_id", row.alias("row"), F.col("text").isNull().alias("blank"), "text")
+        rows = as_bytes(rows, "doc_id", "row", "blank")
     schema = schema.add("score", T.DoubleType()).add("predicted", T.IntegerType())
-    keys = ["doc_id", "row"] if carry else ["doc_id"]
-    return map_steps(as_bytes(docs, *keys), work, schema)
+    scored = map_steps(rows, work, schema)
+    if not carry:
+        return scored
+    text = F.when(~F.col("blank"), F.col("body").cast("string"))
+    whole = [text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    return scored.select("doc_id", F.struct(*whole).alias("row"), "score", "predicted")
 
 
 def held_out() -> F.Column:

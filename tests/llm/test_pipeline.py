@@ -105,3 +105,18 @@ def test_empty_tables(spark, tmp_path):
                          ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_with_names_of_the_stages(spark, folder_of):
+    """Columns that are called like inner ones keep their values."""
+    docs = spark.read.parquet(f"{folder_of}/documents.parquet")
+    extra = ("same", "SAME_", "row", "body", "score", "label", "blank", "rank", "length", "comp", "block", "hits")
+    wide = docs.where("n_chars > 0").selectExpr("*", *[f"doc_id * 7 + {k} AS {c}" for k, c in enumerate(extra)])
+    wide = materialize(wide, "test-wide")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = materialize(stage(spark, wide, folder_of), "test-wide-stage")
+        assert out.columns == wide.columns, name
+        for r in out.collect():
+            assert r.doc_id is None or [r[c] for c in extra] == [r.doc_id * 7 + k for k in range(len(extra))], name
+    no_length = wide.drop("n_chars")
+    assert corpus_pipeline.personal_data(spark, no_length, folder_of).columns == no_length.columns
