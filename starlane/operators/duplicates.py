@@ -16,9 +16,12 @@ class DuplicateSplit:
     duplicates: DataFrame
 
 
-def first_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key: the smallest by its columns from left to right, NULLs first."""
-    return unique_rows(df, keys)
+def first_per_key(df: DataFrame, keys: list[str], copies: str | None = None) -> DataFrame:
+    """One row per key: the smallest by its columns from left to right, NULLs first.
+
+    With ``copies`` a column of that name says how many rows the key had.
+    """
+    return unique_rows(df, keys, copies)
 
 
 def split_stored(

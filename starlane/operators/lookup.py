@@ -124,18 +124,20 @@ def lookup_join(
     return large_join(left, right, keys, how, limits)
 
 
-def unique_rows(dim: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key, the smallest by all other columns.
+def unique_rows(dim: DataFrame, keys: list[str], copies: str | None = None) -> DataFrame:
+    """One row per key, the smallest by all other columns; ``copies`` names a count of its rows.
 
     Aggregation instead of a window: copies of one key combine before the
     shuffle, so no task holds a whole group.
     """
     rest = [c for c in dim.columns if c not in keys]
-    if not rest:
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    if not rest and not counted:
         return dim.distinct()
+    row = [F.min(F.struct(*rest)).alias("__row")] if rest else []
     return (
         dim.groupBy(*keys)
-        .agg(F.min(F.struct(*rest)).alias("__row"))
-        .select(*keys, "__row.*")
-        .select(*dim.columns)
+        .agg(*row, *counted)
+        .select(*keys, *(["__row.*"] if rest else []), *([copies] if copies else []))
+        .select(*dim.columns, *([copies] if copies else []))
     )

@@ -14,7 +14,7 @@ import time
 from dataclasses import dataclass
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starlane.contracts import CONTRACTS, TableContract, fact_tables
@@ -30,6 +30,8 @@ from starlane.sinks.store import Store
 from starlane.streaming.reconcile import Reconciliation, replayed_rows, retry
 
 LOADED = "loaded"
+# Rows of a batch that a staged row stands for.
+COPIES = "__copies"
 NO_CLEAN_ROWS = "no clean rows"
 
 
@@ -167,11 +169,12 @@ class Loader:
         seq: int,
         stage: Stager,
     ) -> dict[str, int]:
+        """Check, deduplicate and write ``clean``; rows are counted as they are written."""
         dims = self.store.dimensions()
         sides = split_orphans(clean, contract, dims, self.limits, True, stage)
         keys = list(contract.primary_key)
         reference = {"error_column": F.col("fk_column"), "fk_table": F.col("dim_name")}
-        self.store.write_errors(
+        orphans = self.store.write_errors(
             gates.error_rows(
                 sides.charged,
                 contract,
@@ -184,29 +187,24 @@ class Loader:
             batch_id,
         )
         Reconciliation(self.store, contract).register(sides.charged, batch_id, seq)
-        fresh = first_per_key(sides.clean, keys) if self.within_batch else sides.clean
-        stored = self.store.fact(contract.name)
-        if stored is not None:
-            earlier = stored.filter(F.col("batch_id") != batch_id)
+        copies = F.lit(1).cast("bigint")
+        fresh = sides.clean.withColumn(COPIES, copies)
+        if self.within_batch:
+            fresh = first_per_key(sides.clean, keys, COPIES)
+        kept = Observation()
+        total = F.coalesce(F.sum(COPIES), F.lit(0)).alias("rows")
+        # Written once: the sizing, the check against history and the gold table read it.
+        fresh = stage(fresh.observe(kept, total), "fresh").drop(COPIES)
+        earlier = self.store.fact_table(contract.name).known_keys(fresh, keys, batch_id)
+        if earlier is not None:
             fresh = split_stored(fresh, earlier, keys, self.limits).new
         gold = to_gold(fresh, contract.name, dims, batch_id, self.stages, self.limits)
-        self.store.write_fact(gold, contract.name, batch_id)
-        counts = self._counts(contract, batch_id, sides.clean)
-        return counts | {"skipped_references": len(skipped_references(contract, dims))}
-
-    def _counts(
-        self, contract: TableContract, batch_id: str, kept: DataFrame
-    ) -> dict[str, int]:
-        errors = self.store.errors().filter(
-            (F.col("batch_id") == batch_id)
-            & (F.col("stage") == f"references_{contract.name}")
-        )
-        loaded = self.store.fact(contract.name)
-        clean = 0 if loaded is None else loaded.filter(F.col("batch_id") == batch_id).count()
+        written = self.store.write_fact(gold, contract.name, batch_id)
         return {
-            "orphans": errors.count(),
-            "clean_records": clean,
-            "duplicates": kept.count() - clean,
+            "orphans": orphans,
+            "clean_records": written,
+            "duplicates": kept.get["rows"] - written,
+            "skipped_references": len(skipped_references(contract, dims)),
         }
 
     def count_failed_files(self, table: str, batch_id: str, reasons: dict[str, str]) -> None:

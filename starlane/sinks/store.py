@@ -1,9 +1,10 @@
 """The table store: versioned dimensions, batch-partitioned facts and logs.
 
 Everything is parquet under one root.  A dimension load writes a new version
-and then names it in the version list, so readers never see half of it.  Facts
-and logs are partitioned by batch and a batch overwrites its own partition, also
-with nothing, so a repeated batch leaves what its last run found.
+and then names it in the version list, so readers never see half of it.  A fact's
+batch becomes visible by one manifest row (see ``facts``).  Logs are partitioned by
+batch and a batch overwrites its own partition.  A batch replaces what it held, also
+by nothing, so a repeated batch leaves what its last run found.
 """
 
 from __future__ import annotations
@@ -11,13 +12,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starlane.contracts import target_name
+from starlane.contracts import CONTRACTS, target_name
 from starlane.functions.casts import without_nan
+from starlane.sinks.facts import FactTable
 from starlane.sources import ledger
 from starlane.session import empty_frame, read_if_exists
 
@@ -65,10 +66,16 @@ class Store:
     def _path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    def replace_batch(self, df: DataFrame, name: str, **owned: str) -> None:
-        """Make ``df`` all that the partition with the values ``owned`` holds, even if it is empty."""
+    def replace_batch(self, df: DataFrame, name: str, **owned: str) -> int:
+        """Make ``df`` all that the partition with the values ``owned`` holds, even if it is empty.
+
+        Returns its number of rows, counted as they are written.
+        """
         folder = [f"{column}={quote(value, safe=' -_.')}" for column, value in owned.items()]
-        df.drop(*owned).write.mode("overwrite").parquet(self._path(name, *folder))
+        counted = Observation()
+        rows = df.drop(*owned).observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows.write.mode("overwrite").parquet(self._path(name, *folder))
+        return counted.get["rows"]
 
     def write_dimension(self, df: DataFrame, table: str, seq: int) -> None:
         """Full replacement: version ``seq`` becomes what readers get."""
@@ -93,25 +100,21 @@ class Store:
             if tables is None or r["table_name"] in tables
         }
 
-    def write_fact(self, gold: DataFrame, table: str, batch_id: str) -> None:
-        self.replace_batch(without_nan(gold), target_name(table), batch_id=batch_id)
+    def fact_table(self, table: str) -> FactTable:
+        return FactTable(self.spark, self._path(target_name(table)))
+
+    def write_fact(self, gold: DataFrame, table: str, batch_id: str) -> int:
+        """Make ``gold`` what a batch holds, in one step for readers; returns its number of rows."""
+        contract = CONTRACTS.get(table)
+        keys = contract.primary_key if contract else ()
+        return self.fact_table(table).replace(without_nan(gold), batch_id, keys)
 
     def fact(self, table: str) -> DataFrame | None:
         """All loaded rows of a fact, None before its first load."""
-        try:
-            found = self.spark.read.parquet(self._path(target_name(table)))
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-        # Batch names that look like numbers are names all the same.
-        schema = T.StructType(
-            [T.StructField(f.name, T.StringType()) if f.name == "batch_id" else f for f in found.schema]
-        )
-        return self.spark.read.schema(schema).parquet(self._path(target_name(table)))
+        return self.fact_table(table).read()
 
-    def write_errors(self, rows: DataFrame, stage: str, batch_id: str) -> None:
-        """Quarantine ``rows``; ``stage`` keeps one batch's writers apart."""
+    def write_errors(self, rows: DataFrame, stage: str, batch_id: str) -> int:
+        """Quarantine ``rows`` and return their number; ``stage`` keeps one batch's writers apart."""
         stamped = rows.withColumns(
             {
                 "error_id": F.uuid(),
@@ -119,7 +122,7 @@ class Store:
                 "stage": F.lit(stage),
             }
         )
-        self.replace_batch(
+        return self.replace_batch(
             stamped.select(ERRORS.fieldNames()),
             "streaming_pipeline_errors",
             stage=stage,
