@@ -548,6 +548,42 @@ _BODIES: dict[str, str] = {
         SELECT *, CASE WHEN order_status = 'Delivered' THEN 'b-1' ELSE 'b-2' END AS batch_id
         FROM fx_orders_base
     """,
+    "load_fact_atomic": """
+        SELECT state, n_rows, n_delivered FROM (
+            SELECT count(*) FILTER (WHERE order_status = 'Delivered') AS d,
+                count(*) FILTER (WHERE order_status IS DISTINCT FROM 'Delivered' AND order_status IS NOT NULL) AS o
+            FROM fx_orders_base) AS n,
+        LATERAL (SELECT * FROM (VALUES ('before', n.d, n.d), ('written', n.d, n.d),
+            ('committed', n.o, CAST(0 AS BIGINT))) AS v(state, n_rows, n_delivered))
+    """,
+    "fact_after_new_column": """
+        SELECT * REPLACE (
+            CASE WHEN order_status = 'Delivered' THEN floor(order_amount) ELSE order_amount END AS order_amount,
+            CASE WHEN order_status = 'Delivered' THEN NULL ELSE payment_method END AS payment_method),
+            CASE WHEN order_status = 'Delivered' THEN 'b-1' ELSE 'b-2' END AS batch_id
+        FROM fx_orders_base
+    """,
+    "fact_after_compaction": """
+        SELECT * EXCLUDE (place),
+            CASE place WHEN 1 THEN 'b-3' ELSE 'b-' || CAST(place AS VARCHAR) END AS batch_id
+        FROM (SELECT *, CAST(regexp_extract(order_id, '(\\d+)', 1) AS BIGINT) % 4 AS place FROM stored_orders)
+        WHERE place <> 3
+    """,
+    "dedup_pruned_history": """
+        SELECT DISTINCT * FROM fx_orders
+        WHERE order_id NOT IN (SELECT order_id FROM stored_orders)
+    """,
+    "declared_table_load": """
+        WITH rows AS (
+            SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_suppkey, l_quantity, l_shipdate,
+                l_suppkey IN (SELECT s_suppkey FROM supplier WHERE regexp_full_match(s_name, '.*[0-8]')) AS known
+            FROM lineitem)
+        SELECT * EXCLUDE (rn, known) FROM (
+            SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                ORDER BY l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_shipdate NULLS FIRST) AS rn FROM rows
+            WHERE (l_orderkey, l_linenumber) NOT IN (SELECT (l_orderkey, l_linenumber) FROM rows WHERE NOT known))
+        WHERE rn = 1
+    """,
     "catalog_targets": "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{k}' AS kind, '{k}_{t}' AS target, "
         f"(SELECT count(*) FROM {v}) AS n_rows"

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starlane import catalog
 from starlane.contracts import CONTRACTS, table_kind, target_name
 from starlane.fixtures import Fixtures
 from starlane.functions import casts
@@ -449,6 +450,112 @@ def load_fact_append(fx: Fixtures) -> DataFrame:
     return store.fact("orders")
 
 
+def _batches(fx: Fixtures) -> dict[str, DataFrame]:
+    """Delivered orders in four batches, by what their ids are divided by."""
+    place = F.pmod(F.regexp_extract("order_id", r"(\d+)", 1).cast("long"), F.lit(4))
+    rows = _stored_orders(fx).withColumn("place", place)
+    return {f"b-{k}": rows.where(F.col("place") == k).drop("place") for k in range(4)}
+
+
+@_query
+def load_fact_atomic(fx: Fixtures) -> DataFrame:
+    """What readers count before a batch is written again, once it is written, and once it is committed."""
+    store = _store(fx, "facts")
+    table = store.fact_table("orders")
+    delivered = F.col("order_status") == "Delivered"
+
+    def seen(state: str) -> DataFrame:
+        return materialize(store.fact("orders").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if(delivered).alias("n_delivered")
+        ).withColumn("state", F.lit(state)), "seen")
+
+    store.write_fact(fx.orders_base.filter(delivered), "orders", "b-1")
+    before = seen("before")
+    row = table.stage(fx.orders_base.filter(~delivered), "b-1", ("order_id",))
+    written = seen("written")
+    table.commit([row])
+    return _union([before, written, seen("committed")])
+
+
+@_query
+def fact_after_new_column(fx: Fixtures) -> DataFrame:
+    """A batch without the payment method and with whole amounts, then one that has both in full."""
+    store = _store(fx, "facts")
+    delivered = F.col("order_status") == "Delivered"
+    early = fx.orders_base.filter(delivered).drop("payment_method")
+    store.write_fact(early.withColumn("order_amount", F.floor("order_amount").cast("int")), "orders", "b-1")
+    store.write_fact(fx.orders_base.filter(~delivered), "orders", "b-2")
+    return store.fact("orders")
+
+
+@_query
+def fact_after_compaction(fx: Fixtures) -> DataFrame:
+    """Batches put together, then one of them replaced by nothing and another by what the first held."""
+    store = _store(fx, "facts")
+    batches = _batches(fx)
+    for name, rows in batches.items():
+        store.write_fact(rows, "orders", name)
+    store.fact_table("orders").compact()
+    store.write_fact(batches["b-1"].limit(0), "orders", "b-1")
+    store.write_fact(batches["b-1"], "orders", "b-3")
+    return store.fact("orders")
+
+
+@_query
+def dedup_pruned_history(fx: Fixtures) -> DataFrame:
+    """Orders that no batch of the store holds, told by the index of its keys."""
+    store = _store(fx, "facts")
+    for name, rows in _batches(fx).items():
+        store.write_fact(rows, "orders", name)
+    store.fact_table("orders").compact()
+    fresh = materialize(duplicates.first_per_key(fx.orders, ["order_id"]), "fresh")
+    known = store.fact_table("orders").known_keys(fresh, ["order_id"], "next")
+    return duplicates.split_stored(fresh, known, ["order_id"]).new if known is not None else fresh
+
+
+# Tables that the engine does not know, as a user declares them.
+_DECLARED = """{
+  "formats": {"odd_or_low": "^.*[0-8]$"},
+  "tables": {
+    "deliveries": {
+      "kind": "fact",
+      "columns": {"l_orderkey": "int", "l_linenumber": "int", "l_suppkey": "int", "l_quantity": "float",
+                  "l_shipdate": "timestamp"},
+      "primary_key": ["l_orderkey", "l_linenumber"],
+      "foreign_keys": {"l_suppkey": "warehouses.s_suppkey"}
+    },
+    "warehouses": {
+      "kind": "dim",
+      "columns": {"s_suppkey": "int", "s_name": "string", "s_nationkey": "int"},
+      "primary_key": ["s_suppkey"],
+      "foreign_keys": {"s_nationkey": "countries.n_nationkey"},
+      "formats": {"s_name": "odd_or_low"}
+    },
+    "countries": {
+      "kind": "dim",
+      "columns": {"n_nationkey": "int", "n_name": "string"},
+      "primary_key": ["n_nationkey"]
+    }
+  }
+}"""
+
+
+@_query
+def declared_table_load(fx: Fixtures) -> DataFrame:
+    """Three declared tables through the whole load, in the order of their references."""
+    root = new_folder(fx.spark, "declared")
+    fx.spark.range(1).select(F.lit(_DECLARED).alias("value")).coalesce(1).write.text(f"{root}/declared")
+    sources = {"deliveries": "lineitem", "warehouses": "supplier", "countries": "nation"}
+    store = _store(fx, "declared")
+    with catalog.declared_tables(catalog.read_declaration(fx.spark, f"{root}/declared")) as declared:
+        paths = []
+        for name, contract in declared.contracts.items():
+            paths.append(f"{root}/drops/{name}.csv")
+            file_sinks.write_csv(fx.table(sources[name]).select(*contract.columns), paths[-1])
+        catalog.load_in_order(Loader(store), paths, "d-1", 1)
+        return store.fact("deliveries").drop("ingested_at", "batch_id")
+
+
 @_query
 def catalog_targets(fx: Fixtures) -> DataFrame:
     """Target and size of each table a load would write; unknown ones as dimensions."""

@@ -100,7 +100,7 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Data
         return empty_frame(spark, schema)
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this engine wrote, wherever it is stored."""
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that this engine wrote, wherever it is stored; whether there was one."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

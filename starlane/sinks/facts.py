@@ -260,7 +260,6 @@ class FactTable:
         old = read_if_exists(self.spark, self._manifest, MANIFEST).select("folder").distinct()
         gone = sorted({r.folder for r in old.collect()} - named)
         for folder in gone:
-            remove_folder(self.spark, f"{self.root}/rows/{folder}")
             remove_folder(self.spark, f"{self.root}/keys/load={folder}")
-        return len(gone)
+        return sum(remove_folder(self.spark, f"{self.root}/rows/{folder}") for folder in gone)
 

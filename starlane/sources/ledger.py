@@ -1,10 +1,17 @@
 """Ledger of processed files, keyed by the digest of their content.
 
-A renamed copy of a processed file has the same digest and is skipped.
+A renamed copy of a processed file has the same digest and is skipped.  A file too
+large to be one value is digested range by range.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable, Iterator
+from urllib.parse import quote, unquote
+
+import pyarrow as pa
+import pyarrow.fs  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,18 +29,63 @@ SCHEMA = T.StructType(
 )
 
 
-def hash_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Digest, path and size of the files at ``paths``, hashed by the executors."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(paths)
-        .select(
-            F.sha2("content", 256).alias("file_hash"),
-            "path",
-            F.col("length").alias("file_size"),
-        )
+# From this size on a file is read in ranges of the other.
+LARGE_BYTES = 256 << 20
+RANGE_BYTES = 64 << 20
+
+
+def hash_files(
+    spark: SparkSession, paths: str | list[str], large: int = LARGE_BYTES, span: int = RANGE_BYTES
+) -> DataFrame:
+    """Digest, path and size of the files at ``paths``, hashed by the executors.
+
+    The digest of a file below ``large`` bytes is the SHA-256 of its content.  A larger one's
+    is the SHA-256 of its ranges' SHA-256 digests, one after the other as text; ranges are
+    read by tasks of their own, so a file may have any size.  Which of both a file gets
+    depends on its size alone, so copies agree.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    size = F.col("length").alias("file_size")
+    # A filter on the length keeps Spark from opening the others.
+    whole = found.where(F.col("length") < large).select(
+        F.sha2("content", 256).alias("file_hash"), "path", size
+    )
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(span).cast("long")))
+    ranges = found.where(F.col("length") >= max(large, 1)).select("path", "length", starts.alias("start"))
+    digests = ranges.repartition("path", "start").mapInArrow(
+        _digests(span), "path string, file_size long, start long, digest string"
     )
+    # One short text for each range of a file.
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("start", "digest"))), lambda r: r["digest"])
+    parts = digests.groupBy("path", "file_size").agg(F.sha2(F.array_join(ordered, "").cast("binary"), 256).alias("file_hash"))
+    return whole.unionByName(parts)
+
+
+def _digests(span: int):
+    """Reads ranges of files through Arrow's file systems, a piece at a time."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                system, name = pa.fs.FileSystem.from_uri(quote(unquote(r["path"]), safe="/:"))
+                digest, left = hashlib.sha256(), min(span, r["length"] - r["start"])
+                with system.open_input_file(name) as source:
+                    source.seek(r["start"])
+                    while left:
+                        piece = source.read(min(left, 1 << 20))
+                        if not piece:
+                            raise OSError(f"{r['path']} became shorter while it was read")
+                        digest.update(piece)
+                        left -= len(piece)
+                out.append((r["path"], r["length"], r["start"], digest.hexdigest()))
+            columns = list(zip(*out)) if out else [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string()))],
+                names=["path", "file_size", "start", "digest"],
+            )
+
+    return run
 
 
 def new_files(hashed: DataFrame, ledger: DataFrame) -> DataFrame:
