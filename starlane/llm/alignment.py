@@ -30,7 +30,7 @@ from starlane.session import materialize
 
 BLOCK_BYTES = 4 << 20
 # Words and windows that a task's process keeps; both stores start anew beyond.
-KEPT = 400_000
+KEPT = 250_000
 # Pairs whose counts a task holds before it passes them on.
 HELD_PAIRS = 1 << 20
 # No id: it keeps the two halves of an id tuple apart.
