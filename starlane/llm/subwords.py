@@ -17,6 +17,9 @@ import numpy as np
 # Ranks are quick to apply and keep fewer.
 KEPT_WORDS, KEPT_WORDS_OF_RANKS = 800_000, 200_000
 
+# Words of letters that are tokenized at once.
+TOGETHER = 4096
+
 # Marks that form a part of their own between an ASCII letter and the end of a word.
 _MARKS = b".,!?;:$%&#*"
 
@@ -49,6 +52,7 @@ class Subwords:
             self.size = max(ranks.values()) + 1
             self.kept = KEPT_WORDS_OF_RANKS
             self._encode = lambda texts: [coder.encode_ordinary(f" {t}") for t in texts]
+            self._ends = None
         else:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
@@ -59,6 +63,9 @@ class Subwords:
             self._encode = lambda texts: [
                 x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             ]
+            # Ids that end a word; none where the vocabulary does not mark them.
+            self._ends = np.zeros(max(tokenizer.get_vocab().values()) + 1, dtype=bool)
+            self._ends[[k for t, k in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.dtype, self._code = np.dtype("<u2" if self.size <= 1 << 16 else "<u4"), "H"
         if self.dtype.itemsize == 4:
             self._code = "I"
@@ -70,11 +77,38 @@ class Subwords:
         self.known: dict[bytes, int] = {}
         self._first, self._count, self._ids = array("q"), array("q"), array(self._code)
 
-    def _keep(self, word: bytes, ids: array) -> None:
-        self.known[word] = len(self._first)
-        self._first.append(len(self._ids))
-        self._count.append(len(ids))
-        self._ids.extend(ids)
+    def _keep(self, words: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+        """Give the store words with their ids, one word's after the other's."""
+        begin = len(self._first)
+        self.known.update(zip(words, range(begin, begin + len(words))))
+        ends = len(self._ids) + np.cumsum(counts)
+        self._first.frombytes((ends - counts).astype(np.int64).tobytes())
+        self._count.frombytes(counts.astype(np.int64).tobytes())
+        self._ids.frombytes(ids.astype(self.dtype).tobytes())
+
+    def _tokenize(self, words: list[bytes]) -> None:
+        """Words that are one part each, through the tokenizer.
+
+        Those of letters alone go many at a time: each is one word to the tokenizer, and
+        its last id says that it ends there.  Should the ends not be as many as the
+        words, they go one by one, as all others do.
+        """
+        apart, together = [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            (together if self._ends is not None and text.isalpha() else apart).append((word, text))
+        for k in range(0, len(together), TOGETHER):
+            part = together[k : k + TOGETHER]
+            ids = np.array(self._encode([" ".join([t for _, t in part])])[0], dtype=np.int64)
+            ends = np.flatnonzero(self._ends[ids])
+            if len(ends) == len(part):
+                self._keep([w for w, _ in part], ids, np.diff(ends, prepend=-1))
+            else:
+                apart += part
+        found = self._encode([t for _, t in apart])
+        counts = np.array([len(x) for x in found], dtype=np.int64)
+        ids = np.array([i for x in found for i in x], dtype=np.int64)
+        self._keep([w for w, _ in apart], ids, counts)
 
     def _learn(self, words: set[bytes]) -> None:
         """Give the store ``words``, which it does not have.
@@ -97,16 +131,20 @@ class Subwords:
                 parts.add(low)
                 if low != word:
                     made.append((word, low, None))
-        new = list(parts.difference(self.known))
-        for word, found in zip(new, self._encode([w.decode("utf-8", "replace") for w in new])):
-            self._keep(word, array(self._code, found))
-        for word, stem, marks in made:
-            ids = self._of(stem)
-            self._keep(word, ids + self._of(marks) if marks else ids)
-
-    def _of(self, word: bytes) -> array:
-        k = self.known[word]
-        return self._ids[self._first[k] : self._first[k] + self._count[k]]
+        self._tokenize(list(parts.difference(self.known)))
+        # A stem or a mark that is itself a word met here is kept already.
+        made = [m for m in made if m[0] not in self.known]
+        numbers, sizes = [], []
+        for _, stem, marks in made:
+            numbers.append(self.known[stem])
+            if marks:
+                numbers.append(self.known[marks])
+            sizes.append(2 if marks else 1)
+        if made:
+            ids, counts = self.ids_of(np.array(numbers, dtype=np.int64))
+            sizes = np.array(sizes, dtype=np.int64)
+            counts = np.add.reduceat(counts, np.cumsum(sizes) - sizes)
+            self._keep([word for word, _, _ in made], ids, counts)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """The store's number of each word, new ones included; good until the next call."""
@@ -116,14 +154,13 @@ class Subwords:
         missing = {w for w, k in zip(words, found) if k is None}
         if missing:
             self._learn(missing)
-            found = list(map(self.known.__getitem__, words))
+            found = [self.known[w] if k is None else k for w, k in zip(words, found)]
         return np.array(found, dtype=np.int64)
 
     def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words by their numbers, one after the other, and how many each has."""
-        # Copies, as views would keep the arrays from growing.
-        first = np.array(self._first, dtype=np.int64)[numbers]
-        count = np.array(self._count, dtype=np.int64)[numbers]
+        # What is taken out are copies; a view that lasted would keep the arrays from growing.
+        first, count = (np.frombuffer(x, np.int64)[numbers] for x in (self._first, self._count))
         ends = np.cumsum(count)
         place = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - count), count)
         return np.frombuffer(self._ids, self.dtype)[place], count
