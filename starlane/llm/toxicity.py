@@ -1,8 +1,13 @@
 """Toxicity: a linear classifier over character n-grams scaled by log-count ratios.
 
-A feature is the presence of a hashed run of characters in the whole text, in
-lower case.  Its value is the naive Bayes log-count ratio of that run between
-toxic and other texts; a logistic model learns the weights on top.
+A feature is the presence of a run of characters in the whole text, in lower
+case, told from others by a 64-bit hash.  Its value is the naive Bayes log-count
+ratio of that run between toxic and other texts; a logistic model learns the
+weights on top.  Only runs that got a weight count, however many others a text has.
+
+A text longer than a passage scores as its worst passage: half-overlapping
+passages cover the whole text, so a long clean text does not gather the weak
+signs of thousands of sentences, and a short insult in it is seen.
 """
 
 from __future__ import annotations
@@ -20,12 +25,12 @@ from starlane.llm.texts import as_bytes, crc32_of_key, labelled_sample, map_step
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds of the sample, the n-grams and their table, and the fit."""
+    """Bounds of the sample, the n-grams, and the fit."""
 
     rows: int = 8000
     most_bytes: int = 16384
+    passage: int = 4096
     orders: tuple[int, ...] = (5, 6, 8)
-    bits: int = 18
     smoothing: float = 1.0
     least: int = 8
     surprise: float = 4.0
@@ -34,62 +39,114 @@ class Training:
     decay: float = 1e-3
 
 
+# Cells of the tables that rule out most n-grams before they are looked up by their hash:
+# of the counts in training, and of the fitted model's few.
+COUNT_BITS = 22
+MODEL_BITS = 17
+
+
+def cell_of(features: np.ndarray, bits: int) -> np.ndarray:
+    return (features >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def grams(body: bytes, sizes: Training) -> Iterator[np.ndarray]:
-    """Hashed n-grams of the text, one array for each order; the text has a blank at each end."""
+    """64-bit hashes of n-grams, one array for each order; the text has a blank at each end."""
     data = np.frombuffer(b" " + b" ".join(body.lower().split()) + b" ", dtype=np.uint8)
-    mixed = data.astype(np.uint32) + np.uint32(1)
+    mixed = data.astype(np.uint64) + np.uint64(1)
     for order in range(2, max(sizes.orders) + 1):
         if len(data) < order:
             return
-        mixed = mixed[:-1] * np.uint32(0x01000193) + data[order - 1 :]
+        mixed = mixed[:-1] * np.uint64(0x9E3779B97F4A7C15) + data[order - 1 :]
         if order in sizes.orders:
-            spread = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x85EBCA6B)
-            yield (spread >> np.uint32(32 - sizes.bits)).astype(np.int64) + (
-                sizes.orders.index(order) << sizes.bits
-            )
-
-
-class Presence:
-    """Tells the first place of each feature in an array, without sorting."""
-
-    def __init__(self, size: int):
-        self.last = np.zeros(size, dtype=np.int32)
-
-    def distinct(self, features: np.ndarray) -> np.ndarray:
-        place = np.arange(len(features), dtype=np.int32)
-        self.last[features] = place
-        return features[self.last[features] == place]
-
-
-def train(sample: list[tuple[bytes, int]], sizes: Training = Training()) -> np.ndarray | float:
-    """Weights for all features and a last one for the bias; the mean label where one is missing."""
+            spread = (mixed ^ (mixed >> np.uint64(32))) + np.uint64(order)
+            spread *= np.uint64(0xD6E8FEB86659FD93)
+            yield (spread ^ (spread >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
+class Model:
+    """Weights of n-grams by hash, and a bias."""
+
+    def __init__(self, used: np.ndarray, weight: np.ndarray, bias: float):
+        self.used, self.weight, self.bias = used, weight, bias
+        self.possible = np.zeros(1 << MODEL_BITS, dtype=bool)
+        self.possible[cell_of(used, MODEL_BITS)] = True
+
+    def found(self, body: bytes, sizes: Training) -> tuple[np.ndarray, np.ndarray, int]:
+        """Where in the text, and where in ``used``, known n-grams are; the text's length."""
+        where, which = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+        length = 0
+        for features in grams(body, sizes) if len(self.used) else ():
+            length = max(length, len(features))
+            at = np.flatnonzero(self.possible[cell_of(features, MODEL_BITS)])
+            features = features[at]
+            place = np.minimum(np.searchsorted(self.used, features), len(self.used) - 1)
+            known = self.used[place] == features
+            where.append(at[known])
+            which.append(place[known])
+        return np.concatenate(where), np.concatenate(which), length
+
+    def margin(self, body: bytes, sizes: Training) -> float:
+        """The bias and the weights of the n-grams present, in the passage where this is most."""
+        where, which, length = self.found(body, sizes)
+        if length <= sizes.passage:
+            return self.bias + float(self.weight[np.unique(which)].sum())
+        half = sizes.passage // 2
+        last = -(-length // half) - 2  # the last passage reaches the end
+        later = where // half
+        passage = np.concatenate([later, later - 1])
+        pairs = passage * len(self.used) + np.concatenate([which, which])
+        pairs = np.unique(pairs[(passage >= 0) & (passage <= last)])
+        sums = np.bincount(pairs // len(self.used), self.weight[pairs % len(self.used)], last + 1)
+        return self.bias + float(sums.max())
+
+
+def counted(sample: list[tuple[bytes, int]], sizes: Training) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams that ``least`` texts have or more, and in how many texts of each label each is.
+
+    A first pass counts by cell, whose count is that of its n-grams or more, so
+    the second keeps only n-grams that can be frequent.
+    """
+    cells, seen = np.zeros((2, 1 << COUNT_BITS), dtype=np.int32)
+    for body, _ in sample:
+        for features in grams(body, sizes):
+            cell = cell_of(features, COUNT_BITS)
+            place = np.arange(len(cell), dtype=np.int32)
+            seen[cell] = place
+            cells[cell[seen[cell] == place]] += 1  # each cell once
+    often = cells >= sizes.least
+    kept: list[list[np.ndarray]] = [[np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.uint64)]]
+    for body, label in sample:
+        for features in grams(body, sizes):
+            kept[label].append(np.unique(features[often[cell_of(features, COUNT_BITS)]]))
+    sides = [np.unique(np.concatenate(x), return_counts=True) for x in kept]
+    every = np.union1d(sides[0][0], sides[1][0])
+    counts = np.zeros((2, len(every)))
+    for label, (found, times) in enumerate(sides):
+        counts[label][np.searchsorted(every, found)] = times
+    frequent = counts.sum(axis=0) >= sizes.least
+    return every[frequent], counts[:, frequent]
+
+
+def train(sample: list[tuple[bytes, int]], sizes: Training = Training()) -> Model | float:
+    """The fitted model; the mean label where one label is missing."""
     kinds = {label for _, label in sample}
     if len(kinds) < 2:
         return float(kinds.pop()) if kinds else 0.5
     sample = sorted(set(sample))  # a group of copies counts once
-    size = len(sizes.orders) << sizes.bits
     labels = np.array([label for _, label in sample], dtype=np.float64)
-    presence = Presence(size)
-    counts = np.zeros((2, size))
-    for body, label in sample:
-        for features in grams(body, sizes):
-            counts[label][presence.distinct(features)] += 1
-    other, toxic = counts
+    used, (other, toxic) = counted(sample, sizes)
     ratio = np.log((toxic + sizes.smoothing) / (labels.sum() + 2 * sizes.smoothing))
     ratio -= np.log((other + sizes.smoothing) / ((1 - labels).sum() + 2 * sizes.smoothing))
     # Only runs that stand out from chance get a weight; thousands of others would drown them.
     count, share = toxic + other, labels.mean()
     surprise = (toxic - count * share) / np.sqrt(count * share * (1 - share) + 1e-9)
-    ratio[(np.abs(surprise) < sizes.surprise) | (count < sizes.least)] = 0
-    used = np.flatnonzero(ratio)
-    sets = []
-    for body, _ in sample:
-        found = [presence.distinct(x) for x in grams(body, sizes)]
-        found = np.concatenate([*found, np.empty(0, dtype=np.int64)])
-        sets.append(np.searchsorted(used, found[ratio[found] != 0]))
+    stands = (np.abs(surprise) >= sizes.surprise) & (ratio != 0)
+    used, ratio = used[stands], ratio[stands]
+    model = Model(used, np.zeros(len(used)), 0.0)
+    sets = [np.unique(model.found(body, sizes)[1]) for body, _ in sample]
     owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     index = np.concatenate(sets)
-    value = ratio[used][index]
+    value = ratio[index]
     weight, bias = np.zeros(len(used)), np.log(labels.mean() / (1 - labels.mean()))
     first, second = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for step in range(1, sizes.rounds + 1):
@@ -103,10 +160,7 @@ def train(sample: list[tuple[bytes, int]], sizes: Training = Training()) -> np.n
         change /= np.sqrt(second / (1 - 0.99**step)) + 1e-8
         weight -= change[:-1]
         bias -= change[-1]
-    out = np.zeros(size + 1, dtype=np.float32)
-    out[used] = weight * ratio[used]
-    out[-1] = bias
-    return out
+    return Model(used, weight * ratio, float(bias))
 
 
 def toxicity(
@@ -117,7 +171,9 @@ def toxicity(
     Learns ``labels.toxic`` of the rows where ``learn``, a condition on doc_id,
     holds (all by default).  A null, empty or very short text has no n-grams and
     gets the score of the bias.  Without labels the score is 0.5, with labels of
-    one kind that label.
+    one kind that label.  Texts of any length are scored whole, as their worst
+    passage; each n-gram counts once there.  Repeated rows are scored each on its own and alike, and count once in
+    learning.  A score of 0.5 counts as toxic.  An empty table gives no rows.
     """
     wanted = F.lit(True) if learn is None else learn
     sample = labelled_sample(docs, labels, "toxic", wanted, sizes.rows, sizes.most_bytes)
@@ -126,18 +182,12 @@ def toxicity(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(step: pa.RecordBatch) -> dict[str, object]:
-        weights = shared.value
+        fitted = shared.value
         bodies = step.column("body").to_pylist()
-        if isinstance(weights, float):
-            score = np.full(len(bodies), weights)
+        if isinstance(fitted, float):
+            score = np.full(len(bodies), fitted)
         else:
-            presence = Presence(len(weights) - 1)
-            margin = np.array([
-                float(weights[-1]) + sum(
-                    weights[presence.distinct(x)].sum(dtype=np.float64) for x in grams(b, sizes)
-                )
-                for b in bodies
-            ])
+            margin = np.array([fitted.margin(b, sizes) for b in bodies])
             score = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
         return {
             "doc_id": step.column("doc_id"), "score": score,

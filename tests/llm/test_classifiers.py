@@ -86,6 +86,55 @@ def test_toxicity_learns_from_rare_words(spark):
     assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.97
 
 
+def fitted_toxicity():
+    texts = made("clean", 200, 5) + made("toxic", 100, 6)
+    return toxic.train([(t.encode(), int(i >= 200)) for i, t in enumerate(texts)])
+
+
+def plain_margin(model, body, sizes):
+    """Sets of hashed runs passage by passage, weights summed one by one."""
+    weight = dict(zip(model.used.tolist(), model.weight.tolist()))
+    orders = [x.tolist() for x in toxic.grams(body, sizes)]
+    half = sizes.passage // 2
+    length = max(map(len, orders), default=0)
+    starts = [0] if length <= sizes.passage else range(0, length - half, half)
+    stop = length + 1 if length <= sizes.passage else sizes.passage
+    sums = [sum(weight.get(h, 0.0) for h in {h for o in orders for h in o[a : a + stop]}) for a in starts]
+    return model.bias + max(sums)
+
+
+def test_toxicity_equals_plain_sets():
+    model, sizes = fitted_toxicity(), toxic.Training(passage=256)
+    assert len(model.used)
+    bodies = [(t or "").encode() for t in [*ODD_TEXTS, *made("clean", 9, 7), *made("toxic", 9, 8)]]
+    for body in bodies:
+        assert model.margin(body, sizes) == pytest.approx(plain_margin(model, body, sizes))
+
+
+def test_counts_of_runs_equal_plain_counts():
+    texts = made("clean", 30, 9) + made("toxic", 20, 10)
+    sizes = toxic.Training()
+    used, counts = toxic.counted([(t.encode(), int(i >= 30)) for i, t in enumerate(texts)], sizes)
+    plain = {}
+    for i, text in enumerate(texts):
+        for h in {h for o in toxic.grams(text.encode(), sizes) for h in o.tolist()}:
+            plain.setdefault(h, [0, 0])[i >= 30] += 1
+    plain = {h: c for h, c in plain.items() if sum(c) >= sizes.least}
+    assert dict(zip(used.tolist(), map(list, counts.T.astype(int).tolist()))) == plain
+
+
+def test_toxicity_does_not_depend_on_length():
+    model, sizes = fitted_toxicity(), toxic.Training()
+    long = " ".join(made("clean", 8000, 11)).encode()
+    assert len(long) > 4 << 20
+    for size in (16 << 10, 1 << 20, 4 << 20):
+        clean = long[:size]
+        assert model.margin(clean, sizes) < 0
+        insulted = clean[: size // 2] + b" idiotic " + clean[size // 2 :]
+        assert model.margin(insulted, sizes) > 0
+    assert model.margin(long[:3000], sizes) == model.margin(long[:3000].upper(), sizes)
+
+
 @pytest.mark.parametrize(
     "run", [lambda d, k: quality.quality_classifier(d, k), lambda d, k: toxic.toxicity(d, k)]
 )
