@@ -1,8 +1,10 @@
 """Secret scans: a random forest that removes false positives, in DataFrame functions and JVM trees.
 
-Long opaque strings and private-key headers are candidates.  The forest sees
-their length, character transitions, dictionary coverage, path and neighbouring
-words, and keeps those that look like the labelled findings.
+Long opaque strings, values assigned to a secret's name however short, and
+private-key headers are candidates.  The forest sees their length, character
+transitions, dictionary coverage, path and neighbouring words, and keeps those
+that look like the labelled findings.  The dictionary is all words that stand
+alone in several texts, counted by a shuffle and joined to the candidates' words.
 """
 
 from __future__ import annotations
@@ -19,15 +21,22 @@ from starlane.llm.spans import joined, letters, located, matches
 from starlane.llm.texts import table
 from starlane.session import materialize
 
-_OPAQUE = "[A-Za-z0-9_+/=.-]"
+# Characters of opaque strings; "=" ends one, at most, so a name before it stays outside.
+_OPAQUE = "[A-Za-z0-9_+/.-]"
+_LONG = rf"(?<!{_OPAQUE})(?=[A-Za-z_+/.-]*+[0-9]){_OPAQUE}{{15,}}[A-Za-z0-9_+/-]"
+# Characters of assigned values, and what stands before such a value.
+_VALUE = "[^\\s\"'`<>,;(){}\\[\\]]"
+_NAME = "(?:passw(?:or)?d|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credentials?)"
+_ASSIGNED = rf"{_NAME}[a-z0-9_-]{{0,16}}[\"']?\s{{0,2}}[:=]\s{{0,2}}[\"'`]?"
 
 
 @dataclass(frozen=True)
 class Forest:
-    """The sample (``rows`` findings of each outcome), the dictionary's words, the trees, the threshold."""
+    """The sample (``rows`` findings of each outcome), how many texts hold a word of the dictionary at
+    least, the trees, the threshold."""
 
     rows: int = 2000
-    dictionary: int = 4000
+    least: int = 3
     trees: int = 20
     depth: int = 6
     threshold: float = 0.5
@@ -35,11 +44,16 @@ class Forest:
 
 
 def candidates(text: Column) -> list[Column]:
-    """Runs of 16 and more opaque characters with a digit, and headers of private keys."""
+    """Runs of 16 and more opaque characters with a digit, dots at their end left out; values of six
+    characters and more after a secret's name, without such a run in them; headers of private keys.
+
+    No two candidates of a text overlap.
+    """
     return [
+        matches("opaque", text, rf"{_LONG}={{0,2}}+", text.rlike(rf"{_OPAQUE}{{16}}")),
         matches(
-            "opaque", text, rf"(?<!{_OPAQUE})(?=[A-Za-z_+/=.-]*+[0-9]){_OPAQUE}{{16,}}+",
-            text.rlike(rf"{_OPAQUE}{{16}}"),
+            "assigned", text, rf"(?i)(?<=[:=\s\"'`])(?<={_ASSIGNED})(?!{_VALUE}*?{_LONG})(?![:=]){_VALUE}{{6,}}+",
+            text.rlike(rf"(?i){_NAME}"),
         ),
         matches(
             "private-key", text, r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----",
@@ -48,23 +62,33 @@ def candidates(text: Column) -> list[Column]:
     ]
 
 
-def dictionary(texts: DataFrame, words: int) -> list[str]:
-    """The commonest lower-case words of four letters and more; at most ``words``."""
-    found = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z]{4,}"), F.lit(0))
-    counts = texts.select(F.explode(found).alias("word")).groupBy("word").count()
-    return sorted(r.word for r in counts.orderBy(F.desc("count"), "word").limit(words).collect())
+def dictionary(texts: DataFrame, least: int) -> DataFrame:
+    """word: lower-case words of four letters and more that stand alone in ``least`` texts or more.
+
+    Letters beside digits or marks of opaque strings are no words, so pieces of a secret never are.
+    """
+    alone = "(?<![a-z0-9_+/=-])[a-z]{4,}+(?![a-z0-9_+/=-])"
+    found = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(alone), F.lit(0))
+    counts = texts.select(F.explode(F.array_distinct(found)).alias("word")).groupBy("word").count()
+    return counts.where(F.col("count") >= least).select("word")
+
+
+def covered(found: DataFrame, known: DataFrame) -> DataFrame:
+    """``found`` with ``covered``: how many letters of a candidate are words of the dictionary."""
+    key = ["line", "kind", "start"]
+    runs = F.filter(F.split(F.lower("surface"), "[^a-z]+"), lambda w: F.length(w) >= 4)
+    words = found.where(F.col("kind").isNotNull()).select(*key, F.explode(runs).alias("word"))
+    # Only distinct words meet the dictionary; what they hit is joined back to the candidates.
+    hits = words.select("word").distinct().join(known, "word", "left_semi")
+    sums = words.join(hits, "word").groupBy(key).agg(F.sum(F.length("word")).alias("covered"))
+    return found.join(sums, key, "left").withColumn("covered", F.coalesce("covered", F.lit(0)))
 
 
-def features(known: list[str]) -> dict[str, Column]:
+def features() -> dict[str, Column]:
     """What the forest sees of a candidate; ``tag`` is the path of its text."""
     s, size = F.col("surface"), F.length("surface")
     before, after = F.lower("before"), F.lower("after")
-    words = F.split(F.lit(" ".join(known)), " ")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0")
-    runs = F.filter(F.split(F.lower(s), "[^a-z]+"), lambda w: F.length(w) >= 4)
-    covered = F.aggregate(
-        F.filter(runs, lambda w: F.array_contains(words, w)), F.lit(0), lambda a, w: a + F.length(w)
-    )
     return {
         "length": size,
         "changes": F.length(kinds) / size,
@@ -74,11 +98,11 @@ def features(known: list[str]) -> dict[str, Column]:
         "hex": s.rlike("^[0-9a-fA-F]+$").cast("int"),
         "distinct": F.size(F.array_distinct(F.split(s, ""))) / size,
         "vowels": letters(s, "[^aeiouAEIOU]") / size,
-        "dictionary": covered / size,
+        "dictionary": F.col("covered") / size,
         "path": F.lower(F.coalesce("tag", F.lit(""))).rlike("test|example|sample|doc|fixture").cast("int"),
         "address": F.concat(F.lit(" "), before, s, after).rlike(r"https?://\S*$|@").cast("int"),
         "placeholder": F.concat(before, s).rlike("example|dummy|xxxx|changeme|your[_-]").cast("int"),
-        "key_word": before.rlike("token|secret|passw|api.?key|access.?key|auth|credential").cast("int"),
+        "key_word": before.rlike("token|secret|passw|pwd|api.?key|access.?key|auth|credential").cast("int"),
         "assigned": before.rlike("[=:]\\s*[\"']?$").cast("int"),
         "quoted": (before.rlike("[\"']$") & after.rlike("^[\"']")).cast("int"),
     }
@@ -87,10 +111,10 @@ def features(known: list[str]) -> dict[str, Column]:
 def proposals(docs: DataFrame, texts: DataFrame, how: Forest = Forest()) -> DataFrame:
     """All candidates with their features, and a row with a null kind for each text."""
     found = candidates(F.coalesce("text", F.lit("")))
-    rows = located(docs, found, ["doc_id"], F.col("source").cast("string"))
-    seen = features(dictionary(texts, how.dictionary))
-    rows = rows.withColumns({f"f_{k}": v.cast("double") for k, v in seen.items()})
-    return materialize(rows, "secret-candidates")
+    rows = materialize(located(docs, found, ["doc_id"], F.col("source").cast("string")), "secret-places")
+    rows = covered(rows, dictionary(texts, how.least))
+    rows = rows.withColumns({f"f_{k}": v.cast("double") for k, v in features().items()})
+    return materialize(rows.drop("covered"), "secret-candidates")
 
 
 def _names(found: DataFrame) -> list[str]:
@@ -98,17 +122,23 @@ def _names(found: DataFrame) -> list[str]:
 
 
 def weak_findings(found: DataFrame) -> DataFrame:
-    """Findings labelled by rule: ``label`` 1 for a value of good variety that is assigned to a
-    secret's name or has a provider's form, 0 for what is an address, a number or a placeholder."""
-    s = F.col("surface")
+    """Findings labelled by rule, as far as rules can tell: ``label`` 1 for what has a provider's form or
+    is a value of good variety assigned to a password, a secret, a token or an API key, 0 for an address, a
+    number, a placeholder or dictionary words.
+
+    Values of other names (access keys, authentication keys, credentials), and opaque strings without a name, such as
+    digests and identifiers, get no label: the forest alone decides on them.
+    """
+    s, before = F.col("surface"), F.lower("before")
     provider = s.rlike(r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abprs]-[0-9A-Za-z-]{10,}|eyJ[0-9A-Za-z_.-]{20,})$")
-    named = (F.col("f_key_word") == 1) & (F.col("f_assigned") == 1) & (F.col("f_distinct") * F.col("f_length") >= 8)
+    named = before.rlike("(passw(or)?d|secret|token|api.?key)[a-z0-9_-]{0,16}[\"']?\\s*[:=]\\s*[\"'`]?$")
+    various = (F.col("f_distinct") * F.col("f_length") >= 6) & s.rlike("[0-9]") & (F.col("f_dictionary") <= 0.5)
     wrong = (
         (F.col("f_placeholder") == 1) | (F.col("f_address") == 1) | s.rlike(r"^[0-9.+/-]+$")
-        | (F.col("f_dictionary") > 0.5)
+        | (F.col("f_dictionary") > 0.5) | s.rlike(r"^[$%]")
     )
-    label = F.when((F.col("f_placeholder") == 0) & (provider | named), 1.0).when(wrong, 0.0)
-    return found.where("kind = 'opaque'").withColumn("label", label).where("label is not null")
+    label = F.when((F.col("f_placeholder") == 0) & (provider | (named & various)), 1.0).when(wrong, 0.0)
+    return found.where("kind in ('opaque', 'assigned')").withColumn("label", label).where("label is not null")
 
 
 def train(findings: DataFrame, how: Forest = Forest()) -> RandomForestClassificationModel | None:
@@ -132,12 +162,14 @@ def secrets(
     ``texts`` (text) gives the dictionary.  ``findings`` are labelled findings; by
     default those that ``weak_findings`` labels.  Without both outcomes nothing
     but private keys is a secret.  A null or empty text has no candidates;
-    repeated rows are scanned each on its own.
+    repeated rows are scanned each on its own, with equal results.  A score equal
+    to the threshold is a secret.  Texts of any length are scanned whole.  An empty
+    table gives no rows; columns besides these three are ignored.
     """
     found = proposals(docs, texts, how)
     model = train(weak_findings(found) if findings is None else findings, how)
     names = _names(found)
-    opaque = found.where("kind = 'opaque'")
+    opaque = found.where("kind in ('opaque', 'assigned')")
     if model is None:
         scored = opaque.withColumn("score", F.lit(0.0))
     else:
@@ -160,4 +192,5 @@ def secrets(
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    docs = table(spark, sf_dir, "documents")
+    return secrets(docs, docs)

@@ -1,8 +1,12 @@
 from __future__ import annotations
 
 import random
+import re
+
+import numpy as np
 
 from starlane.llm.secret_scan import candidates, dictionary, proposals, secrets, train, weak_findings
+from starlane.llm.spans import located
 from tests.llm.helpers import ODD_TEXTS, documents
 
 
@@ -49,12 +53,103 @@ def test_labelled_findings_replace_the_rules(spark):
     assert got[0] == 0 and got[2] == 1
 
 
-def test_dictionary_is_bounded(spark):
-    assert dictionary(documents(spark, ["Word word other that that", None]), 2) == ["that", "word"]
+def test_dictionary_holds_words_that_stand_alone(spark):
+    texts = ["Word word other that", "that, word", None, "(that) abcd9 x_abcd", "word abcd1 abcd2", "that abcd=1"]
+    got = {r.word for r in dictionary(documents(spark, texts), 3).collect()}
+    assert got == {"word", "that"}
+
+
+OPAQUE = re.compile(r"[A-Za-z0-9_+/.-]+")
+ASSIGNED = re.compile(
+    r"(?i)(?:passw(?:or)?d|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|credentials?)"
+    r"[a-z0-9_-]{0,16}[\"']?\s{0,2}[:=]\s{0,2}[\"'`]?$"
+)
+
+
+def plain_candidates(text):
+    """Runs and values looked up character by character."""
+    out = []
+    for run in OPAQUE.finditer(text):
+        body = run.group().rstrip(".")
+        if len(body) >= 16 and re.search("[0-9]", run.group()):
+            stop = run.start() + len(body)
+            if stop == run.end():
+                stop += len(re.match("={0,2}", text[stop:]).group())
+            out.append(("opaque", run.start(), stop))
+    at = 0
+    while at < len(text):
+        value = re.match(r"[^\s\"'`<>,;(){}\[\]]{6,}", text[at:])
+        if value and text[at] not in ":=" and ASSIGNED.search(text[max(0, at - 80) : at]):
+            stop = at + value.end()
+            if not any(k == "opaque" and at <= a < stop for k, a, _ in out):
+                out.append(("assigned", at, stop))
+                at = stop
+                continue
+        at += 1
+    return sorted(out)
+
+
+FORMS = [
+    'password: "hunter2x"',
+    "export AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMIK7MDENGbPxRfiCYq9zL4w+/aB",
+    "api_key=9f86d081884c7d659a2feaa0c55ad015 and more",
+    "see 0123456789abcdef0123... or not",
+    "padded = QUJDREVGR0hJSktMTU5PUFFSU1RVVld6MDE= end",
+    "token: 'short' pwd=abc secret := x9y8z7",
+    "password=p@ss!word1, password = correcthorsebatterystaple",
+    'PASSWORD="a" credentials: {"token": "ab12cd34"}',
+    "secret=é9é9é9é9 nothing=abcdef token==abcdef",
+    "password: ..................................9",
+]
+
+
+def test_candidates_equal_a_plain_scan(spark):
+    rng = random.Random(4)
+    parts = ["token", "pwd", "secret_2", ":", "=", " ", '"', "abc123", "x", ".", "0123456789abcdefgh", "ä", "/", "!"]
+    texts = FORMS + ["".join(rng.choices(parts, k=14)) for _ in range(400)] + [t or "" for t in ODD_TEXTS]
+    docs = documents(spark, texts)
+    found = located(docs, candidates(docs.text), ["doc_id"], docs.source)
+    owner = {r.line: r.row.doc_id for r in found.where("kind is null").collect()}
+    got = {i: [] for i in range(len(texts))}
+    for r in found.where("kind is not null").collect():
+        got[owner[r.line]].append((r.kind, r.start, r.stop))
+    for i, text in enumerate(texts):
+        assert sorted(got[i]) == plain_candidates(text), text
+
+
+def test_assignments_short_passwords_and_forms_without_labels(spark):
+    """The forest decides on names and strings that no rule labels."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+    def value(n):
+        return "".join(rng.choices(letters, k=n - 1)) + str(rng.randrange(10))
+
+    words = "the river runs past required string optional settings page where people read old stories"
+    texts = [words] * 5
+    texts += [f"set SECRET_KEY={value(32)} before" for _ in range(60)]
+    texts += [f'password: "{value(9)}" here' for _ in range(60)]
+    texts += [f"see https://host.org/{value(24)} there" for _ in range(60)]
+    texts += [f"password: {rng.choice(['required', 'string', 'optional'])} field" for _ in range(60)]
+    first = len(texts)
+    texts += [f"access_key={value(30)} x" for _ in range(20)]  # a name without labels
+    texts += [f"credentials: '{value(10)}'" for _ in range(20)]  # likewise
+    texts += [f"token: {rng.choice(['required', 'string', 'optional'])} field" for _ in range(20)]
+    docs = documents(spark, texts + texts[:100])
+    found = proposals(docs, docs)
+    labelled = weak_findings(found)
+    assert labelled.where("lower(before) rlike 'access_key=|credentials'").count() == 0
+    got = {r.doc_id: r for r in secrets(docs, docs).collect()}
+    kept = [got[i].n_secrets for i in range(first, first + 60)]
+    assert np.mean([n == 1 for n in kept[:40]]) >= 0.95
+    assert np.mean([n == 0 for n in kept[40:]]) == 1.0
+    assert got[5].spans == "opaque:15:47" and got[65].spans == "assigned:11:20"
+    for i in range(100):  # repeated rows
+        assert got[i].spans == got[len(texts) + i].spans
 
 
 def test_empty_table_and_nothing_found(spark):
     docs = documents(spark, [])
     assert secrets(docs, docs).count() == 0
     assert {r.n_candidates for r in secrets(documents(spark, ["a", None]), docs).collect()} == {0}
-    assert len(candidates(docs.text)) == 2
+    assert len(candidates(docs.text)) == 3
