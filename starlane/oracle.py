@@ -897,4 +897,30 @@ _BODIES: dict[str, str] = {
     """,
 }
 
+
+
+def _long(report: str, body: str, values: list[str], names: list[str]) -> str:
+    group = f"CAST(to_json([{', '.join(names)}]) AS VARCHAR)" if names else "CAST(NULL AS VARCHAR)"
+    return " UNION ALL ".join(
+        f"SELECT '{report if names else value}' AS kpi, {group} AS name, CAST({value} AS DOUBLE) AS value"
+        f" FROM ({_BODIES[body]})"
+        for value in values
+    )
+
+
+_BODIES["kpi_incremental"] = " UNION ALL ".join(
+    [
+        _long("total_tickets", "kpi_total_tickets", ["total_tickets"], []),
+        _long("sla", "kpi_sla_breach_rate", ["first_response_breach_rate", "resolution_breach_rate"], []),
+        _long("times", "kpi_avg_times", ["avg_first_response_time_min", "avg_resolution_time_min"], []),
+        _long("reopened", "kpi_reopen_rate", ["reopen_rate_pct"], []),
+        _long("money", "kpi_refund_revenue", ["total_refund_amount", "total_revenue_impact"], []),
+        _long("tickets_by_city_region", "kpi_tickets_by_city_region", ["ticket_count"], ["city_name", "region_name"]),
+        _long("tickets_by_restaurant", "kpi_tickets_by_restaurant", ["ticket_count"], ["restaurant_name"]),
+        _long("tickets_by_driver", "kpi_tickets_by_driver", ["ticket_count"], ["driver_name"]),
+        _long("complaints", "kpi_complaint_rate", ["complaint_rate_per_1000_orders"], []),
+        _long("loss_by_reason_category", "kpi_loss_by_reason_category", ["total_loss"], ["reason_category_name"]),
+    ]
+)
+
 ORACLES: dict[str, str] = {name: _answer(body) for name, body in _BODIES.items()}

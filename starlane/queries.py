@@ -8,6 +8,7 @@ shared folder, all written by Spark from the given tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from starlane.plans import kpi, views
 from starlane.plans.drops import load_drop
 from starlane.plans.gold import Stages, to_gold
 from starlane.plans.load import Loader
+from starlane.plans.rollup import Rollup
 from starlane.session import materialize, new_folder
 from starlane.sinks import files as file_sinks
 from starlane.sinks.store import Store
@@ -982,6 +984,35 @@ def kpi_from_store(fx: Fixtures) -> DataFrame:
     return kpi.sla_breach_rate(_loaded_tickets(fx).fact("tickets"))
 
 
+@_query
+def kpi_incremental(fx: Fixtures) -> DataFrame:
+    """All KPIs from sums kept by batch: two refreshes, one batch of tickets and half the orders later."""
+    store, tickets = _store(fx, "rollup"), _gold_tickets(fx)
+    rollup = Rollup(store)
+    dealt = F.pmod(F.xxhash64("ticket_id"), F.lit(3))
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2))
+    store.write_fact(tickets.where(dealt == 0).where(half == 0), "tickets", "t-0")
+    store.write_fact(tickets.where(dealt == 1), "tickets", "t-1")
+    store.write_fact(fx.orders_base.where(half == 0), "orders", "o-0")
+    rollup.refresh()
+    store.write_fact(tickets.where(dealt == 0), "tickets", "t-0")
+    store.write_fact(tickets.where(dealt == 2), "tickets", "t-2")
+    store.write_fact(fx.orders_base.where(half == 1), "orders", "o-1")
+    rollup.refresh()
+    dims = {
+        "regions": _gold_regions(fx), "restaurants": fx.restaurants, "drivers": fx.drivers,
+        "reasons": _gold_reasons(fx),
+    }
+    parts = []
+    for report, df in rollup.reports(dims).items():
+        names = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+        group = F.to_json(F.array(*names)) if names else F.lit(None).cast("string")
+        for value in [c for c in df.columns if c not in names]:
+            kpi_name = F.lit(report if names else value).alias("kpi")
+            parts.append(df.select(kpi_name, group.alias("name"), F.col(value).cast("double").alias("value")))
+    return reduce(DataFrame.unionAll, parts)
+
+
 @_query
 def late_dimension_replay(fx: Fixtures) -> DataFrame:
     """Orders load first, their customers arrive later, the orders follow."""

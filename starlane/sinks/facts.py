@@ -140,6 +140,21 @@ class FactTable:
         self.commit([row])
         return row.rows
 
+    def replace_many(self, df: DataFrame, versions: dict[str, int]) -> None:
+        """Make the rows of ``df`` (with batch_id) all that these batches hold, in one folder and one step.
+
+        The batches get the versions given; one that has a later version already keeps its rows.
+        """
+        folder = f"{run_number()}-{uuid.uuid4().hex[:12]}{_MANY}"
+        df.write.parquet(f"{self.root}/rows/{folder}")
+        counts = self.spark.read.schema(df.schema).parquet(f"{self.root}/rows/{folder}").groupBy("batch_id").count()
+        held = {r.batch_id: r["count"] for r in counts.collect()}  # one row a batch
+        schema = df.schema.json()
+        self.commit([
+            Row(*MANIFEST.fieldNames())(b, v, held.get(b, 0), folder, schema, "[]", None, None)
+            for b, v in sorted(versions.items())
+        ])
+
     def _stale(self, rows: list[Row]) -> dict[str, list[str]]:
         """Batches in each folder that another folder now holds; only compacted folders have such."""
         shared = {r.folder for r in rows if r.folder.endswith(_MANY)}
