@@ -40,8 +40,8 @@ class Training:
 
 
 # Cells of the tables that rule out most n-grams before they are looked up by their hash:
-# of the counts in training, and of the fitted model's few.
-COUNT_BITS = 22
+# of the counts in training (a byte each), and of the fitted model's few.
+COUNT_BITS = 25
 MODEL_BITS = 17
 
 
@@ -100,29 +100,51 @@ class Model:
         return self.bias + float(sums.max())
 
 
+class Counter:
+    """How often each hash was added; hashes wait in a buffer of a few megabytes and are merged."""
+
+    def __init__(self, most: int = 1 << 21):
+        self.names, self.counts = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+        self.waiting, self.held, self.most = [], 0, most
+
+    def add(self, features: np.ndarray) -> None:
+        self.waiting.append(features)
+        self.held += len(features)
+        if self.held >= self.most:
+            self.merge()
+
+    def merge(self) -> None:
+        if self.waiting:
+            found, times = np.unique(np.concatenate(self.waiting), return_counts=True)
+            names, place = np.unique(np.concatenate([self.names, found]), return_inverse=True)
+            counts = np.zeros(len(names), dtype=np.int64)
+            counts[place[: len(self.names)]] = self.counts
+            counts[place[len(self.names) :]] += times
+            self.names, self.counts, self.waiting, self.held = names, counts, [], 0
+
+
 def counted(sample: list[tuple[bytes, int]], sizes: Training) -> tuple[np.ndarray, np.ndarray]:
     """N-grams that ``least`` texts have or more, and in how many texts of each label each is.
 
     A first pass counts by cell, whose count is that of its n-grams or more, so
     the second keeps only n-grams that can be frequent.
     """
-    cells, seen = np.zeros((2, 1 << COUNT_BITS), dtype=np.int32)
+    enough = min(sizes.least, 255)
+    cells = np.zeros(1 << COUNT_BITS, dtype=np.uint8)
     for body, _ in sample:
         for features in grams(body, sizes):
-            cell = cell_of(features, COUNT_BITS)
-            place = np.arange(len(cell), dtype=np.int32)
-            seen[cell] = place
-            cells[cell[seen[cell] == place]] += 1  # each cell once
-    often = cells >= sizes.least
-    kept: list[list[np.ndarray]] = [[np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.uint64)]]
+            cell = np.unique(cell_of(features, COUNT_BITS))
+            cells[cell] += cells[cell] < enough
+    sides = Counter(), Counter()
     for body, label in sample:
         for features in grams(body, sizes):
-            kept[label].append(np.unique(features[often[cell_of(features, COUNT_BITS)]]))
-    sides = [np.unique(np.concatenate(x), return_counts=True) for x in kept]
-    every = np.union1d(sides[0][0], sides[1][0])
+            sides[label].add(np.unique(features[cells[cell_of(features, COUNT_BITS)] == enough]))
+    for side in sides:
+        side.merge()
+    every = np.union1d(sides[0].names, sides[1].names)
     counts = np.zeros((2, len(every)))
-    for label, (found, times) in enumerate(sides):
-        counts[label][np.searchsorted(every, found)] = times
+    for label, side in enumerate(sides):
+        counts[label][np.searchsorted(every, side.names)] = side.counts
     frequent = counts.sum(axis=0) >= sizes.least
     return every[frequent], counts[:, frequent]
 
