@@ -429,6 +429,7 @@ _CUSTOMER_LOAD = """
 _BODIES: dict[str, str] = {
     "scan_csv": "SELECT * FROM fx_customers_raw",
     "scan_json": "SELECT * FROM fx_orders",
+    "scan_json_split": "SELECT * FROM fx_orders",
     "scan_json_keyed": "SELECT * FROM fx_restaurants",
     "coerce_dates": """
         SELECT customer_id, signup_date, TRY_CAST(signup_date AS DATE) AS as_date,

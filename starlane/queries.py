@@ -124,6 +124,18 @@ def scan_json(fx: Fixtures) -> DataFrame:
     return gates.cast_to_contract(text, contract)
 
 
+@_query
+def scan_json_split(fx: Fixtures) -> DataFrame:
+    """Half of the orders as arrays, half as keyed objects, read in ranges of 64 KiB."""
+    contract = CONTRACTS["orders"]
+    root, half = new_folder(fx.spark, "scan"), F.pmod(F.xxhash64("order_id"), F.lit(2))
+    file_sinks.write_json(fx.orders.where(half == 0), f"{root}/orders.json")
+    file_sinks.write_keyed_json(fx.orders.where(half == 1), "order_id", f"{root}/keyed.json")
+    array = files.read_json(fx.spark, f"{root}/orders.json", contract.columns, span=1 << 16)
+    keyed = files.read_keyed_json(fx.spark, f"{root}/keyed.json", contract.columns, span=1 << 16)
+    return gates.cast_to_contract(array.unionAll(keyed), contract)
+
+
 @_query
 def scan_json_keyed(fx: Fixtures) -> DataFrame:
     path = f"{new_folder(fx.spark, 'scan')}/restaurants.json"

@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starlane.sources.json_ranges import record_texts
+from starlane.sources.ranges import RANGE_BYTES, listed
+
 # The dataset name in a path: a file ``t.csv``, or a folder ``t.csv`` of part files.
 _DATASET = r"/([^/.=]+)\.(?:csv|json)(?:/|$)"
 _RUN_DATE = r"/(?:run_date=)?(\d{4}-\d{2}-\d{2})/"
@@ -33,22 +36,47 @@ def literal(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
-def header_names(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame:
+def _large(spark: SparkSession, paths: str | list[str], span: int) -> DataFrame | None:
+    """The listing of ``paths`` if a file in it is longer than one range, else None."""
+    found = listed(spark, paths)
+    return None if found.where(F.col("length") > span).isEmpty() else found
+
+
+def header_names(
+    spark: SparkSession, paths: list[str], fmt: str, span: int = RANGE_BYTES
+) -> DataFrame:
     """path and names: the columns that each file itself has, empty where it holds nothing.
 
-    One job reads all files, each as one value.
+    One job reads all files: of CSV the first line, of JSON each file as one value, or record
+    by record where a file is longer than ``span`` bytes.
     """
-    whole = spark.read.text([literal(p) for p in paths], wholetext=True)
+    plain = [literal(p) for p in paths]
     if fmt == "csv":
-        line = F.regexp_extract("value", r"^\x{FEFF}?([^\r\n]*)", 1)
-        cells = F.transform(F.split(line, ","), lambda c: F.regexp_replace(F.trim(c), r'^"|"$', ""))
-        names = F.when(line != "", cells).otherwise(F.array().cast("array<string>"))
-    else:
+        return _csv_names(spark, plain)
+    found = _large(spark, plain, span)
+    if found is None:
+        whole = spark.read.text(plain, wholetext=True)
         records = F.from_json("value", "array<map<string,string>>")
         names = F.array_distinct(F.flatten(F.transform(records, F.map_keys)))
+        return whole.select(F.col("_metadata.file_path").alias("path"), _or_empty(names).alias("names"))
+    names = F.explode(F.map_keys(F.from_json("record", "map<string,string>")))
+    seen = record_texts(found, span=span).select("path", names.alias("name")).groupBy("path")
+    per_file = seen.agg(F.collect_set("name").alias("names"))
+    return found.select("path").join(per_file, "path", "left").select("path", _or_empty(F.col("names")).alias("names"))
+
+
+def _or_empty(names: Column) -> Column:
+    return F.coalesce(names, F.array().cast("array<string>"))
+
+
+def _csv_names(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Header cells of each file, read as the CSV reader reads them."""
+    whole = spark.read.text(paths, wholetext=True)
+    line = F.regexp_extract("value", r"^\x{FEFF}?([^\r\n]*)", 1)
+    cells = F.regexp_extract_all(line, F.lit(r'(?:^|,)(\s*"(?:[^"]|"")*"[^,]*|[^,]*)'), 1)
+    names = F.transform(cells, lambda c: F.replace(F.regexp_replace(F.trim(c), r'^"|"$', ""), F.lit('""'), F.lit('"')))
     return whole.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.coalesce(names, F.array().cast("array<string>")).alias("names"),
+        F.col("_metadata.file_path").alias("path"), _or_empty(F.when(line != "", names)).alias("names")
     )
 
 
@@ -82,22 +110,37 @@ def read_json(
     path: str | list[str],
     columns: list[str] | None = None,
     lines: bool = False,
+    span: int = RANGE_BYTES,
 ) -> DataFrame:
     """JSON: an array of records or one record per file, or one per line.
 
-    Array files are read by one task each, so producers should keep them to a
-    drop's size; ``lines`` files can be split.  Without ``columns`` the names
-    are found by reading the files once more.
+    Where an array file is longer than ``span`` bytes, ranges of that size are read by tasks
+    of their own (see ``json_ranges``); ``lines`` files are split by Spark.  Without
+    ``columns`` the names are found by reading the files once more.
     """
     stream_json_numbers(spark)
+    found = None if lines else _large(spark, path, span)
+    if found is not None:
+        records = record_texts(found, span=span)
+        if columns is None:
+            names = F.explode(F.map_keys(F.from_json("record", "map<string,string>")))
+            columns = sorted(r[0] for r in records.select(names).distinct().collect())
+        return records.select(F.from_json("record", _text_schema(columns)).alias("r")).select("r.*")
     reader = spark.read.option("multiLine", not lines)
     if columns is None:
         columns = reader.option("primitivesAsString", True).json(path).columns
     return spark.read.option("multiLine", not lines).schema(_text_schema(columns)).json(path)
 
 
-def read_keyed_json(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """JSON files that hold one object of records by key."""
+def read_keyed_json(
+    spark: SparkSession, path: str, columns: list[str], span: int = RANGE_BYTES
+) -> DataFrame:
+    """JSON files that hold one object of records by key; in ranges as ``read_json``."""
+    stream_json_numbers(spark)
+    found = _large(spark, path, span)
+    if found is not None:
+        parsed = F.from_json("record", _text_schema(columns)).alias("r")
+        return record_texts(found, True, span).select(parsed).select("r.*")
     record = T.MapType(T.StringType(), _text_schema(columns))
     whole = spark.read.text(path, wholetext=True)
     return whole.select(

@@ -8,15 +8,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
-from urllib.parse import quote, unquote
 
 import pyarrow as pa
-import pyarrow.fs  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starlane.operators.lookup import lookup_join
+from starlane.sources.ranges import RANGE_BYTES, listed, open_file, split_files, task_count
 
 SCHEMA = T.StructType(
     [
@@ -29,9 +28,8 @@ SCHEMA = T.StructType(
 )
 
 
-# From this size on a file is read in ranges of the other.
+# From this size on a file is read in ranges.
 LARGE_BYTES = 256 << 20
-RANGE_BYTES = 64 << 20
 
 
 def hash_files(
@@ -44,15 +42,14 @@ def hash_files(
     read by tasks of their own, so a file may have any size.  Which of both a file gets
     depends on its size alone, so copies agree.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    found = listed(spark, paths)
     size = F.col("length").alias("file_size")
     # A filter on the length keeps Spark from opening the others.
     whole = found.where(F.col("length") < large).select(
         F.sha2("content", 256).alias("file_hash"), "path", size
     )
-    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(span).cast("long")))
-    ranges = found.where(F.col("length") >= max(large, 1)).select("path", "length", starts.alias("start"))
-    digests = ranges.repartition("path", "start").mapInArrow(
+    beyond = found.where(F.col("length") >= max(large, 1))
+    digests = split_files(beyond, span, task_count(beyond, span)).mapInArrow(
         _digests(span), "path string, file_size long, start long, digest string"
     )
     # One short text for each range of a file.
@@ -68,9 +65,8 @@ def _digests(span: int):
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                system, name = pa.fs.FileSystem.from_uri(quote(unquote(r["path"]), safe="/:"))
                 digest, left = hashlib.sha256(), min(span, r["length"] - r["start"])
-                with system.open_input_file(name) as source:
+                with open_file(r["path"]) as source:
                     source.seek(r["start"])
                     while left:
                         piece = source.read(min(left, 1 << 20))
