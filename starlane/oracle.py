@@ -787,6 +787,10 @@ _BODIES: dict[str, str] = {
         SELECT event_id, dim_name, CAST(retry_count AS INTEGER) AS retry_count, status
         FROM ({_retried(2)})
     """,
+    "reconciliation_compacted": f"""
+        SELECT event_id, dim_name, CAST(retry_count AS INTEGER) AS retry_count, status
+        FROM ({_retried(2)})
+    """,
     "retry_dead_letter": f"""
         SELECT event_id, fk_value, CAST(retry_count AS INTEGER) AS retry_count, status
         FROM ({_retried(5)}) WHERE status = 'DEAD'

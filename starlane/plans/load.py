@@ -146,6 +146,7 @@ class Loader:
             counts = self._load_clean(rows, contract, batch_id, seq, stage)
             self._count_replay(contract, batch_id, counts)
             waiting.append_log(moved, f"{batch_id}-retry")
+            waiting.fold_if_due()
         self.discard(owner, batch_id)
 
     def _count_replay(

@@ -930,6 +930,23 @@ def reconciliation_latest(fx: Fixtures) -> DataFrame:
     return _retried(fx, 2).states().select("event_id", "dim_name", "retry_count", "status")
 
 
+@_query
+def reconciliation_compacted(fx: Fixtures) -> DataFrame:
+    """The same states: folded after the first run, the second run's batch written twice and folded between."""
+    waiting = _register_orders(fx, _store(fx, "recon"))
+    waiting.fold()
+    customers = materialize(_customers(fx).select("customer_id"), "customer-keys")
+    for seq in (2, 3):
+        # Kept, since the batch is written again after its events have moved.
+        moved = materialize(reconcile.retry(waiting.states(), "customers", customers, seq), "moved")
+        waiting.append_log(moved, f"r-{seq}")
+        if seq == 2:
+            waiting.fold()
+            waiting.append_log(moved, f"r-{seq}")
+            waiting.fold()
+    return waiting.states().select("event_id", "dim_name", "retry_count", "status")
+
+
 @_query
 def retry_dead_letter(fx: Fixtures) -> DataFrame:
     """Events given up after the fifth try."""

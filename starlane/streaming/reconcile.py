@@ -8,15 +8,16 @@ them, so one run moves an event at most one step however often it is repeated.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starlane.contracts import CONTRACTS, MAX_RETRIES, TableContract
 from starlane.operators.lookup import LIMITS, Limits, lookup_join
-from starlane.session import read_if_exists
+from starlane.session import read_if_exists, remove_folder, run_number
 from starlane.sinks.store import Store
 
 OPEN_STATES = ["PENDING", "RETRYING"]
@@ -36,6 +37,19 @@ LOG = T.StructType(
     ]
 )
 
+_STATE = ["seq", "step", "fk_column", "fk_value", "dim_name", "retry_count", "status"]
+
+FOLDS = T.StructType(
+    [
+        T.StructField("number", T.LongType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
+    ]
+)
+
+# The log is folded when its later batches hold a row for so many rows of the folded states.
+FOLD_RATIO = 4
+
 
 def parked_schema(contract: TableContract) -> T.StructType:
     return T.StructType(
@@ -85,10 +99,7 @@ def latest(log: DataFrame) -> DataFrame:
     A maximum instead of a window: it combines before the shuffle, so a long
     history of one event stays cheap.
     """
-    state = F.struct(
-        "seq", "step", "fk_column", "fk_value", "dim_name", "retry_count", "status"
-    )
-    return log.groupBy("event_id").agg(F.max(state).alias("s")).select("event_id", "s.*")
+    return log.groupBy("event_id").agg(F.max(F.struct(*_STATE)).alias("s")).select("event_id", "s.*")
 
 
 def retryable(states: DataFrame, dim_name: str | None = None) -> DataFrame:
@@ -171,10 +182,92 @@ class Reconciliation:
             self.store.spark, f"{self.store.root}/{self._log_name}", LOG
         )
 
+    @property
+    def _folds(self) -> str:
+        return f"{self.store.root}/{self._log_name}_folds"
+
+    def _fold(self) -> Row | None:
+        """The last entry of the list of folds, None if there is none or it was withdrawn."""
+        last = read_if_exists(self.store.spark, f"{self._folds}/list", FOLDS).agg(
+            F.max(F.struct(*FOLDS.fieldNames())).alias("f")
+        )
+        fold = last.first()["f"]
+        return fold if fold and fold["path"] else None
+
+    def _point_to(self, path: str | None, n_rows: int) -> None:
+        """Readers take the states at ``path`` from now on, or the whole log."""
+        listed = read_if_exists(self.store.spark, f"{self._folds}/list", FOLDS)
+        number = max(run_number(), (listed.agg(F.max("number")).first()[0] or 0) + 1)
+        entry = self.store.spark.createDataFrame([(number, path, n_rows)], FOLDS)
+        entry.coalesce(1).write.mode("append").parquet(f"{self._folds}/list")
+
+    def _folded(self, fold: Row) -> DataFrame:
+        return self.store.spark.read.schema("batch_id string").parquet(f"{fold['path']}/batches")
+
+    def _sides(self, fold: Row | None) -> tuple[DataFrame | None, DataFrame]:
+        """The folded states and the log's other batches."""
+        log = self.log()
+        if fold is None:
+            return None, log
+        # Names of batches, as many as the log has folders.
+        names = [r["batch_id"] for r in self._folded(fold).collect()]
+        states = self.store.spark.read.schema(
+            T.StructType([f for f in LOG.fields if f.name in ["event_id", *_STATE]])
+        ).parquet(f"{fold['path']}/states")
+        return states, log.where(~F.col("batch_id").isin(names)) if names else log
+
     def states(self) -> DataFrame:
-        return latest(self.log())
+        """State of each event: the folded states, and of the log only the batches that came later."""
+        folded, later = self._sides(self._fold())
+        if folded is None:
+            return latest(later)
+        return latest(folded.unionByName(later.select(folded.columns)))
+
+    def fold(self) -> None:
+        """Fold the whole log into one table of states.
+
+        States and the names of their batches are written beside; one row in the list of
+        folds makes them what readers take.  A fold that dies before leaves nothing to see.
+        A table has one writer at a time.
+        """
+        earlier = self._fold()
+        folded, later = self._sides(earlier)
+        path = f"{self._folds}/{uuid.uuid4().hex}"
+        columns = ["event_id", *_STATE]
+        rows = later.select(columns)
+        if folded is not None:
+            rows = rows.unionByName(folded)
+        counted = Observation()
+        states = latest(rows).observe(counted, F.count(F.lit(1)).alias("rows"))
+        states.write.parquet(f"{path}/states")
+        names = later.select("batch_id").distinct()
+        if folded is not None:
+            names = names.unionByName(self._folded(earlier))
+        names.coalesce(1).write.parquet(f"{path}/batches")
+        self._point_to(path, counted.get["rows"])
+
+    def fold_if_due(self) -> bool:
+        """Fold once the later batches hold a fair share of the folded rows, so that folding
+        costs a constant number of writes for each logged row."""
+        fold = self._fold()
+        later = self._sides(fold)[1].count()
+        due = later > 0 and (fold is None or later * FOLD_RATIO >= fold["n_rows"])
+        if due:
+            self.fold()
+        return due
+
+    def expire_folds(self) -> int:
+        """Remove the states that earlier folds left; readers that still use them fail."""
+        spark, current = self.store.spark, self._fold()
+        paths = read_if_exists(spark, f"{self._folds}/list", FOLDS).where("path is not null").select("path").distinct()
+        old = [r["path"] for r in paths.collect() if current is None or r["path"] != current["path"]]
+        return sum(remove_folder(spark, path) for path in old)
 
     def append_log(self, rows: DataFrame, batch_id: str) -> None:
+        """Write a batch of the log; a fold that holds an earlier run of it is withdrawn before."""
+        fold = self._fold()
+        if fold is not None and not self._folded(fold).where(F.col("batch_id") == batch_id).isEmpty():
+            self._point_to(None, 0)
         stamped = rows.withColumns(
             {
                 "updated_at": F.current_timestamp().cast("timestamp_ntz"),
