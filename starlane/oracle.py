@@ -797,6 +797,7 @@ _BODIES: dict[str, str] = {
     """,
     "late_dimension_replay": "SELECT * FROM loaded_orders",
     "stream_ingest_orders": "SELECT * FROM loaded_orders",
+    "stream_settled_files": "SELECT * FROM loaded_orders",
     "stream_equals_batch": """
         SELECT count(*) AS streamed_rows, CAST(0 AS BIGINT) AS differing_rows
         FROM loaded_orders

@@ -7,6 +7,7 @@ shared folder, all written by Spark from the given tables.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -1083,6 +1084,25 @@ def stream_ingest_orders(fx: Fixtures) -> DataFrame:
     return loader.store.fact("orders").drop("ingested_at", "batch_id")
 
 
+@_query
+def stream_settled_files(fx: Fixtures) -> DataFrame:
+    """The same drops by a running stream that takes a file once it has been the same for a second."""
+    loader = Loader(_store(fx, "stream"))
+    store, drops = loader.store, new_folder(fx.spark, "drops")
+    _load_order_dims(fx, loader, _customers(fx))
+    _land_orders(fx, drops)
+    landed = ledger.hash_files(fx.spark, drops).where("file_size > 0 AND path LIKE '%.json/part-%'")
+    expected, end = landed.select("file_hash").distinct().count(), time.time() + 600
+    stream = ingest(
+        loader, "orders", drops, f"{store.root}/checkpoint", once=False, interval="1 second", settle=1.0
+    )
+    while store.processed_files().count() < expected:
+        if stream.awaitTermination(1) or time.time() > end:
+            raise RuntimeError("the stream ended before all files were loaded")
+    stream.stop()
+    return store.fact("orders").drop("ingested_at", "batch_id")
+
+
 @_query
 def stream_equals_batch(fx: Fixtures) -> DataFrame:
     """Row digests of the streamed and of the batch-loaded table, compared."""

@@ -38,7 +38,18 @@ def split_files(found: DataFrame, span: int, n_tasks: int) -> DataFrame:
     return sized.select("path", "length", starts.alias("start")).repartition(n_tasks, "path", "start")
 
 
+def _system(path: str) -> tuple[pa.fs.FileSystem, str]:
+    return pa.fs.FileSystem.from_uri(quote(unquote(path), safe="/:"))
+
+
 def open_file(path: str) -> pa.NativeFile:
     """The file at a path as Spark writes it."""
-    system, name = pa.fs.FileSystem.from_uri(quote(unquote(path), safe="/:"))
+    system, name = _system(path)
     return system.open_input_file(name)
+
+
+def file_state(path: str) -> tuple[int, int] | None:
+    """Size and time of the last change of a file, None if there is no such file."""
+    system, name = _system(path)
+    info = system.get_file_info(name)
+    return (info.size, info.mtime_ns or 0) if info.type == pa.fs.FileType.File else None

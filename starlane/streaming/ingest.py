@@ -13,14 +13,16 @@ from __future__ import annotations
 import re
 import time
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from starlane.contracts import CONTRACTS
 from starlane.functions.rows import conform
@@ -30,6 +32,7 @@ from starlane.plans.load import Loader
 from starlane.session import empty_frame, run_number, write_and_read
 from starlane.sources import files
 from starlane.sources.ledger import hash_files, ledger_rows, new_files
+from starlane.sources.ranges import file_state
 
 _FILE = T.StructType(
     [
@@ -53,6 +56,38 @@ def new_paths(spark: SparkSession, path: str, max_files: int) -> DataFrame:
     )
 
 
+def settled_paths(spark: SparkSession, path: str, max_files: int, settle: float) -> DataFrame:
+    """A stream of the paths of new files, each released once it has stayed the same for ``settle`` seconds.
+
+    A file waits as keyed state with a timer.  When the timer ends, size and time of change are
+    looked up by an executor: unchanged files are released, others wait anew, removed ones are
+    forgotten.  State outlives restarts in the checkpoint.
+    """
+    milliseconds = max(1, round(settle * 1000))
+
+    def release(
+        key: tuple[str], rows: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        now = file_state(key[0])
+        if now is None:
+            if state.exists:
+                state.remove()
+        elif state.hasTimedOut and state.get == now:
+            state.remove()
+            yield pd.DataFrame({"path": [key[0]]})
+        else:
+            state.update(now)
+            state.setTimeoutDuration(milliseconds)
+
+    return (
+        new_paths(spark, path, max_files)
+        .groupBy("path")
+        .applyInPandasWithState(
+            release, "path string", "length long, changed long", "append", "ProcessingTimeTimeout"
+        )
+    )
+
+
 def dataset_of(path: str) -> str:
     """The dropped file, or the folder ``t.json`` of part files that a file belongs to."""
     found = re.match(r"(?i)(.*?/[^/]+\.(?:csv|json))(?:/|$)", path)
@@ -123,12 +158,17 @@ def ingest(
     max_files: int = 1000,
     once: bool = True,
     interval: str = "1 minute",
+    settle: float | None = None,
 ) -> StreamingQuery:
     """Start the stream of one fact table.
 
     ``once`` stops when all present files are loaded.  The paths of one
-    micro-batch, at most ``max_files``, pass through the driver; rows do not.
+    micro-batch, at most ``max_files``, pass through the driver; rows do not.  With
+    ``settle``, a file is loaded when it has not changed for so many seconds; that takes a
+    stream that keeps running, and a micro-batch may hold files found by several.
     """
+    if settle is not None and once:
+        raise ValueError("a stream that stops at once cannot wait for files to settle")
     store = loader.store
     stream_id = f"stream-{table}"
 
@@ -160,6 +200,8 @@ def ingest(
             loader.discard(table, f"{batch_id}-files")
 
     stream = new_paths(store.spark, path, max_files)
+    if settle is not None:
+        stream = settled_paths(store.spark, path, max_files, settle)
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
     trigger = {"availableNow": True} if once else {"processingTime": interval}
     return writer.trigger(**trigger).start()
