@@ -1,8 +1,8 @@
 """PII: candidate spans scored by boosted trees, in DataFrame functions and JVM trees.
 
 Generators with high recall propose overlapping spans.  Gradient-boosted trees
-score them by format and context; a threshold for each generator, calibrated on
-candidates that the trees did not see, selects redactions.  Spans of the four
+score them by format and context; a threshold, calibrated on candidates that the
+trees did not see, selects redactions.  Both come from all candidates of the base kinds.  Spans of the four
 base kinds that pass their checks always stay.
 """
 
@@ -25,12 +25,17 @@ BASE = ("email", "ip", "card", "phone")
 EXTRA = ("address", "number")
 KINDS = BASE + EXTRA
 
+# Scores are told apart in so many steps where the threshold is set.
+CELLS = 10_000
+
 
 @dataclass(frozen=True)
 class Boosting:
-    """The sample (``rows`` candidates for each kind and outcome), the trees, the wanted precision."""
+    """What each kind and outcome weighs at most (as ``rows`` candidates; all of them count), the
+    trees, the wanted precision."""
 
     rows: int = 1000
+    bins: int = 256
     trees: int = 10
     depth: int = 3
     precision: float = 0.95
@@ -130,44 +135,52 @@ def proposals(docs: DataFrame, kept: list[str]) -> DataFrame:
     return materialize(rows.drop("before", "after"), "candidates")
 
 
-def train(found: DataFrame, how: Boosting) -> tuple[GBTClassificationModel, float] | None:
-    """Trees and the threshold for spans that only the looser generators propose.
+def examples(found: DataFrame) -> DataFrame:
+    """kind, label, half, features and n: how many matches of the base patterns are alike in these.
 
-    Examples are the base patterns' matches, right if they pass their checks.
-    Half of the sample is kept from the trees to set the threshold: the lowest
-    score from which on the wanted share is right.  None without both outcomes.
+    All of them are counted; they are right (label 1) if they pass their checks.  The
+    halves are those that fit the trees (0) and that set the threshold (1).
     """
+    half = F.pmod(F.xxhash64("surface", "line", "start"), F.lit(2)).alias("half")
     names = [f"f_{k}" for k in features()]
-    examples = found.where(F.col("kind").isin(*BASE)).select(
-        F.col("kind"), F.col("valid").cast("double").alias("label"), *names,
-        F.xxhash64("surface", "line", "start").alias("order"),
-    )
-    # The first of each kind and outcome by hash; bounded, and the same in every run.
-    top = [
-        examples.where((F.col("kind") == k) & (F.col("label") == y)).orderBy("order").limit(how.rows)
-        for k in BASE for y in (0.0, 1.0)
-    ]
-    sample = top[0]
-    for more in top[1:]:
-        sample = sample.unionByName(more)
-    sample = materialize(sample.coalesce(1).sortWithinPartitions("order"), "pii-sample")
-    sample = VectorAssembler(inputCols=names, outputCol="features").transform(sample)
-    fit, rest = sample.where("order % 2 = 0"), sample.where("order % 2 != 0")
-    if fit.agg(F.countDistinct("label")).first()[0] < 2:
+    rows = found.where(F.col("kind").isin(*BASE)).select("kind", F.col("valid").cast("double").alias("label"), half, *names)
+    return materialize(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")), "pii-examples")
+
+
+def train(found: DataFrame, how: Boosting) -> tuple[GBTClassificationModel, int] | None:
+    """Trees and the threshold, in cells of the score, for spans that only the looser generators propose.
+
+    Examples are all matches of the base patterns, alike ones as one weighted row.
+    Half of them is kept from the trees to set the threshold: the lowest cell
+    from which on the wanted share is right.  None without both outcomes.
+    """
+    counted = examples(found)
+    # One row for each half, kind and outcome.
+    totals = counted.groupBy("kind", "label").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("half") == 0, F.col("n"))).alias("fit"))
+    if len({r.label for r in totals.collect() if r.fit}) < 2:
         return None
-    model = GBTClassifier(maxIter=how.trees, maxDepth=how.depth, seed=how.seed).fit(fit)
-    score = vector_to_array("probability")[1].alias("score")
-    scored = model.transform(rest).select(score, "label").collect()  # at most 8 * rows
-    scored = sorted(((r.score, r.label) for r in scored), reverse=True)
-    threshold, right = 2.0, 0.0
-    for count, (value, label) in enumerate(scored, 1):
-        right += label
-        last = count == len(scored) or scored[count][0] != value
-        if last and right >= how.precision * count:
-            threshold = value
+    share = F.least(F.col("total"), F.lit(how.rows)) / F.col("total")
+    weighted = counted.join(F.broadcast(totals), ["kind", "label"]).withColumn("weight", F.col("n") * share)
+    names = [f"f_{k}" for k in features()]
+    weighted = VectorAssembler(inputCols=names, outputCol="features").transform(weighted)
+    boosted = GBTClassifier(maxIter=how.trees, maxDepth=how.depth, seed=how.seed, weightCol="weight", maxBins=how.bins)
+    model = boosted.fit(weighted.where("half = 0"))
+    rest = model.transform(weighted.where("half = 1")).groupBy(score_cell().alias("cell"))
+    right = F.sum(F.col("weight") * F.col("label")).alias("right")
+    threshold, good, every = 2 * CELLS, 0.0, 0.0
+    # At most a row for each cell.
+    for row in rest.agg(right, F.sum("weight").alias("every")).orderBy(F.desc("cell")).collect():
+        good, every = good + row.right, every + row.every
+        if good >= how.precision * every:
+            threshold = row.cell
     return model, threshold
 
 
+def score_cell() -> Column:
+    """The cell of a model's score, of ``CELLS`` between 0 and 1."""
+    return F.floor(vector_to_array("probability")[1] * CELLS)
+
+
 def personal_data(found: DataFrame, how: Boosting = Boosting()) -> DataFrame:
     """The selected spans among ``proposals``: line, kind, start, stop, base, score.
 
@@ -187,10 +200,10 @@ def personal_data(found: DataFrame, how: Boosting = Boosting()) -> DataFrame:
         found.where(F.col("kind").isin(*EXTRA))
     )
     score = vector_to_array("probability")[1]
-    loose = model.transform(loose).select(
+    loose = model.transform(loose).where(score_cell() >= threshold).select(
         "line", "kind", "start", "stop", F.lit(False).alias("base"), score.alias("score")
     )
-    every = base.unionByName(loose.where(F.col("score") >= threshold))
+    every = base.unionByName(loose)
     order = Window.partitionBy("line").orderBy("start", F.col("base").desc(), "stop", "kind")
     back = order.rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy("line").orderBy(

@@ -4,6 +4,9 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
+from starlane.llm import personal_data
 from starlane.llm.personal_data import by_document, redacted
 from tests.llm.helpers import ODD_TEXTS, documents
 
@@ -84,3 +87,20 @@ def test_trees_add_what_looks_like_the_base_kinds(spark):
 def test_empty_table(spark):
     assert by_document(documents(spark, [])).count() == 0
     assert redacted(documents(spark, [])).count() == 0
+
+
+def test_trees_and_threshold_see_every_candidate(spark, monkeypatch):
+    seen = []
+    plain_fit = personal_data.GBTClassifier.fit
+
+    def fit(self, rows, params=None):
+        seen.append(rows.agg(F.sum("n")).first()[0] if "n" in rows.columns else rows.count())
+        return plain_fit(self, rows, params)
+
+    monkeypatch.setattr(personal_data.GBTClassifier, "fit", fit)
+    texts = [f"from user{i}@mail.example to {i % 400}.{i % 300}.7.{i % 256}" for i in range(3000)]
+    found = personal_data.proposals(documents(spark, texts), ["doc_id"])
+    assert personal_data.train(found, personal_data.Boosting(trees=1)) is not None
+    half = F.pmod(F.xxhash64("surface", "line", "start"), F.lit(2)) == 0
+    wanted = found.where(F.col("kind").isin(*personal_data.BASE) & half).count()
+    assert wanted > 2500 and seen == [wanted]
