@@ -5,34 +5,42 @@ cells: the embedded bytes and how much of the surroundings stands earlier in
 the text.  Their outputs are max-pooled over overlapping chunks that cover the
 whole text, a small dense layer turns each chunk into a logit, and the mean of
 the chunks' logits gives the document's probability.
+
+The network learns in rounds from all chunks of all labelled texts: every task improves
+the current weights on the texts of its own part, and their mean starts the next round.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starlane.llm.texts import as_bytes, crc32_of_key, labelled_sample, map_steps, table
+from starlane.llm.texts import as_bytes, crc32_of_key, map_steps, steps, table
+from starlane.session import materialize
 
 CELL, BLOCK, CHUNK, STRIDE = 4, 16, 8, 7  # bytes; cells; blocks; blocks
 
 
 @dataclass(frozen=True)
 class Training:
-    """Size of the sample and of the network; ``rows`` texts of ``most_bytes`` at most.
+    """How the network is trained, and its size.
 
-    The sample is read ``epochs`` times, or as often as ``steps`` batches need.
+    A task has about ``part_bytes`` of text; ``shuffled`` chunks at a time are dealt into
+    batches.  A task of few chunks reads them again until all rounds have ``steps``
+    batches.  A text weighs as ``chunks_a_text`` of its chunks at most; all of them count.
     """
 
-    rows: int = 4000
-    most_bytes: int = 32768
+    rounds: int = 3
+    part_bytes: int = 16 << 20
+    shuffled: int = 16384
     chunks_a_text: int = 6
-    epochs: int = 10
     steps: int = 400
     rate: float = 4e-3
     embedding: int = 6
@@ -94,6 +102,15 @@ class Network:
         }
         self.weights = {k: v.astype(np.float32) for k, v in self.weights.items()}
 
+    def vector(self) -> np.ndarray:
+        return np.concatenate([v.ravel() for v in self.weights.values()])
+
+    def load(self, vector: np.ndarray) -> Network:
+        cuts = np.cumsum([v.size for v in self.weights.values()])[:-1]
+        parts = zip(self.weights.items(), np.split(vector.astype(np.float32), cuts))
+        self.weights = {k: part.reshape(v.shape) for (k, v), part in parts}
+        return self
+
     def cells(self, data: np.ndarray, near: np.ndarray) -> np.ndarray:
         out = np.empty((len(near), self.width), dtype=np.float32)
         out[:, :-1] = self.weights["bytes"][data].reshape(len(near), -1)
@@ -130,8 +147,10 @@ class Network:
         mean = np.bincount(owner, self.logits(pooled), len(blocks)) / counts
         return 1 / (1 + np.exp(-mean))
 
-    def gradients(self, data: np.ndarray, near: np.ndarray, labels: np.ndarray) -> dict:
-        """Gradients of the log loss over a batch of chunks of equal length."""
+    def gradients(
+        self, data: np.ndarray, near: np.ndarray, labels: np.ndarray, weight: np.ndarray | float = 1.0
+    ) -> dict:
+        """Gradients of the weighted log loss over a batch of chunks of equal length."""
         w, size = self.weights, len(labels)
         count = near.shape[1]
         cells = self.cells(data.ravel(), near.ravel())
@@ -142,7 +161,7 @@ class Network:
         pooled = np.take_along_axis(out, at[:, None], axis=1)[:, 0]
         hidden = np.tanh(pooled @ w["dense"] + w["dense_shift"])
         p = 1 / (1 + np.exp(-(hidden @ w["out"] + w["bias"])))
-        d_out = ((p - labels) / size).astype(np.float32)
+        d_out = ((p - labels) * weight / size).astype(np.float32)
         d_hidden = d_out[:, None] * w["out"] * (1 - hidden**2)
         d_pooled = (d_hidden @ w["dense"].T) * (pooled > 0)
         place = at + np.arange(size)[:, None] * count
@@ -162,52 +181,108 @@ class Network:
         }
 
 
-def _chunks(body: bytes, most: int, rng: np.random.Generator) -> list[tuple]:
-    """Up to ``most`` chunks from anywhere in the text, with one cell more for the last filter."""
+def _chunks(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes and the recurrence of all chunks of a text, with one cell more for the last filter."""
     data, near = cells_of(body)
     length = BLOCK * CHUNK + 1
-    blocks = len(near) // BLOCK
-    starts = np.arange(0, max(blocks - 1, 1), STRIDE) * BLOCK
-    if len(starts) > most:
-        starts = rng.choice(starts, most, replace=False)
-    out = []
-    for start in starts:
-        a, b = np.zeros(length * CELL, dtype=np.uint8), np.zeros(length, dtype=np.float32)
-        part = near[start : start + length]
-        b[: len(part)] = part
-        a[: len(part) * CELL] = data[start * CELL : (start + len(part)) * CELL]
-        out.append((a, b))
-    return out
-
-
-def train(sample: list[tuple[bytes, int]], sizes: Training = Training()) -> Network | float:
-    """A network fitted to (body, label) pairs; the mean label where one is missing."""
-    kinds = {label for _, label in sample}
-    if len(kinds) < 2:
-        return float(kinds.pop()) if kinds else 0.5
-    rng = np.random.default_rng(sizes.seed)
-    rows = [(a, b, label) for body, label in sample
-            for a, b in _chunks(body, sizes.chunks_a_text, rng)]
-    data, near = np.stack([r[0] for r in rows]), np.stack([r[1] for r in rows])
-    labels = np.array([r[2] for r in rows], dtype=np.float32)
-    net = Network(sizes, float(np.clip(labels.mean(), 0.01, 0.99)))
-    first = {k: np.zeros_like(v) for k, v in net.weights.items()}
-    second = {k: np.zeros_like(v) for k, v in net.weights.items()}
-    step = 0
-    epochs = max(sizes.epochs, -(-sizes.steps * 128 // len(rows)))
-    for epoch in range(epochs):
-        order = rng.permutation(len(rows))
-        rate = sizes.rate * (1 - epoch / epochs)
+    starts = np.arange(0, max(len(near) // BLOCK - 1, 1), STRIDE) * BLOCK
+    near = np.append(near, np.zeros(length, dtype=np.float32))
+    data = np.append(data, np.zeros(length * CELL, dtype=np.uint8))
+    place = starts[:, None] + np.arange(length)
+    return data.reshape(-1, CELL)[place].reshape(len(starts), -1), near[place]
+
+
+class Trainer:
+    """Steps of Adam on batches of 128 chunks."""
+
+    def __init__(self, net: Network, rate: float):
+        self.net, self.rate, self.step = net, rate, 0
+        self.first = {k: np.zeros_like(v) for k, v in net.weights.items()}
+        self.second = {k: np.zeros_like(v) for k, v in net.weights.items()}
+
+    def learn(self, chunks: list[np.ndarray], rng: np.random.Generator) -> None:
+        """One pass over ``chunks`` (bytes, recurrence, label, weight) in random order."""
+        order = rng.permutation(len(chunks[0]))
         for low in range(0, len(order), 128):
-            pick, step = order[low : low + 128], step + 1
-            for k, g in net.gradients(data[pick], near[pick], labels[pick]).items():
-                first[k] += 0.1 * (g - first[k])
-                second[k] += 0.001 * (g * g - second[k])
-                size = np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8
-                net.weights[k] -= rate * first[k] / (1 - 0.9**step) / size
+            pick, self.step = order[low : low + 128], self.step + 1
+            for k, g in self.net.gradients(*(x[pick] for x in chunks)).items():
+                self.first[k] += 0.1 * (g - self.first[k])
+                self.second[k] += 0.001 * (g * g - self.second[k])
+                size = np.sqrt(self.second[k] / (1 - 0.999**self.step)) + 1e-8
+                self.net.weights[k] -= self.rate * self.first[k] / (1 - 0.9**self.step) / size
+
+
+def _buffers(batches: Iterable[pa.RecordBatch], sizes: Training) -> Iterator[list[np.ndarray]]:
+    """All chunks of the texts (body, label), about ``shuffled`` at a time."""
+    held, count = [], 0
+    for step in steps(batches):
+        for body, label in zip(step.column("body").to_pylist(), step.column("label").to_pylist()):
+            data, near = _chunks(body)
+            n = len(near)
+            weight = min(1.0, sizes.chunks_a_text / n)
+            held.append((data, near, np.full(n, label, np.float32), np.full(n, weight, np.float32)))
+            count += n
+            if count >= sizes.shuffled:
+                yield [np.concatenate(x) for x in zip(*held)]
+                held, count = [], 0
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)]
+
+
+def train(labelled: DataFrame, sizes: Training = Training()) -> Network | float:
+    """A network fitted to all rows of ``labelled`` (doc_id, body, label); the label where all have
+    the same, 0.5 without any."""
+    found = labelled.agg(
+        F.count("*").alias("n"), F.sum("label").alias("ones"), F.sum(F.octet_length("body")).alias("size")
+    ).first()
+    if not found.n or found.ones in (0, found.n):
+        return float(found.ones / found.n) if found.n else 0.5
+    parts = -(-found.size // sizes.part_bytes) or 1
+    order = F.xxhash64("doc_id", "body")
+    dealt = labelled.select("body", "label", order.alias("order")).repartition(parts, "order")
+    dealt = materialize(dealt.sortWithinPartitions("order"), "labelled").select("body", "label").coalesce(parts)
+    net = Network(sizes, float(np.clip(found.ones / found.n, 0.01, 0.99)))
+    for turn in range(sizes.rounds):
+        start, rate = net.vector(), sizes.rate * (1 - turn / sizes.rounds)
+
+        def run(batches: Iterable[pa.RecordBatch], start=start, rate=rate, turn=turn) -> Iterator[pa.RecordBatch]:
+            own = Network(sizes).load(start)
+            trainer, seen, chunks = Trainer(own, rate), 0, None
+            rng = np.random.default_rng([sizes.seed, turn, TaskContext.get().partitionId()])
+            for chunks in _buffers(batches, sizes):
+                trainer.learn(chunks, rng)
+                seen += len(chunks[0])
+            while chunks is not None and trainer.step * sizes.rounds < sizes.steps:
+                trainer.learn(chunks, rng)
+            if seen:
+                vector = own.vector().astype(np.float64) * seen
+                yield pa.RecordBatch.from_pydict({
+                    "cell": pa.array(np.arange(len(vector) + 1), pa.int64()), "value": np.append(vector, seen),
+                })
+
+        # As decimals, whose sum is the same in any order; as many rows as the network has weights.
+        value = F.sum(F.col("value").cast("decimal(38,12)")).cast("double").alias("value")
+        sums = dealt.mapInArrow(run, "cell long, value double").groupBy("cell").agg(value).toArrow()
+        vector = np.zeros(len(start) + 1)
+        vector[sums.column("cell").to_numpy()] = sums.column("value").to_numpy()
+        net.load(vector[:-1] / vector[-1])
     return net
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, wanted: F.Column) -> DataFrame:
+    """doc_id, body and label of every row of ``docs`` whose key has a label and is ``wanted``.
+
+    A key labelled twice takes its larger label; null labels and keys are ignored.
+    """
+    picked = (
+        labels.select("doc_id", F.col("quality").cast("int").alias("label"))
+        .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & wanted)
+        .groupBy("doc_id")
+        .agg(F.max("label").alias("label"))
+    )
+    return as_bytes(docs, "doc_id").join(picked, "doc_id")
+
+
 def quality_classifier(
     docs: DataFrame, labels: DataFrame, sizes: Training = Training(), learn: F.Column | None = None,
     carry: bool = False,
@@ -221,9 +296,7 @@ def quality_classifier(
     the whole row, so that filtering needs no join.
     """
     wanted = F.lit(True) if learn is None else learn
-    sample = labelled_sample(docs, labels, "quality", wanted, sizes.rows, sizes.most_bytes)
-    rows = sorted((r.doc_id, bytes(r.body), r.label) for r in sample.collect())
-    net = train([(body, label) for _, body, label in rows], sizes)
+    net = train(labelled_texts(docs, labels, wanted), sizes)
 
     def work(step: pa.RecordBatch) -> dict[str, object]:
         bodies = step.column("body").to_pylist()

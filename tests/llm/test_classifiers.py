@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starlane.llm import quality_classifier as quality
 from starlane.llm import toxicity as toxic
@@ -39,6 +40,27 @@ def test_quality_learns_and_scores_whole_texts(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
 
 
+def test_quality_learns_from_texts_of_any_length(spark):
+    long = [" ".join(made(kind, 90, seed)) for seed in (3, 4, 5, 6) for kind in ("clean", "symbols")]
+    assert min(map(len, long)) > 32768
+    texts = long + made("clean", 40, 7) + made("symbols", 40, 8)
+    got = quality.quality_classifier(documents(spark, texts), labels(spark, "quality", [1, 0] * 4)).collect()
+    truth = [1, 0] * 4 + [1] * 40 + [0] * 40
+    assert np.mean([r.predicted == truth[r.doc_id] for r in got]) > 0.9
+
+
+def test_quality_is_learned_from_every_text_in_any_parts(spark):
+    texts = made("clean", 80, 1) + made("symbols", 80, 2)
+    known = labels(spark, "quality", [1] * 80 + [0] * 80)
+    sizes = quality.Training(part_bytes=20000, shuffled=64, steps=300)
+    got = quality.quality_classifier(documents(spark, texts), known, sizes).collect()
+    assert np.mean([r.predicted == (r.doc_id < 80) for r in got]) > 0.95
+    every = quality.labelled_texts(documents(spark, texts), known, F.lit(True))
+    chunks = sum(len(quality._chunks(t.encode())[0]) for t in texts)
+    rows = every.select("body", "label").toArrow().to_batches()
+    assert sum(len(x[0]) for x in quality._buffers(rows, sizes)) == chunks
+
+
 def test_gradients_of_the_network():
     sizes = quality.Training(embedding=3, filters=4, hidden=3)
     net = quality.Network(sizes)
