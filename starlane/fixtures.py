@@ -8,6 +8,7 @@ per-user time line is cut into ranges of user and time.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,6 +37,13 @@ class Fixtures:
         self.spark = spark
         self.folder = folder
         self.limits = limits
+        self._written: dict[str, DataFrame] = {}
+
+    def written(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """What ``build`` gives, computed at the first use and kept as a table for all later ones."""
+        if label not in self._written:
+            self._written[label] = materialize(build(), label)
+        return self._written[label]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -140,8 +148,10 @@ class Fixtures:
             F.col("segment_name").alias("c_mktsegment"), "segment_id"
         )
         letter = F.substring(F.lit("ABCDEFGHIJ"), (key % 10 + 1).cast("int"), F.lit(1))
+        # A small file is one split, but its rows' checks are many seconds of work.
+        spread = self.table("customer").repartition("c_custkey")
         return lookup_join(
-            self.table("customer"), segments, ["c_mktsegment"], "inner", self.limits
+            spread, segments, ["c_mktsegment"], "inner", self.limits
         ).select(
             _text("c_custkey").alias("customer_id"),
             F.concat(F.lit("Cust"), letter, F.lit(" El-"), "c_mktsegment").alias("full_name"),

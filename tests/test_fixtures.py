@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starlane.fixtures import Fixtures, timeline
+from starlane.queries import _customers
 from starlane.operators.lookup import Limits
 from tests.conftest import rows_of
 
@@ -83,3 +84,15 @@ def test_tight_bounds_change_nothing(spark, folder, name):
     usual = getattr(Fixtures(spark, folder), name)
     tight = getattr(Fixtures(spark, folder, TIGHT), name)
     assert rows_of(tight, *usual.columns) == rows_of(usual)
+
+
+def test_customers_are_checked_once_and_by_many_tasks(spark, folder):
+    fx = Fixtures(spark, folder)
+    usual = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert fx.table("customer").rdd.getNumPartitions() < fx.customers_raw.rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", usual)
+    assert _customers(fx) is _customers(fx)
+    assert "flag" not in _customers(fx)._jdf.queryExecution().optimizedPlan().toString().lower()
