@@ -59,8 +59,10 @@ def header_names(
         records = F.from_json("value", "array<map<string,string>>")
         names = F.array_distinct(F.flatten(F.transform(records, F.map_keys)))
         return whole.select(F.col("_metadata.file_path").alias("path"), _or_empty(names).alias("names"))
-    names = F.explode(F.map_keys(F.from_json("record", "map<string,string>")))
-    seen = record_texts(found, span=span).select("path", names.alias("name")).groupBy("path")
+    names = F.map_keys(F.from_json("record", "map<string,string>")).alias("names")
+    # Records of a file mostly have the same names: those lists are told apart before any is opened up.
+    alike = record_texts(found, span=span).select("path", names).distinct()
+    seen = alike.select("path", F.explode("names").alias("name")).groupBy("path")
     per_file = seen.agg(F.collect_set("name").alias("names"))
     return found.select("path").join(per_file, "path", "left").select("path", _or_empty(F.col("names")).alias("names"))
 

@@ -108,3 +108,11 @@ def test_header_cells_with_commas(spark, tmp_path):
     names = files.header_names(spark, [path], "csv").first()["names"]
     assert names == ["a,b", "c", 'd "e"', ""]
     assert files.read_csv(spark, path).columns[:2] == names[:2]
+
+
+def test_lists_of_names_are_told_apart_before_they_are_opened(spark, tmp_path):
+    path = _write(tmp_path / "t.json", json.dumps([{"a": i, "b": "x"} for i in range(50)] + [{"c": None}]))
+    names = files.header_names(spark, [path], "json", span=64)
+    assert [sorted(r.names) for r in names.collect()] == [["a", "b", "c"]]
+    plan = names._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [" in plan.split("Generate explode(names", 1)[1]
