@@ -209,3 +209,14 @@ def test_conform_keeps_text(spark, frame):
     df = conform(frame("team_id string", ("7",)), CONTRACTS["teams"], as_text=True)
     assert dict(df.dtypes) == {"team_id": "string", "team_name": "string"}
     assert df.filter(F.col("team_name").isNull()).count() == 1
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from starlane.session import materialize
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = {disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())}
+    made = materialize(spark.range(1000).repartition(3, "id"), "released")
+    files = disk.getAllFiles()
+    left = {files.apply(i).getName() for i in range(files.size())} - before
+    assert made.count() == 1000 and not [name for name in left if name.startswith("shuffle_")]
