@@ -80,3 +80,16 @@ def test_unique_rows(frame):
     df = frame("k long, a string, b long", (1, "b", 1), (1, "a", 2), (1, "a", 1), (2, None, 3), (2, "z", 1))
     assert rows_of(unique_rows(df, ["k"])) == [(1, "a", 1), (2, None, 3)]
     assert rows_of(unique_rows(df.select("k"), ["k"])) == [(1,), (2,)]
+
+
+def test_unique_rows_deals_rows_before_it_sorts(frame):
+    """One task reads a file of few row groups; the sorting behind it must not be that task's work."""
+    rows = [(k % 7 or None, "same" if k % 3 else None, k % 5) for k in range(60)]
+    df = frame("k long, a string, b long", *rows).coalesce(1)
+    plan = unique_rows(df, ["k"])
+    steps = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+    steps = [x for line in steps for x in ("SortAggregate", "Exchange") if x in line]
+    # The lowest deals rows out for the first sorting; groups meet in the other one.
+    assert steps == ["SortAggregate", "Exchange", "SortAggregate", "Exchange"]
+    lowest = {k: min((r for r in rows if r[0] == k), key=lambda r: (r[1] or "", r[2])) for k, _, _ in rows}
+    assert rows_of(plan) == sorted(lowest.values(), key=repr)
