@@ -11,7 +11,9 @@ import pytest
 from starlane import catalog
 from starlane.contracts import CONTRACTS, FORMAT_PATTERNS, target_name
 from starlane.plans.load import Loader
+from starlane.queries import QUERIES
 from starlane.session import new_folder
+from starlane.sinks import files as file_sinks
 from starlane.sinks.store import Store
 from starlane.sources import ledger
 from tests.conftest import rows_of
@@ -108,3 +110,15 @@ def test_digest_of_files_in_ranges(spark, tmp_path):
     assert got == {name: (want(text), len(text)) for name, text in texts.items()}
     fresh = ledger.new_files(found, spark.createDataFrame([], ledger.SCHEMA))
     assert fresh.count() == 3
+
+
+def test_declared_drops_are_dealt_before_they_are_written(spark, folder, monkeypatch):
+    """A table in one row group must not be one task's work to write as text."""
+    written = []
+    monkeypatch.setattr(file_sinks, "write_csv", lambda df, path: written.append(df))
+    monkeypatch.setattr(catalog, "load_in_order", lambda *_: (_ for _ in ()).throw(InterruptedError))
+    with pytest.raises(InterruptedError):
+        QUERIES["declared_table_load"](spark, folder)
+    assert len(written) == 3
+    for df in written:
+        assert "REBALANCE_PARTITIONS" in df._jdf.queryExecution().executedPlan().toString()
