@@ -232,6 +232,8 @@ def _buffers(batches: Iterable[pa.RecordBatch], sizes: Training) -> Iterator[lis
 def train(labelled: DataFrame, sizes: Training = Training()) -> Network | float:
     """A network fitted to all rows of ``labelled`` (doc_id, body, label); the label where all have
     the same, 0.5 without any."""
+    # Written once, so that counting and dealing do not each join the texts anew.
+    labelled = materialize(labelled.select("doc_id", "body", "label"), "labelled-texts")
     found = labelled.agg(
         F.count("*").alias("n"), F.sum("label").alias("ones"), F.sum(F.octet_length("body")).alias("size")
     ).first()
@@ -273,6 +275,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, wanted: F.Column) -> Data
     """doc_id, body and label of every row of ``docs`` whose key has a label and is ``wanted``.
 
     A key labelled twice takes its larger label; null labels and keys are ignored.
+    The join is of one kind at all sizes, so what it writes grows with the texts.
     """
     picked = (
         labels.select("doc_id", F.col("quality").cast("int").alias("label"))
@@ -280,7 +283,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, wanted: F.Column) -> Data
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
-    return as_bytes(docs, "doc_id").join(picked, "doc_id")
+    return as_bytes(docs, "doc_id").join(picked.hint("merge"), "doc_id")
 
 
 def quality_classifier(

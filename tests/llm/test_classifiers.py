@@ -172,3 +172,20 @@ def test_odd_texts_and_missing_labels(spark, run):
     assert all(0 <= s <= 1 for s in scores.values())
     assert scores[0] == scores[1]
     assert run(documents(spark, []), both).count() == 0
+
+
+def test_labelled_texts_are_joined_once(spark, monkeypatch):
+    """What learning writes to disk grows with the texts: one join of one kind, however few the labels."""
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int")
+    found = quality.labelled_texts(docs, labels, F.lit(True))
+    assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
+    written, real = [], quality.materialize
+
+    def record(df, label):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(quality, "materialize", record)
+    quality.train(found, quality.Training(rounds=1, steps=1))
+    assert ["SortMergeJoin" in plan for plan in written] == [True, False]
