@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,6 +128,19 @@ def places(patterns: list[Pattern], first: int = 0) -> list[tuple[int, ...]]:
     return out
 
 
+def words_of(bodies: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """How many white-space-separated words each text has, the distinct ones, and which of them each word is."""
+    split = pc.ascii_split_whitespace(bodies.view(pa.string()))
+    word = split.flatten()
+    real = np.asarray(pc.binary_length(word)) > 0  # blanks at the ends leave empty ones
+    ends = np.cumsum(np.asarray(pc.list_value_length(split), dtype=np.int64))
+    before = np.concatenate([[0], np.cumsum(real)])
+    coded = word.filter(pa.array(real)).dictionary_encode()
+    distinct = coded.dictionary.view(pa.binary())
+    joined = pc.binary_join(pa.ListArray.from_arrays([0, len(distinct)], distinct), b" ")[0].as_py()
+    return np.diff(before[ends], prepend=0), joined.split(), np.asarray(coded.indices, dtype=np.int64)
+
+
 def cut(docs: DataFrame, shape: Shape, vocabulary: str) -> DataFrame:
     """The pieces of each text, each with the task that made it and its rank there by length."""
     key = docs.schema["doc_id"].dataType.simpleString()
@@ -136,11 +150,10 @@ def cut(docs: DataFrame, shape: Shape, vocabulary: str) -> DataFrame:
         coder = subwords(vocabulary)
         seen = np.zeros(shape.window + 1, dtype=np.int64)
         for step in steps(batches):
-            texts = [x.split() for x in step.column("body").to_pylist()]
-            words = np.array([len(x) for x in texts], dtype=np.int64)
-            found, counts = coder.ids_of(coder.numbers([w for x in texts for w in x]))
+            words, distinct, which = words_of(step.column("body"))
+            found, counts = coder.ids_of(coder.numbers(distinct)[which])
             # Each text's ids, with the end id after them.
-            sizes = np.bincount(np.repeat(np.arange(len(texts)), words), counts, len(texts)).astype(np.int64)
+            sizes = np.bincount(np.repeat(np.arange(len(words)), words), counts, len(words)).astype(np.int64)
             stops = np.cumsum(sizes)
             ids = np.insert(found.astype("<u4"), stops, shape.end_id)
             sizes += 1
@@ -149,7 +162,7 @@ def cut(docs: DataFrame, shape: Shape, vocabulary: str) -> DataFrame:
             full, rest = sizes // shape.window, sizes % shape.window
             units, tail = rest - rest % shape.unit, rest % shape.unit
             number = full + (units > 0) + (tail > 0)
-            text = np.repeat(np.arange(len(texts)), number)
+            text = np.repeat(np.arange(len(words)), number)
             turn = np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number)
             start = np.minimum(turn, full[text]) * shape.window
             start = np.where(turn > full[text], full[text] * shape.window + units[text], start)

@@ -4,8 +4,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from starlane.llm import packing
 from starlane.llm.packing import Shape, combinations, nonnegative_least_squares, pack, solve
 from starlane.llm.subwords import default_vocabulary
 from tests.llm.helpers import ODD_TEXTS, documents
@@ -80,3 +82,13 @@ def test_least_squares_is_optimal(seed):
     x = nonnegative_least_squares(a, b)
     slope = a.T @ (b - a @ x)
     assert (x >= 0).all() and (slope < 1e-6).all() and abs(slope @ x) < 1e-6
+
+
+def test_words_are_told_apart_once_a_step():
+    """Each distinct word of a step is looked up once, and words are those of a plain split."""
+    bodies = [b"one two  one", b"", b" \t\n", b"  two\x0b\x0ctwo\r", b"bad \xff\xfe bytes\xc3", "a b  x\x1cy \u0085".encode()]
+    words, distinct, which = packing.words_of(pa.array([b"x", *bodies], pa.binary())[1:])
+    assert words.tolist() == [len(x.split()) for x in bodies]
+    assert [distinct[k] for k in which] == [w for x in bodies for w in x.split()]
+    assert len(distinct) == len(set(distinct))
+    assert packing.words_of(pa.array([b""], pa.binary()))[1] == []
