@@ -114,34 +114,54 @@ def same_text() -> F.Column:
 
 
 def signed(docs: DataFrame, how: Similarity) -> DataFrame:
-    """doc_id, same, n_shingles, digest and regions of each row; a task gives a set's regions once."""
+    """doc_id, same, n_shingles and digest of each row."""
     key = docs.schema["doc_id"].dataType.simpleString()
 
+    def work(step: pa.RecordBatch) -> dict[str, object]:
+        found = [shingles(body, how.words) for body in step.column("body").to_pylist()]
+        return {
+            "doc_id": step.column("doc_id"), "same": step.column("same"),
+            "n_shingles": pa.array(list(map(len, found)), pa.int64()),
+            "digest": pa.array([digest(x) if len(x) else None for x in found], pa.int64()),
+        }
+
+    bodies = as_bytes(docs.withColumn("same", same_text()), "doc_id", "same")
+    return materialize(map_steps(bodies, work, f"doc_id {key}, same long, n_shingles long, digest long"), "shingle-sets")
+
+
+def in_regions(docs: DataFrame, how: Similarity) -> DataFrame:
+    """digest and regions of each set; a task gives a set once.
+
+    Regions are the larger part of what is known of a set and are read once, so
+    they are not written out but made from the texts on their way to the shuffle.
+    """
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
         classes = how.classes(64)
         for step in steps(batches):
-            sizes, digests, found = [], [], []
+            digests, found = [], []
             for body in step.column("body").to_pylist():
                 tokens = shingles(body, how.words)
+                name = digest(tokens)
+                if not len(tokens) or name in given:
+                    continue
                 if len(tokens) > classes[-1][1]:
                     classes = how.classes(2 * len(tokens))
-                name = digest(tokens)
-                sizes.append(len(tokens))
-                digests.append(name if len(tokens) else None)
-                found.append(np.empty(0, np.int64) if name in given else regions(tokens, classes, how))
+                digests.append(name)
+                found.append(regions(tokens, classes, how))
                 given.add(name)
+            if not digests:
+                continue
             cuts = np.cumsum([0, *map(len, found)])
             yield pa.RecordBatch.from_pydict({
-                "doc_id": step.column("doc_id"), "same": step.column("same"), "n_shingles": pa.array(sizes, pa.int64()),
                 "digest": pa.array(digests, pa.int64()),
                 "regions": pa.ListArray.from_arrays(
                     pa.array(cuts, pa.int32()), pa.array(np.concatenate(found), pa.int64())
                 ),
             })
 
-    schema = f"doc_id {key}, same long, n_shingles long, digest long, regions array<long>"
-    return materialize(as_bytes(docs.withColumn("same", same_text()), "doc_id", "same").mapInArrow(run, schema), "shingle-sets")
+    return as_bytes(docs).mapInArrow(run, "digest long, regions array<long>")
 
 
 def shared_regions(sets: DataFrame) -> DataFrame:
@@ -315,7 +335,7 @@ def linked(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
     bound allows.
     """
     sets = signed(docs, how)
-    shared = shared_regions(sets.where("digest is not null").select("regions", "digest"))
+    shared = shared_regions(in_regions(docs, how))
     wanted = sets.select("doc_id", "same", "digest").join(shared.select("digest").distinct(), "digest")
     # One row of each set, with an id if any has one.
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same")
@@ -329,7 +349,7 @@ def linked(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
         found = verified(candidates(shared, comps, spots, best, how), spots, how)
         links = links.unionByName(found)
         comps = components(links)
-    named = sets.drop("regions").join(comps.withColumnRenamed("node", "digest"), "digest", "left")
+    named = sets.join(comps.withColumnRenamed("node", "digest"), "digest", "left")
     named = named.withColumn("comp", F.coalesce("comp", "digest"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = named.join(smallest, "comp", "left")

@@ -121,3 +121,21 @@ def test_near_copies_with_null_ids_link_as_in_sql(spark):
     got = [tuple(r) for r in jaccard_join(docs).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert sorted(r[2] for r in got) == [4, 4, 10, 10, 10]
+
+
+def test_regions_are_not_written(spark, monkeypatch):
+    """The regions of all sets, most of what is known of them, go to the shuffle alone."""
+    from starlane.llm import jaccard_join as join
+
+    wide, real = [], join.materialize
+
+    def record(df, label):
+        wide.extend(f.name for f in df.schema if f.dataType.typeName() == "array")
+        return real(df, label)
+
+    monkeypatch.setattr(join, "materialize", record)
+    text = " ".join(f"w{k}" for k in range(40))
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, None), (4, "alone"), (4, "alone")], "doc_id long, text string")
+    found = {(r.doc_id, r.n_shingles, r.component_id) for r in join.jaccard_join(docs).collect()}
+    assert found == {(1, 37, 1), (2, 38, 1), (3, 0, 3), (4, 1, 4)}
+    assert not wide
