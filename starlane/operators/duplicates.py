@@ -16,12 +16,15 @@ class DuplicateSplit:
     duplicates: DataFrame
 
 
-def first_per_key(df: DataFrame, keys: list[str], copies: str | None = None) -> DataFrame:
+def first_per_key(
+    df: DataFrame, keys: list[str], copies: str | None = None, deal: bool = True
+) -> DataFrame:
     """One row per key: the smallest by its columns from left to right, NULLs first.
 
-    With ``copies`` a column of that name says how many rows the key had.
+    With ``copies`` a column of that name says how many rows the key had; for ``deal``
+    see ``unique_rows``.
     """
-    return unique_rows(df, keys, copies)
+    return unique_rows(df, keys, copies, deal)
 
 
 def split_stored(

@@ -124,14 +124,17 @@ def lookup_join(
     return large_join(left, right, keys, how, limits)
 
 
-def unique_rows(dim: DataFrame, keys: list[str], copies: str | None = None) -> DataFrame:
+def unique_rows(
+    dim: DataFrame, keys: list[str], copies: str | None = None, deal: bool = True
+) -> DataFrame:
     """One row per key, the smallest by all other columns; ``copies`` names a count of its rows.
 
     Aggregation instead of a window: copies of one key combine before the
     shuffle, so no task holds a whole group.  The smallest row is found by
     sorting, so rows are dealt by a hash of the key first, or the few tasks that
     read a file of few row groups would sort it all; adaptive execution cuts
-    what a heavy key makes too large, and the parts' rows meet by key.
+    what a heavy key makes too large, and the parts' rows meet by key.  Without
+    ``deal`` they are sorted where they lie, for rows that many tasks have written.
     """
     rest = [c for c in dim.columns if c not in keys]
     counted = [F.count(F.lit(1)).alias(copies)] if copies else []
@@ -139,7 +142,7 @@ def unique_rows(dim: DataFrame, keys: list[str], copies: str | None = None) -> D
         return dim.distinct()
     row = [F.min(F.struct(*rest)).alias("__row")] if rest else []
     return (
-        (dim.withColumn("__deal", F.xxhash64(*keys)).hint("rebalance", "__deal") if rest else dim)
+        (dim.withColumn("__deal", F.xxhash64(*keys)).hint("rebalance", "__deal") if rest and deal else dim)
         .groupBy(*keys)
         .agg(*row, *counted)
         .select(*keys, *(["__row.*"] if rest else []), *([copies] if copies else []))

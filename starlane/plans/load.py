@@ -191,7 +191,8 @@ class Loader:
         copies = F.lit(1).cast("bigint")
         fresh = sides.clean.withColumn(COPIES, copies)
         if self.within_batch:
-            fresh = first_per_key(sides.clean, keys, COPIES)
+            # Staged by the tasks that read the drop, a part each.
+            fresh = first_per_key(sides.clean, keys, COPIES, deal=False)
         kept = Observation()
         total = F.coalesce(F.sum(COPIES), F.lit(0)).alias("rows")
         # Written once: the sizing, the check against history and the gold table read it.
