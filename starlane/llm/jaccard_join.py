@@ -276,7 +276,10 @@ def _candidates(region: list[dict], best: bool, how: Similarity) -> set[tuple[in
 
 
 def candidates(shared: DataFrame, comps: DataFrame, spots: DataFrame, best: bool, how: Similarity) -> DataFrame:
-    """Pairs (a, b) across components that share a region and pass the tree's bound."""
+    """Pairs (a, b) across components that share a region and pass the tree's bound.
+
+    They are short and written out, so the shuffle of points is gone before sets are shuffled.
+    """
     rows = shared.join(comps.withColumnRenamed("node", "digest"), "digest", "left")
     rows = rows.withColumn("comp", F.coalesce("comp", "digest"))
     mixed = rows.groupBy("region").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
@@ -297,7 +300,7 @@ def candidates(shared: DataFrame, comps: DataFrame, spots: DataFrame, best: bool
                     a, b = zip(*found)
                     yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return grouped.select("sets").mapInArrow(run, "a long, b long").distinct()
+    return materialize(grouped.select("sets").mapInArrow(run, "a long, b long").distinct(), "candidate-pairs")
 
 
 def verified(pairs: DataFrame, spots: DataFrame, how: Similarity) -> DataFrame:

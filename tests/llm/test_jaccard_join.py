@@ -139,3 +139,20 @@ def test_regions_are_not_written(spark, monkeypatch):
     found = {(r.doc_id, r.n_shingles, r.component_id) for r in join.jaccard_join(docs).collect()}
     assert found == {(1, 37, 1), (2, 38, 1), (3, 0, 3), (4, 1, 4)}
     assert not wide
+
+
+def test_pairs_are_written_before_sets_are_shuffled(spark, monkeypatch):
+    """The shuffle of points behind the pairs is not held while sets are verified."""
+    from starlane.llm import jaccard_join as join
+
+    plans, real = [], join.verified
+
+    def record(pairs, spots, how):
+        plans.append(pairs._jdf.queryExecution().optimizedPlan().toString())
+        return real(pairs, spots, how)
+
+    monkeypatch.setattr(join, "verified", record)
+    texts = near_copies(3, 60, 12, 3) + near_copies(4, 30, 12, 2) + ["", "alone in the world"]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in join.jaccard_join(documents(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == plain(texts, 4, 85)
+    assert len(plans) == 4 and not [x for x in plans[1:] if "MapInArrow" in x]
