@@ -1,8 +1,9 @@
 """From raw documents to packed sequences, in five stages.
 
 Quality classifier, near duplicates, benchmark decontamination, personal data,
-packing.  Every stage is written as Parquet and read again by the next one; all
-but the last return the columns of documents.
+packing.  Every stage is written as Parquet and read again by the next one, and
+what it wrote on the way is deleted; all but the last return the columns of
+documents.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from starlane.llm.packing import pack
 from starlane.llm.personal_data import redacted
 from starlane.llm.quality_classifier import quality_classifier
 from starlane.llm.texts import table
-from starlane.session import materialize
+from starlane.session import materialize, scratch
 
 # Five words and 80 percent, as near-duplicate stages take.
 NEAR = Similarity(words=5, percent=80)
@@ -44,7 +45,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are told apart by id and text; rows that only share an id are not folded,
     nor are texts without words, which are linked with nothing.
     """
-    found = materialize(linked(docs, NEAR), "near-duplicates").where("n_shingles > 0")
+    with scratch(spark) as keep:
+        found = keep(linked(docs, NEAR), "near-duplicates").where("n_shingles > 0")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same")
     first = found.groupBy("comp").agg(F.min(row).alias("row")).select("row.doc_id", "row.same")
     dropped = materialize(found.select("doc_id", "same").subtract(first), "near-copies")
@@ -105,5 +107,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces that the last stage makes of all documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name.lower().replace(' ', '-')}")
+        with scratch(spark) as keep:
+            docs = keep(stage(spark, docs, sf_dir), f"stage-{name.lower().replace(' ', '-')}")
     return docs

@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from starlane.llm.components import components
 from starlane.llm.texts import as_bytes, hashes, map_steps, rolling, steps, table
-from starlane.session import materialize
+from starlane.session import materialize, scratch
 
 _SALTS = 4
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -175,12 +175,13 @@ def shared_regions(sets: DataFrame) -> DataFrame:
         "region", "digest", F.min("digest").over(whole).alias("lead"), F.max("digest").over(whole).alias("last")
     )
     rows = rows.where("lead <> last").select("region", "digest", "lead").distinct()
-    rows = materialize(rows, "regions")
-    members = rows.groupBy("region", "lead").agg(
-        F.count("*").alias("size"), F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("all"),
-    )
-    kept = members.groupBy("lead", "size", "all").agg(F.min("region").alias("region")).drop("lead", "all")
-    return materialize(rows.join(kept, "region"), "shared-regions")
+    with scratch(sets.sparkSession) as keep:
+        rows = materialize(rows, "regions")
+        members = rows.groupBy("region", "lead").agg(
+            F.count("*").alias("size"), F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("all"),
+        )
+        kept = members.groupBy("lead", "size", "all").agg(F.min("region").alias("region")).drop("lead", "all")
+        return keep(rows.join(kept, "region"), "shared-regions")
 
 
 def points(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame:
@@ -325,19 +326,8 @@ def verified(pairs: DataFrame, spots: DataFrame, how: Similarity) -> DataFrame:
     return materialize(sides.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "verified")
 
 
-def linked(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
-    """doc_id, same (see ``same_text``), n_shingles, comp (equal for linked rows, null without shingles) and component_id (the smallest doc_id reachable by links) for each
-    row of ``docs`` (doc_id, text).
-
-    Equal sets are one node.  A null or empty text has no shingles and is linked
-    with nothing, so its component is its own id; a row with a null doc_id counts
-    but is no candidate for the smallest id.  Every pair that links is found, or
-    joined already by other links: first each set is verified against the leader
-    that it shares most regions with, then in regions that still hold several
-    components each set against the closest in another, and at last all that the
-    bound allows.
-    """
-    sets = signed(docs, how)
+def linked_sets(docs: DataFrame, sets: DataFrame, how: Similarity) -> DataFrame:
+    """node (a digest of ``sets``, see ``signed``) and comp of the sets that link with another."""
     shared = shared_regions(in_regions(docs, how))
     wanted = sets.select("doc_id", "same", "digest").join(shared.select("digest").distinct(), "digest")
     # One row of each set, with an id if any has one.
@@ -352,6 +342,25 @@ def linked(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
         found = verified(candidates(shared, comps, spots, best, how), spots, how)
         links = links.unionByName(found)
         comps = components(links)
+    return comps
+
+
+def linked(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
+    """doc_id, same (see ``same_text``), n_shingles, comp (equal for linked rows, null without shingles) and component_id (the smallest doc_id reachable by links) for each
+    row of ``docs`` (doc_id, text).
+
+    Equal sets are one node.  A null or empty text has no shingles and is linked
+    with nothing, so its component is its own id; a row with a null doc_id counts
+    but is no candidate for the smallest id.  Every pair that links is found, or
+    joined already by other links: first each set is verified against the leader
+    that it shares most regions with, then in regions that still hold several
+    components each set against the closest in another, and at last all that the
+    bound allows.
+    """
+    sets = signed(docs, how)
+    # What the search writes, the points above all, is larger than its result and goes with its end.
+    with scratch(docs.sparkSession) as keep:
+        comps = keep(linked_sets(docs, sets, how), "components")
     named = sets.join(comps.withColumnRenamed("node", "digest"), "digest", "left")
     named = named.withColumn("comp", F.coalesce("comp", "digest"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starlane.llm.texts import as_bytes, crc32_of_key, map_steps, steps, table
-from starlane.session import materialize
+from starlane.session import materialize, scratch
 
 CELL, BLOCK, CHUNK, STRIDE = 4, 16, 8, 7  # bytes; cells; blocks; blocks
 
@@ -231,7 +231,12 @@ def _buffers(batches: Iterable[pa.RecordBatch], sizes: Training) -> Iterator[lis
 
 def train(labelled: DataFrame, sizes: Training = Training()) -> Network | float:
     """A network fitted to all rows of ``labelled`` (doc_id, body, label); the label where all have
-    the same, 0.5 without any."""
+    the same, 0.5 without any.  The texts written for it are deleted at its end."""
+    with scratch(labelled.sparkSession):
+        return _trained(labelled, sizes)
+
+
+def _trained(labelled: DataFrame, sizes: Training) -> Network | float:
     # Written once, so that counting and dealing do not each join the texts anew.
     labelled = materialize(labelled.select("doc_id", "body", "label"), "labelled-texts")
     found = labelled.agg(

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
 
 import corpus_pipeline
-from starlane.session import materialize
+from starlane.session import materialize, scratch, shared_folder
 from tests.llm.helpers import alnum_words
 from tests.llm.test_jaccard_join import plain as plain_components
 from tests.llm.test_packing import check
@@ -120,3 +121,38 @@ def test_columns_with_names_of_the_stages(spark, folder_of):
             assert r.doc_id is None or [r[c] for c in extra] == [r.doc_id * 7 + k for k in range(len(extra))], name
     no_length = wide.drop("n_chars")
     assert corpus_pipeline.personal_data(spark, no_length, folder_of).columns == no_length.columns
+
+
+def written(spark):
+    """Tables in the shared folder."""
+    folder = shared_folder(spark).removeprefix("file:") + "/starlane"
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_scratch_deletes_all_but_what_is_kept(spark):
+    before = written(spark)
+    with scratch(spark) as keep:
+        first = materialize(spark.range(5), "test-first")
+        with scratch(spark) as pass_on:
+            second = materialize(first.where("id > 1"), "test-second")
+            third = pass_on(second.where("id > 2"), "test-third")
+        assert {x.rsplit("-", 1)[0] for x in written(spark) - before} == {"test-first", "test-third"}
+        last = keep(first.join(third, "id"), "test-last")
+    assert sorted(r.id for r in last.collect()) == [3, 4]
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        materialize(spark.range(5), "test-first")
+        raise ZeroDivisionError
+    materialize(spark.range(5), "test-outside")
+    assert {x.rsplit("-", 1)[0] for x in written(spark) - before} == {"test-last", "test-outside"}
+
+
+def test_stages_leave_only_what_their_output_reads(spark, folder_of):
+    """Tables as large as the texts do not stay until the last stage."""
+    docs = spark.read.parquet(f"{folder_of}/documents.parquet")
+    before = written(spark)
+    good = corpus_pipeline.quality(spark, docs, folder_of)
+    assert written(spark) == before
+    one = corpus_pipeline.near_duplicates(spark, good, folder_of)
+    left = {x.rsplit("-", 1)[0] for x in written(spark) - before}
+    assert left == {"near-duplicates", "near-copies", "repeated-rows"}
+    assert 0 < one.count() < good.count()
