@@ -3,7 +3,8 @@
 A text is a set of hashed word shingles.  Tokens of a set are hashed into groups.
 Sets that link differ in few tokens, so with more groups than that at least one
 group has the same tokens in both: the root of the tree has one region for each
-content of a group, and a set is in the regions of all its groups.  Within a
+content of a group, and a set is in the regions of all its groups but as many of
+the commonest as linked sets share beyond one.  Within a
 region, sets are points of group counts, packed into boxes; the sum over the
 groups of the smaller count bounds the overlap of a set with a box or a set, and
 what survives is verified on the sets themselves.
@@ -55,7 +56,8 @@ class Similarity:
         while low <= largest:
             high = max(low, low * 3 // 2)
             differing = self.differing(high)
-            out.append((low, high, differing + 2 + differing // 20 if differing else 0))
+            # A quarter more than can differ: enough that few sets are dealt again.
+            out.append((low, high, differing + 2 + differing // 4 if differing else 0))
             low = high + 1
         return out
 
@@ -75,16 +77,22 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
-def regions(tokens: np.ndarray, classes: list[tuple[int, int, int]], how: Similarity) -> np.ndarray:
-    """The regions of a set: one for each of its groups in its own size class, and in each
-    lower class that may hold a set linked to it.
+def deals(
+    tokens: np.ndarray, classes: list[tuple[int, int, int]], how: Similarity
+) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(deal, spare, regions): the regions of a set, one for each of its groups in its own size
+    class, and in each lower class that may hold a set linked to it.
 
     Two sets may agree in empty groups only.  A class has more groups than can
     differ by a margin; a set with more empty groups than the margin is dealt
     again by another hash, so that of two linked sets that share no filled group
     both are dealt again, and after the last deal gives its empty groups too.
+
+    Linked sets share more filled groups of a deal than the margin without the
+    empty groups of either.  By that ``spare`` regions of the deal may be left
+    out, the first in an order that is the same for all sets: of the regions that
+    two linked sets share, the last has ``spare`` others before it in both.
     """
-    out = []
     for number, (low, high, groups) in enumerate(classes):
         if low > len(tokens):
             break
@@ -98,14 +106,19 @@ def regions(tokens: np.ndarray, classes: list[tuple[int, int, int]], how: Simila
             first = np.flatnonzero(np.diff(group, prepend=np.uint64(groups)))
             content = np.add.reduceat(_mixed(dealt), first)
             where = np.uint64((number * _SALTS + salt) << 32) + group[first]
-            out.append(_mixed(content + _mixed(where)))
             empty = groups - len(first)
+            deal = number * (_SALTS + 1) + salt
+            yield deal, max(margin - empty, 0), _mixed(content + _mixed(where)).view(np.int64)
             if empty <= margin:
                 break
         else:
             missing = np.setdiff1d(np.arange(groups, dtype=np.uint64), group[first])
-            out.append(_mixed(np.uint64((number * _SALTS + _SALTS) << 32) + missing))
-    return np.concatenate([*out, np.empty(0, dtype=np.uint64)]).view(np.int64)
+            yield deal + 1, 0, _mixed(np.uint64((number * _SALTS + _SALTS) << 32) + missing).view(np.int64)
+
+
+def regions(tokens: np.ndarray, classes: list[tuple[int, int, int]], how: Similarity) -> np.ndarray:
+    """The regions of all deals of a set."""
+    return np.concatenate([*(x for _, _, x in deals(tokens, classes, how)), np.empty(0, dtype=np.int64)])
 
 
 def same_text() -> F.Column:
@@ -130,7 +143,7 @@ def signed(docs: DataFrame, how: Similarity) -> DataFrame:
 
 
 def in_regions(docs: DataFrame, how: Similarity) -> DataFrame:
-    """digest and regions of each set; a task gives a set once.
+    """digest, deal, spare and regions (see ``deals``) of each set; a task gives a set once.
 
     Regions are the larger part of what is known of a set and are read once, so
     they are not written out but made from the texts on their way to the shuffle.
@@ -140,7 +153,7 @@ def in_regions(docs: DataFrame, how: Similarity) -> DataFrame:
         given: set[int] = set()
         classes = how.classes(64)
         for step in steps(batches):
-            digests, found = [], []
+            names, found = [], []
             for body in step.column("body").to_pylist():
                 tokens = shingles(body, how.words)
                 name = digest(tokens)
@@ -148,40 +161,47 @@ def in_regions(docs: DataFrame, how: Similarity) -> DataFrame:
                     continue
                 if len(tokens) > classes[-1][1]:
                     classes = how.classes(2 * len(tokens))
-                digests.append(name)
-                found.append(regions(tokens, classes, how))
+                own = list(deals(tokens, classes, how))
+                names.extend([name] * len(own))
+                found.extend(own)
                 given.add(name)
-            if not digests:
+            if not found:
                 continue
-            cuts = np.cumsum([0, *map(len, found)])
+            number, spare, own = zip(*found)
+            cuts = np.cumsum([0, *map(len, own)])
             yield pa.RecordBatch.from_pydict({
-                "digest": pa.array(digests, pa.int64()),
-                "regions": pa.ListArray.from_arrays(
-                    pa.array(cuts, pa.int32()), pa.array(np.concatenate(found), pa.int64())
-                ),
+                "digest": pa.array(names, pa.int64()), "deal": pa.array(number, pa.int32()),
+                "spare": pa.array(spare, pa.int32()),
+                "regions": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(own))),
             })
 
-    return as_bytes(docs).mapInArrow(run, "digest long, regions array<long>")
+    return as_bytes(docs).mapInArrow(run, "digest long, deal int, spare int, regions array<long>")
 
 
 def shared_regions(sets: DataFrame) -> DataFrame:
     """region, digest, lead (its smallest digest) and size of the regions of two and more sets.
 
-    Of regions with the same sets one stays.
+    A set is not in the commonest regions of a deal, as many as it can spare.
+    These are those of passages that stand in many texts, whose sets would all be
+    compared with each other.  Of regions with the same sets one stays.
     """
-    rows = sets.select(F.explode("regions").alias("region"), "digest")
+    rows = sets.select(F.explode("regions").alias("region"), "digest", "deal", "spare")
     whole = Window.partitionBy("region")
     rows = rows.select(
-        "region", "digest", F.min("digest").over(whole).alias("lead"), F.max("digest").over(whole).alias("last")
-    )
-    rows = rows.where("lead <> last").select("region", "digest", "lead").distinct()
+        "region", "digest", "deal", "spare", F.min("digest").over(whole).alias("first"),
+        F.max("digest").over(whole).alias("last"), F.count("*").over(whole).alias("times"),
+    )
+    rows = rows.where("first <> last").drop("first", "last").distinct()
+    common = Window.partitionBy("digest", "deal").orderBy(F.desc("times"), "region")
+    rows = rows.withColumn("place", F.row_number().over(common)).where("place > spare").select("region", "digest")
     with scratch(sets.sparkSession) as keep:
         rows = materialize(rows, "regions")
-        members = rows.groupBy("region", "lead").agg(
-            F.count("*").alias("size"), F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("all"),
+        members = rows.groupBy("region").agg(
+            F.min("digest").alias("lead"), F.count("*").alias("size"),
+            F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("all"),
         )
-        kept = members.groupBy("lead", "size", "all").agg(F.min("region").alias("region")).drop("lead", "all")
-        return keep(rows.join(kept, "region"), "shared-regions")
+        kept = members.where("size > 1").groupBy("lead", "size", "all").agg(F.min("region").alias("region"))
+        return keep(rows.join(kept.drop("all"), "region"), "shared-regions")
 
 
 def points(docs: DataFrame, wanted: DataFrame, how: Similarity) -> DataFrame:
@@ -220,30 +240,55 @@ class CountTree:
     def __init__(self, counts: np.ndarray, leaf: int):
         self.counts, self.leaf = counts, leaf
         self.sizes = counts.sum(axis=1, dtype=np.int64)
-        # Neighbours in size, then along the axes that vary most.
-        axes = np.argsort(-counts.var(axis=0), kind="stable")[:3]
-        self.order = np.lexsort([*[counts[:, k] for k in axes[::-1]], np.log2(self.sizes + 1).astype(int)])
+        # Sums of axes, whose bound is looser and takes a quarter of the time.
+        self.folded = self._fold(counts)
+        self.order = np.arange(len(counts))
+        if len(counts) > leaf:
+            # Neighbours in size, then along the axes that vary most.
+            axes = np.argsort(-counts.var(axis=0), kind="stable")[:3]
+            self.order = np.lexsort([*[counts[:, k] for k in axes[::-1]], np.log2(self.sizes + 1).astype(int)])
         tops, lows = counts[self.order], self.sizes[self.order]
-        self.levels = [(tops, lows)]
+        self.levels = [(tops, self._fold(tops), lows)]
         while len(tops) > leaf:
             starts = np.arange(0, len(tops), leaf)
             tops, lows = np.maximum.reduceat(tops, starts), np.minimum.reduceat(lows, starts)
-            self.levels.append((tops, lows))
-
-    def search(self, queries: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pairs (query, other point) whose bound allows a link, and the bound."""
-        tops, _ = self.levels[-1]
+            self.levels.append((tops, self._fold(tops), lows))
+
+    @staticmethod
+    def _fold(counts: np.ndarray) -> np.ndarray:
+        fold = 4 if counts.shape[1] % 4 == 0 else 1
+        sums = counts.reshape(len(counts), -1, fold).sum(axis=2, dtype=np.int64)
+        return sums.astype("<u2" if sums.max(initial=0) >> 8 else "<u1") if sums.max(initial=0) < 1 << 16 else sums
+
+    def _bound(self, points: np.ndarray, query: np.ndarray, tops: np.ndarray, box: np.ndarray) -> np.ndarray:
+        bound = np.empty(len(query), dtype=np.int64)
+        # No bound is larger than the query's size.
+        kind = np.uint16 if self.sizes.max(initial=0) < 1 << 16 else np.int64
+        for a in range(0, len(query), 512):
+            part = slice(a, a + 512)
+            bound[part] = np.minimum(points[query[part]], tops[box[part]]).sum(axis=1, dtype=kind)
+        return bound
+
+    def search(
+        self, queries: np.ndarray, percent: int, apart: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (query, other point) whose bound allows a link, and the bound; with ``apart``
+        only of points that differ in it."""
+        tops = self.levels[-1][0]
         query = np.repeat(queries, len(tops))
         box = np.tile(np.arange(len(tops)), len(queries))
         for level in range(len(self.levels) - 1, -1, -1):
-            tops, lows = self.levels[level]
-            bound = np.empty(len(query), dtype=np.int64)
-            for a in range(0, len(query), 512):
-                part = slice(a, a + 512)
-                both = np.minimum(self.counts[query[part]], tops[box[part]])
-                bound[part] = both.sum(axis=1, dtype=np.int64)
-            ok = _enough(bound, self.sizes[query] + lows[box], percent)
-            query, box, bound = query[ok], box[ok], bound[ok]
+            tops, folded, lows = self.levels[level]
+            if not level:
+                # Points: those whose sizes allow it.
+                ok = _enough(np.minimum(self.sizes[query], lows[box]), self.sizes[query] + lows[box], percent)
+                if apart is not None:
+                    ok &= apart[query] != apart[self.order[box]]
+                query, box = query[ok], box[ok]
+            for points, over in ((self.folded, folded), (self.counts, tops)):
+                bound = self._bound(points, query, over, box)
+                ok = _enough(bound, self.sizes[query] + lows[box], percent)
+                query, box, bound = query[ok], box[ok], bound[ok]
             if level:
                 below = len(self.levels[level - 1][0])
                 child = box[:, None] * self.leaf + np.arange(self.leaf)
@@ -252,32 +297,30 @@ class CountTree:
         return query, self.order[box], bound
 
 
-def _candidates(region: list[dict], best: bool, how: Similarity) -> set[tuple[int, int]]:
+def _candidates(
+    names: np.ndarray, comp: np.ndarray, packed: list[bytes], best: bool, how: Similarity
+) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a region's sets in different components that may link; with ``best`` only each
     set with the closest to it."""
-    names = [x["digest"] for x in region]
-    comp = np.array([x["comp"] for x in region])
-    counts = [zstandard.decompress(x["counts"]) for x in region]
+    counts = [zstandard.decompress(x) for x in packed]
     counts = [np.frombuffer(x, f"<u{len(x) // how.axes}") for x in counts]
     tree = CountTree(np.stack(counts), how.leaf)
-    pairs = set()
+    pairs = []
     for low in range(0, len(names), 256):
-        query, other, bound = tree.search(np.arange(low, min(low + 256, len(names))), how.percent)
-        ok = comp[query] != comp[other]
-        query, other, bound = query[ok], other[ok], bound[ok]
+        query, other, bound = tree.search(np.arange(low, min(low + 256, len(names))), how.percent, comp)
         if best and len(query):
             closeness = bound / (tree.sizes[query] + tree.sizes[other])
             order = np.lexsort([other, -closeness, query])
             query, other = query[order], other[order]
             new = np.append(True, np.diff(query) != 0)
             query, other = query[new], other[new]
-        for a, b in zip(query.tolist(), other.tolist()):
-            pairs.add((min(names[a], names[b]), max(names[a], names[b])))
-    return pairs
+        a, b = names[query], names[other]
+        pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+    return np.unique(np.concatenate(pairs, axis=1), axis=1)
 
 
 def candidates(shared: DataFrame, comps: DataFrame, spots: DataFrame, best: bool, how: Similarity) -> DataFrame:
-    """Pairs (a, b) across components that share a region and pass the tree's bound.
+    """region and pairs (a, b) across components that share it and pass the tree's bound.
 
     They are short and written out, so the shuffle of points is gone before sets are shuffled.
     """
@@ -295,13 +338,14 @@ def candidates(shared: DataFrame, comps: DataFrame, spots: DataFrame, best: bool
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.column("sets"):
-                found = sorted(_candidates(row.as_py(), best, how))
-                if found:
-                    a, b = zip(*found)
-                    yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            for region, sets in zip(batch.column("region").to_pylist(), batch.column("sets")):
+                sets = sets.values
+                names, comp = (sets.field(n).to_numpy(zero_copy_only=False) for n in ("digest", "comp"))
+                a, b = _candidates(names, comp, sets.field("counts").to_pylist(), best, how)
+                if len(a):
+                    yield pa.RecordBatch.from_pydict({"region": np.full(len(a), region), "a": a, "b": b})
 
-    return materialize(grouped.select("sets").mapInArrow(run, "a long, b long").distinct(), "candidate-pairs")
+    return materialize(grouped.select("region", "sets").mapInArrow(run, "region long, a long, b long"), "candidate-pairs")
 
 
 def verified(pairs: DataFrame, spots: DataFrame, how: Similarity) -> DataFrame:
@@ -339,9 +383,12 @@ def linked_sets(docs: DataFrame, sets: DataFrame, how: Similarity) -> DataFrame:
     links = verified(stars.select(F.col("lead").alias("a"), F.col("digest").alias("b")), spots, how)
     comps = components(links)
     for best in [True] * how.rounds + [False]:
-        found = verified(candidates(shared, comps, spots, best, how), spots, how)
-        links = links.unionByName(found)
+        pairs = candidates(shared, comps, spots, best, how)
+        links = links.unionByName(verified(pairs.select("a", "b").distinct(), spots, how))
         comps = components(links)
+        if best:
+            # Components only grow: a region without a pair will never have one.
+            shared = materialize(shared.join(pairs.select("region").distinct(), "region", "left_semi"), "pair-regions")
     return comps
 
 

@@ -156,3 +156,66 @@ def test_pairs_are_written_before_sets_are_shuffled(spark, monkeypatch):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in join.jaccard_join(documents(spark, texts)).collect()}
     assert [got[i] for i in range(len(texts))] == plain(texts, 4, 85)
     assert len(plans) == 4 and not [x for x in plans[1:] if "MapInArrow" in x]
+
+
+def test_linked_sets_share_a_region_that_neither_spares():
+    """Even if those that both have are left out first."""
+    from starlane.llm.jaccard_join import deals
+
+    rng = np.random.default_rng(3)
+    linked, spared = 0, 0
+    for how in (Similarity(), Similarity(percent=80), Similarity(percent=60)):
+        classes = how.classes(3000)
+        for turn in range(1000):
+            x = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 200)), dtype=np.uint64) >> np.uint64(turn % 12))
+            drop = int(rng.integers(0, max(1, len(x) // 4) + 1))
+            y = np.unique(np.append(x[drop:], rng.integers(0, 2**63, int(rng.integers(0, 6)), dtype=np.uint64)))
+            both, either = len(np.intersect1d(x, y)), len(np.union1d(x, y))
+            if 100 * both < how.percent * either or np.array_equal(x, y):
+                continue
+            own = [list(deals(tokens, classes, how)) for tokens in (x, y)]
+            shared = set.intersection(*({r for _, _, found in d for r in found.tolist()} for d in own))
+            kept = [set(), set()]
+            for regions_of, d in zip(kept, own):
+                for _, spare, found in d:
+                    # Those in both sets come first, which leaves the fewest.
+                    regions_of.update(sorted(found.tolist(), key=lambda r: (r not in shared, r))[spare:])
+                    spared += min(spare, len(found))
+            linked += 1
+            assert kept[0] & kept[1]
+    assert linked > 900 and spared > 10_000
+
+
+def test_a_passage_of_all_texts_makes_no_region(spark):
+    """Texts with a passage in common, too short to link them, are not all compared with each other."""
+    from starlane.llm.jaccard_join import in_regions, shared_regions
+
+    how = Similarity(words=5, percent=80)
+    passage = " ".join(f"p{k}" for k in range(40))
+    texts = [f"{passage} " + " ".join(f"u{i}x{k}" for k in range(200)) for i in range(60)]
+    assert shared_regions(in_regions(documents(spark, texts), how)).count() == 0
+    texts += [t + " and an end" for t in texts[::10]] + near_copies(8, 120, 8, 3)
+    want = plain(texts, how.words, how.percent)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join(documents(spark, texts), how).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_regions_without_a_pair_are_searched_once(spark, monkeypatch):
+    from starlane.llm import jaccard_join as join
+
+    searched, real = [], join.candidates
+
+    def record(shared, *rest):
+        pairs = real(shared, *rest)
+        searched.append(({r.region for r in shared.collect()}, {r.region for r in pairs.collect()}))
+        return pairs
+
+    monkeypatch.setattr(join, "candidates", record)
+    # Halves in common, so that regions are shared, and near copies of some.
+    half = [[" ".join(f"h{g}x{k}" for k in range(120)) for g in range(3)], [" ".join(f"o{i}x{k}" for k in range(60)) for i in range(12)]]
+    texts = [f"{half[0][i % 3]} {half[1][i]}" for i in range(12)] + near_copies(11, 90, 10, 4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in join.jaccard_join(documents(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == plain(texts, 4, 85)
+    assert searched[0][0] and len(searched) == 3
+    for (_, found), (again, _) in zip(searched, searched[1:]):
+        assert again == found
