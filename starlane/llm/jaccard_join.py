@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starlane.llm.components import components
-from starlane.llm.texts import as_bytes, hashes, map_steps, rolling, steps, table
+from starlane.llm.texts import as_bytes, give_back, hashes, map_steps, rolling, steps, table
 from starlane.session import materialize, scratch
 
 _SALTS = 4
@@ -174,6 +174,7 @@ def in_regions(docs: DataFrame, how: Similarity) -> DataFrame:
                 "spare": pa.array(spare, pa.int32()),
                 "regions": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(own))),
             })
+        give_back()
 
     return as_bytes(docs).mapInArrow(run, "digest long, deal int, spare int, regions array<long>")
 
@@ -344,6 +345,7 @@ def candidates(shared: DataFrame, comps: DataFrame, spots: DataFrame, best: bool
                 a, b = _candidates(names, comp, sets.field("counts").to_pylist(), best, how)
                 if len(a):
                     yield pa.RecordBatch.from_pydict({"region": np.full(len(a), region), "a": a, "b": b})
+        give_back()
 
     return materialize(grouped.select("region", "sets").mapInArrow(run, "region long, a long, b long"), "candidate-pairs")
 
@@ -364,6 +366,7 @@ def verified(pairs: DataFrame, spots: DataFrame, how: Similarity) -> DataFrame:
                     ok = 100 * both >= how.percent * (len(x) + len(y) - both)
                 keep.append(ok)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     sides = pairs.join(spots.select(F.col("digest").alias("a"), F.col("tokens").alias("x")), "a")
     sides = sides.join(spots.select(F.col("digest").alias("b"), F.col("tokens").alias("y")), "b")

@@ -25,9 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starlane.llm.subwords import default_vocabulary, subwords
-from starlane.llm.texts import as_bytes, steps, table
+from starlane.llm.texts import as_bytes, give_back, steps, table
 from starlane.session import materialize
 
+# Bytes of text whose words are held at once.
+CUT_BYTES = 2 << 20
+
 Pattern = tuple[dict[int, int], int]  # pieces of each size in a window, and how many windows
 
 
@@ -149,7 +152,7 @@ def cut(docs: DataFrame, shape: Shape, vocabulary: str) -> DataFrame:
         part = TaskContext.get().partitionId()
         coder = subwords(vocabulary)
         seen = np.zeros(shape.window + 1, dtype=np.int64)
-        for step in steps(batches):
+        for step in steps(batches, CUT_BYTES):
             words, distinct, which = words_of(step.column("body"))
             found, counts = coder.ids_of(coder.numbers(distinct)[which])
             # Each text's ids, with the end id after them.
@@ -183,6 +186,7 @@ def cut(docs: DataFrame, shape: Shape, vocabulary: str) -> DataFrame:
                 "ids_crc32": pa.array(sums, pa.int64()), "doc_tokens": pa.array(sizes[text]),
                 "part": pa.array(np.full(len(text), part, dtype=np.int64)), "rank": pa.array(rank),
             })
+        give_back()
 
     schema = f"doc_id {key}, start long, length long, ids_crc32 long, doc_tokens long, part long, rank long"
     return as_bytes(docs, "doc_id").mapInArrow(run, schema)

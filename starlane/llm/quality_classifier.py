@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starlane.llm.texts import as_bytes, crc32_of_key, map_steps, steps, table
+from starlane.llm.texts import as_bytes, crc32_of_key, give_back, map_steps, steps, table
 from starlane.session import materialize, scratch
 
 CELL, BLOCK, CHUNK, STRIDE = 4, 16, 8, 7  # bytes; cells; blocks; blocks
+SLICE = 512 * BLOCK  # cells whose filters are held at once when texts are scored
 
 
 @dataclass(frozen=True)
@@ -133,11 +134,17 @@ class Network:
         parts = [cells_of(x) for x in bodies]
         blocks = np.array([len(near) // BLOCK for _, near in parts])
         ends = np.cumsum(blocks)
-        cells = self.cells(*(np.concatenate(x) for x in zip(*parts)))
-        out = np.zeros((len(cells), self.weights["filter"].shape[1]), dtype=np.float32)
-        out[:-1] = self.filtered(cells)
-        out[ends * BLOCK - 1] = 0  # would look into the next text
-        tops = np.concatenate([out.reshape(-1, BLOCK, out.shape[1]).max(axis=1), out[:1] * 0])
+        data, near = (np.concatenate(x) for x in zip(*parts))
+        last = np.zeros(len(near), dtype=bool)
+        last[ends * BLOCK - 1] = True  # would look into the next text
+        tops = np.zeros((len(near) // BLOCK + 1, self.weights["filter"].shape[1]), dtype=np.float32)
+        for a in range(0, len(near), SLICE):
+            b = min(a + SLICE, len(near))
+            cells = self.cells(data[a * CELL : (b + 1) * CELL], near[a : b + 1])
+            out = np.zeros((b - a, tops.shape[1]), dtype=np.float32)
+            out[: len(cells) - 1] = self.filtered(cells)
+            out[last[a:b]] = 0
+            tops[a // BLOCK : b // BLOCK] = out.reshape(-1, BLOCK, out.shape[1]).max(axis=1)
         counts = (np.maximum(blocks - 1, 1) + STRIDE - 1) // STRIDE
         owner = np.repeat(np.arange(len(blocks)), counts)
         begin = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -261,6 +268,8 @@ def _trained(labelled: DataFrame, sizes: Training) -> Network | float:
                 seen += len(chunks[0])
             while chunks is not None and trainer.step * sizes.rounds < sizes.steps:
                 trainer.learn(chunks, rng)
+            chunks = None
+            give_back()
             if seen:
                 vector = own.vector().astype(np.float64) * seen
                 yield pa.RecordBatch.from_pydict({

@@ -189,3 +189,31 @@ def test_labelled_texts_are_joined_once(spark, monkeypatch):
     monkeypatch.setattr(quality, "materialize", record)
     quality.train(found, quality.Training(rounds=1, steps=1))
     assert ["SortMergeJoin" in plan for plan in written] == [True, False]
+
+
+def test_texts_are_scored_in_slices(monkeypatch):
+    """Filters of a step's texts are not all held at once; scores are those of each text alone."""
+    from starlane.llm.quality_classifier import SLICE, Network, Training, cells_of
+
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(32, 127, n, dtype=np.uint8).tobytes() for n in (0, 1, 63, 64, 65, 4000, 400_000, 7, 32_764, 32_768)]
+    net, held, real = Network(Training()), [], Network.cells
+
+    def record(self, data, near):
+        held.append(len(near))
+        return real(self, data, near)
+
+    monkeypatch.setattr(Network, "cells", record)
+    together = net.score(texts)
+    assert len(held) > 10 and max(held) <= SLICE + 1
+    assert np.allclose(together, np.concatenate([net.score([x]) for x in texts]), atol=1e-6)
+    filters = []
+    for body in texts:
+        data, near = cells_of(body)
+        out = np.maximum(real(net, data, near)[:-1] @ net.weights["filter"][: net.width]
+                         + real(net, data, near)[1:] @ net.weights["filter"][net.width :] + net.weights["shift"], 0)
+        tops = np.concatenate([out, out[:1] * 0]).reshape(-1, 16, out.shape[1]).max(axis=1)
+        starts = np.arange(0, max(len(tops) - 1, 1), 7)
+        pooled = np.stack([tops[a : a + 8].max(axis=0) for a in starts])
+        filters.append(1 / (1 + np.exp(-net.logits(pooled).mean())))
+    assert np.allclose(together, filters, atol=1e-6)
