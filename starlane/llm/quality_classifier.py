@@ -26,7 +26,9 @@ from starlane.llm.texts import as_bytes, crc32_of_key, give_back, map_steps, ste
 from starlane.session import materialize, scratch
 
 CELL, BLOCK, CHUNK, STRIDE = 4, 16, 8, 7  # bytes; cells; blocks; blocks
-SLICE = 512 * BLOCK  # cells whose filters are held at once when texts are scored
+# Cells whose filters are held at once when texts are scored; a multiple of the rows that matrix
+# products take together, so that they round as they do over all cells.
+SLICE = 576 * BLOCK
 
 
 @dataclass(frozen=True)
